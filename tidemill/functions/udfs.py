@@ -38,12 +38,12 @@ def ip_locator(rules: DataFrame, name: str, max_rules: int = 2_000_000):
     def locate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         starts, ends, names = shared.value
         for ips in batches:
-            octets = ips.str.split(".", expand=True).astype("int64")
-            numbers = octets[0]
-            for i in range(1, octets.shape[1]):
-                numbers = (numbers << 8) | octets[i]
-            at = np.searchsorted(starts, numbers.to_numpy(), side="right") - 1
-            hit = (at >= 0) & (numbers.to_numpy() <= ends[at.clip(0)])
+            octets = ips.str.split(".", expand=True).to_numpy("int64")
+            numbers = np.zeros(len(ips), "int64")
+            for i in range(octets.shape[1]):
+                numbers = numbers * 256 + octets[:, i]
+            at = np.searchsorted(starts, numbers, side="right") - 1
+            hit = (at >= 0) & (numbers <= ends[at.clip(0)])
             yield pd.Series(np.where(hit, names[at.clip(0)], None), dtype=object)
 
     return locate

@@ -220,7 +220,7 @@ def changelog_sum(spark, t):
 
 # --- state with expiry, in recorded arrival time -----------------------------------
 
-CLOCK = "(SELECT user_id, event_id AS seq, epoch_ms(ts) AS at_ms, CAST(floor(value) AS BIGINT) AS cnt FROM events)"
+CLOCK = "(SELECT user_id, event_id AS seq, epoch_us(ts) // 1000 AS at_ms, CAST(floor(value) AS BIGINT) AS cnt FROM events)"
 
 
 def _clock(t):

@@ -60,7 +60,8 @@ def join_window_left_stream(spark, t):
 
 def _flushed(t):
     clicks, buys = _sides_of_stream(t)
-    return with_flush(clicks, "click_ts"), with_flush(buys, "buy_ts")
+    # The two flush rows have different users, so they never meet.
+    return with_flush(clicks, "click_ts", user_id=-1), with_flush(buys, "buy_ts", user_id=-2)
 
 
 def _sides_of_stream(t):
@@ -118,7 +119,7 @@ IP = f"""SELECT event_id, ip, province FROM {i.IP_LINES} l
   LEFT JOIN {i.IP_RULES} r ON l.num BETWEEN r.start_num AND r.end_num"""
 
 
-@query("join_ip_range", IP.replace("province", "province, city"))
+@query("join_ip_range", IP.replace("ip, province", "ip, province, city"))
 def join_ip_range(spark, t):
     return j.ip_lookup(i.ip_lines(t), "ip", i.ip_rules(t), ["province", "city"], shift=10)
 

@@ -127,7 +127,7 @@ def src_rules_file(spark, t):
 # --- sinks -----------------------------------------------------------------
 
 
-@query("snk_text", f"SELECT upper(line) AS line FROM {i.LINES}")
+@query("snk_text", f"SELECT upper(replace(line, 'ß', 'SS')) AS line FROM {i.LINES}")
 def snk_text(spark, t):
     folder = run_dir(spark, "sink_text")
     files.write_text(i.lines(t).select(F.upper("line").alias("line")), folder)
@@ -154,7 +154,7 @@ def snk_exactly_once(spark, t):
 # --- projection, filter, routing -------------------------------------------
 
 
-@query("prj_upper", f"SELECT doc_id, upper(line) AS line FROM {i.LINES}")
+@query("prj_upper", f"SELECT doc_id, upper(replace(line, 'ß', 'SS')) AS line FROM {i.LINES}")
 def prj_upper(spark, t):
     return i.lines(t).select("doc_id", F.upper("line").alias("line"))
 

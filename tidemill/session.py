@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -45,9 +47,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     # Touching the stream manager starts the state store coordinator, which
     # stateful processors need in batch mode as well.
     spark.streams.active
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for the Python functions that run there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    bundle = Path(tempfile.mkdtemp(prefix="tidemill-code-")) / "tidemill.zip"
+    with zipfile.ZipFile(bundle, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(bundle))
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, from spark.checkpoint.dir.
 

@@ -56,7 +56,7 @@ class _LineWriter(DataSourceWriter):
 
     def commit(self, messages):
         store, folder = self._store()
-        with store.open_output_stream(f"{folder}/_manifest") as out:
+        with store.open_output_stream(f"{folder}/manifest.tsv") as out:
             for message in messages:
                 if message is not None:
                     out.write(f"{message.path}\t{message.rows}\n".encode())
@@ -101,7 +101,7 @@ def read_lines_sink(spark, path: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     files = (
-        spark.read.text(f"{path}/_manifest")
+        spark.read.text(f"{path}/manifest.tsv")
         .select(F.split("value", "\t")[0].alias("path"))
         .select(F.element_at(F.split("path", "/"), -1).alias("file"))
     )

@@ -15,17 +15,18 @@ from tidemill.sinks.upsert import UpsertTable
 FAR_FUTURE = "2200-01-01"
 
 
-def with_flush(stream: DataFrame, ts: str) -> DataFrame:
+def with_flush(stream: DataFrame, ts: str, **values) -> DataFrame:
     """The stream plus one row in the far future, so that a watermark set on it passes all real rows.
 
     The row's own window stays open and is never emitted; row-wise operators
-    drop it with `without_flush`.
+    drop it with `without_flush`.  Its other columns are null but for `values`:
+    a join drops rows with a null key before it sees their time.
     """
     spark = stream.sparkSession
     folder = run_dir(spark, "flush")
     row = spark.range(1).select(
         *[
-            (F.lit(FAR_FUTURE) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name)
+            F.lit(FAR_FUTURE if f.name == ts else values.get(f.name)).cast(f.dataType).alias(f.name)
             for f in stream.schema
         ]
     )

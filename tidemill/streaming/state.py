@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemill.operators.joins import null_safe_join
 from tidemill.operators.scans import block_start, running, scan_sum
@@ -23,6 +23,11 @@ BLOCK_ROWS = 4096
 PAGE_ROWS = 1024
 
 
+def _one(name: str, kind) -> StructType:
+    """A one-field schema; built by hand, since processors start where no session is."""
+    return StructType([StructField(name, kind)])
+
+
 def _in_order(rows: Iterator[pd.DataFrame], seq: str) -> pd.DataFrame:
     """The block's rows of this micro-batch by arrival; at most one block of them."""
     return pd.concat(list(rows), ignore_index=True).sort_values(seq, kind="stable", ignore_index=True)
@@ -44,7 +49,7 @@ class SumState(_Processor):
         self.value = value
 
     def init(self, handle) -> None:
-        self.total = handle.getValueState("total", StructType.fromDDL("total bigint"), self.ttl_ms)
+        self.total = handle.getValueState("total", _one("total", LongType()), self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows, self.seq)
@@ -63,7 +68,7 @@ class MapSumState(_Processor):
 
     def init(self, handle) -> None:
         self.sums = handle.getMapState(
-            "sums", StructType.fromDDL("k string"), StructType.fromDDL("total bigint"), self.ttl_ms
+            "sums", _one("k", StringType()), _one("total", LongType()), self.ttl_ms
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -85,7 +90,7 @@ class ListState(_Processor):
         self.item = item
 
     def init(self, handle) -> None:
-        self.items = handle.getListState("items", StructType.fromDDL("item string"), self.ttl_ms)
+        self.items = handle.getListState("items", _one("item", StringType()), self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows, self.seq)
@@ -105,13 +110,13 @@ class MinuteFlush(_Processor):
     Timers at the same instant are one timer.  The buffer is emptied after it.
     """
 
-    def __init__(self, columns, schema: str, event_time: bool, every_ms: int = 60_000):
+    def __init__(self, columns, schema: StructType, event_time: bool, every_ms: int = 60_000):
         super().__init__(columns, columns[0])
         self.schema, self.event_time, self.every_ms = schema, event_time, every_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.buffer = handle.getListState("buffer", StructType.fromDDL(self.schema))
+        self.buffer = handle.getListState("buffer", self.schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for batch in rows:
@@ -219,6 +224,6 @@ def flush_on_timer(
     """
     salted = df.withColumn("salt", F.pmod(F.xxhash64(F.col(unique)), F.lit(salts)).cast("int"))
     ddl = _typed(salted, columns)
-    processor = MinuteFlush(columns, ddl, event_time, every_ms)
+    processor = MinuteFlush(columns, StructType.fromDDL(ddl), event_time, every_ms)
     mode = "EventTime" if event_time else "ProcessingTime"
     return _apply(salted, [*keys, "salt"], processor, f"{ddl}, flushed_at bigint", mode)

@@ -15,6 +15,7 @@ from tidemill.operators.scans import (
     scan_min,
     scan_sum,
 )
+from tidemill.session import shared_dir
 
 REDUCERS = {"sum": scan_sum, "max": scan_max, "min": scan_min}
 
@@ -127,16 +128,19 @@ def expiring_sum(df: DataFrame, keys: list[str], seq: str, at_ms: str, value: st
     """Running sum whose state is forgotten `ttl_ms` after its last write.
 
     `at_ms` is the arrival time, not falling in `seq` order.  A row that comes
-    `ttl_ms` or more after the one before it starts anew; the total at the last
-    such start is taken off the plain running total.
+    `ttl_ms` or more after the one before it starts anew; the plain running total
+    in front of the last such start is taken off.  The first scan's result is
+    checkpointed, as the second one reads it twice.
     """
-    prior = running(df, keys, seq, {"__prev": Scan(F.col(at_ms), "max")}, width, inclusive=False)
-    totals = running(prior, keys, seq, {"__total": scan_sum(value)}, width)
+    shared_dir(df.sparkSession)
+    earlier = {"__prev": scan_max(at_ms), "__before": scan_sum(value)}
+    totals = running(df, keys, seq, earlier, width, inclusive=False).checkpoint()
     restart = F.col("__prev").isNull() | (F.col(at_ms) - F.col("__prev") >= ttl_ms)
-    base = F.when(restart, F.struct(F.col(seq).alias("s"), (F.col("__total") - F.col(value)).alias("b")))
-    out = running(totals.withColumn("__base", base), keys, seq, {"__start": scan_max("__base")}, width)
-    return out.withColumn("live_sum", F.col("__total") - F.col("__start.b")).drop(
-        "__prev", "__total", "__base", "__start"
+    before = F.coalesce("__before", F.lit(0))
+    start = F.when(restart, F.struct(F.col(seq).alias("s"), before.alias("b")))
+    out = running(totals.withColumn("__at_start", start), keys, seq, {"__start": scan_max("__at_start")}, width)
+    return out.withColumn("live_sum", before + F.col(value) - F.col("__start.b")).drop(
+        "__prev", "__before", "__at_start", "__start"
     )
 
 

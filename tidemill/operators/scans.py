@@ -160,6 +160,54 @@ def running_ordered(
     )
 
 
+def running_levels(
+    df: DataFrame,
+    levels: list[tuple[list[str], dict[str, Scan]]],
+    seq: str,
+    width=None,
+) -> DataFrame:
+    """Running sums, maxima or minima for keys that extend each other, coarsest first.
+
+    All levels share one shuffle of the rows, on the coarsest keys and the block,
+    and one pass of pre-aggregation, on the finest keys.
+    """
+    if width is None:
+        width = block_width(df, seq)
+    scans = {name: scan for _, own in levels for name, scan in own.items()}
+    lifted = {name: f"__scan_{name}" for name in scans}
+    rows = df.withColumns(
+        {_BLOCK: block_start(seq, width), **{lifted[n]: s.value for n, s in scans.items()}}
+    )
+
+    finest = levels[-1][0]
+    summaries = rows.groupBy(*finest, _BLOCK).agg(
+        *[s.group(lifted[n], seq).alias(lifted[n]) for n, s in scans.items()]
+    )
+    both = rows.withColumn(_OPENS, F.lit(False))
+    for keys, own in levels:
+        rolled = summaries
+        if keys != finest:
+            rolled = summaries.groupBy(*keys, _BLOCK).agg(
+                *[s.group(lifted[n], _BLOCK).alias(lifted[n]) for n, s in own.items()]
+            )
+        earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+        openers = (
+            rolled.select(*keys, _BLOCK, *[s.over(lifted[n], earlier).alias(lifted[n]) for n, s in own.items()])
+            .filter(_any_present([lifted[n] for n in own]))
+            .withColumn(_OPENS, F.lit(True))
+        )
+        both = both.unionByName(openers, allowMissingColumns=True)
+
+    for keys, own in levels:
+        within = (
+            Window.partitionBy(*keys, _BLOCK)
+            .orderBy(F.col(_OPENS).desc(), F.col(seq))
+            .rowsBetween(Window.unboundedPreceding, 0)
+        )
+        both = both.select("*", *[s.over(lifted[n], within).alias(n) for n, s in own.items()])
+    return both.filter(~F.col(_OPENS)).drop(_BLOCK, _OPENS, *lifted.values())
+
+
 def _any_present(names) -> Column:
     test = F.lit(False)
     for name in names:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.text import from_cents, words
 from tidemill.functions.udfs import register_functions
 from tidemill.operators import running as r
-from tidemill.operators.scans import block_start, running, scan_sum
+from tidemill.operators.scans import block_start, running, running_levels, scan_sum
 from tidemill.plans import inputs as i
 from tidemill.plans.registry import query
 from tidemill.session import run_dir
@@ -165,8 +165,8 @@ def income_final(spark, t):
   FROM {i.INCOME}""")
 def income_running(spark, t):
     """After every order: the province's income and the city's part of it."""
-    by_city = running(i.income(t), ["province", "city"], "seq", {"c": scan_sum("cents")}, t.order_width)
-    both = running(by_city, ["province"], "seq", {"p": scan_sum("cents")}, t.order_width)
+    levels = [(["province"], {"p": scan_sum("cents")}), (["province", "city"], {"c": scan_sum("cents")})]
+    both = running_levels(i.income(t), levels, "seq", t.order_width)
     return both.select(
         "province", "city", "seq", from_cents("p").alias("province_income"), from_cents("c").alias("city_income")
     )

@@ -385,7 +385,7 @@ def enrich_unordered(spark, t):
         (100 + F.col("event_id") % 30).cast("double").alias("lon"),
         (20 + F.col("event_id") % 20).cast("double").alias("lat"),
     )
-    return enrich(points, ["lon", "lat"], place_of, "province string, city string")
+    return enrich(keys.spread(points), ["lon", "lat"], place_of, "province string, city string")
 
 
 @query("sql_udtf_split", f"""SELECT doc_id, unnest(CASE WHEN line = '' THEN [''] WHEN rtrim(line, ' ') = '' THEN []

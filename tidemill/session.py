@@ -21,6 +21,10 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where an aggregate above it needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Commit what a micro-batch changed, not whole state files.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Counting the keys would cost a read before every write.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     # Combine sessions before the shuffle, so that a hot key sends sessions, not rows.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 
@@ -16,11 +17,15 @@ def write_text(df: DataFrame, path: str, column: str = "line") -> None:
 
 def label(df: DataFrame, text: str, name: str = "label") -> DataFrame:
     """Rows marked with the label a console sink shows."""
-    from pyspark.sql import functions as F
-
     return df.select(F.lit(text).alias(name), "*")
 
 
+def to_console(df: DataFrame, text: str | None = None, mode: str = "append"):
+    """A stream writer that prints, with a label where one is given; start it with `.start()`."""
+    shown = label(df, text) if text else df
+    return shown.writeStream.format("console").outputMode(mode).option("truncate", "false")
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     path: str
@@ -98,8 +103,6 @@ class RowSink:
 
 def read_lines_sink(spark, path: str) -> DataFrame:
     """What a finished `LineSink` write committed."""
-    from pyspark.sql import functions as F
-
     files = (
         spark.read.text(f"{path}/manifest.tsv")
         .select(F.split("value", "\t")[0].alias("path"))

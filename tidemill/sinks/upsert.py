@@ -49,7 +49,6 @@ class UpsertTable:
 
     def read(self, before: int | None = None) -> DataFrame:
         """Latest row per key, combined before the shuffle; `before` excludes a batch and those after it."""
-        latest = self.log(before).groupBy(*self.keys).agg(
-            F.max_by(F.struct(*self.values), F.col("batch_id")).alias("row")
-        )
-        return latest.select(*self.keys, *[F.col(f"row.{v}").alias(v) for v in self.values])
+        # A key has one row per batch, so the values picked per column belong together.
+        latest = [F.max_by(v, "batch_id").alias(v) for v in self.values]
+        return self.log(before).groupBy(*self.keys).agg(*latest)

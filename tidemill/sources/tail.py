@@ -24,6 +24,7 @@ class _TailReader(DataSourceStreamReader):
         self.where = options["path"]
         self.split = int(options.get("split_bytes", str(32 << 20)))
         self.suffix = options.get("suffix", ".txt")
+        self.ends = {}
 
     def _files(self):
         store, folder = fs.FileSystem.from_uri(self.where)
@@ -37,7 +38,11 @@ class _TailReader(DataSourceStreamReader):
 
     def latestOffset(self):
         store, files = self._files()
-        return {name: _end_of_last_line(store, info) for name, info in sorted(files.items())}
+        for name, info in files.items():
+            # Only files that grew are opened.
+            if self.ends.get(name, (None, 0))[0] != info.size:
+                self.ends[name] = (info.size, _end_of_last_line(store, info))
+        return {name: self.ends[name][1] for name in sorted(files)}
 
     def partitions(self, start, end):
         store, files = self._files()

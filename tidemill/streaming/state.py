@@ -62,9 +62,9 @@ class SumState(_Processor):
 class MapSumState(_Processor):
     """A map state with one sum per sub-key; one output per row with its sub-key's sum and the sum of all."""
 
-    def __init__(self, columns, seq, sub_key, value, ttl_ms=None):
+    def __init__(self, columns, seq, sub_key, value, ttl_ms=None, refresh_on_read=False):
         super().__init__(columns, seq, ttl_ms)
-        self.sub_key, self.value = sub_key, value
+        self.sub_key, self.value, self.refresh_on_read = sub_key, value, refresh_on_read
 
     def init(self, handle) -> None:
         self.sums = handle.getMapState(
@@ -74,6 +74,10 @@ class MapSumState(_Processor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows, self.seq)
         held = {k[0]: v[0] for k, v in self.sums.iterator()}
+        if self.refresh_on_read:
+            # Expiry counts from the last write, so a read that renews it writes back.
+            for sub_key, total in held.items():
+                self.sums.updateValue((sub_key,), (total,))
         before = batch[self.sub_key].map(lambda k: held.get(k, 0)).astype("int64")
         batch["sub_sum"] = batch.groupby(self.sub_key)[self.value].cumsum() + before
         batch["block_sum"] = batch[self.value].cumsum() + sum(held.values())
@@ -188,12 +192,13 @@ def state_map_sum(
     value: str,
     ttl_ms: int | None = None,
     block_rows: int = BLOCK_ROWS,
+    refresh_on_read: bool = False,
 ) -> DataFrame:
     """Map state: per row the block's sum of its sub-key (`sub_sum`) and of all (`block_sum`)."""
     rows = df.select(*keys, sub_key, seq, value).withColumn("block", block_start(seq, block_rows))
     columns = [*keys, sub_key, seq, value, "block"]
     ddl = f"{_typed(rows, columns)}, sub_sum bigint, block_sum bigint"
-    processor = MapSumState([*columns, "sub_sum", "block_sum"], seq, sub_key, value, ttl_ms)
+    processor = MapSumState([*columns, "sub_sum", "block_sum"], seq, sub_key, value, ttl_ms, refresh_on_read)
     return _apply(rows, [*keys, "block"], processor, ddl, _mode(ttl_ms))
 
 

@@ -48,6 +48,11 @@ def prepare(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
     if spark.conf.get(PROVIDER, None) != ROCKSDB:
         spark.conf.set(PROVIDER, ROCKSDB)
+    context = spark.sparkContext
+    chosen = context.getConf().contains("spark.sql.shuffle.partitions")
+    if context.master.startswith("local") and not chosen and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        # One machine: a partition per core, not one per core of a cluster.
+        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     # Touching the stream manager starts the state store coordinator, which
     # stateful processors need in batch mode as well.
     spark.streams.active

@@ -9,21 +9,17 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 
-class _Span(InputPartition):
-    def __init__(self, index: int, first: int, stop: int):
-        self.index, self.first, self.stop = index, first, stop
-
-
 class _CountReader(DataSourceReader):
     def __init__(self, count: int, partitions: int):
         self.count, self.parts = count, max(1, partitions)
 
     def partitions(self):
         cuts = [self.count * i // self.parts for i in range(self.parts + 1)]
-        return [_Span(i, cuts[i], cuts[i + 1]) for i in range(self.parts)]
+        return [InputPartition((i, cuts[i], cuts[i + 1])) for i in range(self.parts)]
 
     def read(self, span):
-        for value in range(span.first, span.stop):
+        _, first, stop = span.value
+        for value in range(first, stop):
             yield (value,)
 
 
@@ -69,12 +65,13 @@ class _RandomReader(DataSourceStreamReader):
 
     def partitions(self, start, end):
         self.planned = max(self.planned, end["rows"])
-        return [_Span(i, start["rows"], end["rows"]) for i in range(self.sources)]
+        return [InputPartition((i, start["rows"], end["rows"])) for i in range(self.sources)]
 
     def read(self, span):
-        for row in range(span.first, span.stop):
-            value = random.Random(f"{self.seed}/{span.index}/{row}").randrange(100)
-            yield (span.index, row, value, f"{span.index} --> {value}")
+        index, first, stop = span.value
+        for row in range(first, stop):
+            value = random.Random(f"{self.seed}/{index}/{row}").randrange(100)
+            yield (index, row, value, f"{index} --> {value}")
 
     def commit(self, end):
         pass

@@ -8,11 +8,6 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 _BLOCK = 1 << 16
 
 
-class _Range(InputPartition):
-    def __init__(self, index: int, path: str, first: int, stop: int, opens: bool):
-        self.index, self.path, self.first, self.stop, self.opens = index, path, first, stop, opens
-
-
 class _TailReader(DataSourceStreamReader):
     """Offset: {file name: bytes read}, kept by Spark in the checkpoint.
 
@@ -52,25 +47,25 @@ class _TailReader(DataSourceStreamReader):
             first = True
             while at < stop:
                 cut = min(at + self.split, stop)
-                ranges.append(_Range(index, files[name].path, at, cut, first))
+                ranges.append(InputPartition((index, files[name].path, at, cut, first)))
                 at, first = cut, False
         return ranges
 
     def read(self, part):
+        index, path, at, stop, opens = part.value
         store, _ = fs.FileSystem.from_uri(self.where)
-        with store.open_input_file(part.path) as file:
-            at = part.first
-            if not part.opens:
+        with store.open_input_file(path) as file:
+            if not opens:
                 # The line that runs into this range belongs to the one before.
                 file.seek(at - 1)
                 at += len(_read_line(file)) - 1
             file.seek(at)
-            while at < part.stop:
+            while at < stop:
                 line = _read_line(file)
                 if not line:
                     break
                 at += len(line)
-                yield (part.index, part.path.rsplit("/", 1)[-1], line.rstrip(b"\r\n").decode("utf-8"))
+                yield (index, path.rsplit("/", 1)[-1], line.rstrip(b"\r\n").decode("utf-8"))
 
     def commit(self, end):
         pass

@@ -68,15 +68,17 @@ def test_changing_dimension(spark, tmp_path, files):
 
 @FILES
 def test_windows(spark, tmp_path, files):
-    stream = runner.with_flush(feed(spark, data(), DDL, tmp_path, files), "ts").withWatermark("ts", "0 seconds")
-    out = runner.run_append(w.tumbling(stream, ["k"], "ts", "10 seconds", {"n": F.sum("v")}), "t")
+    flush = runner.Flush()
+    stream = flush.attach(feed(spark, data(), DDL, tmp_path, files), "ts").withWatermark("ts", "0 seconds")
+    out = runner.run_append(w.tumbling(stream, ["k"], "ts", "10 seconds", {"n": F.sum("v")}), "t", flush=flush)
     assert rows(out) == rows(w.tumbling(spark.createDataFrame(data(), DDL), ["k"], "ts", "10 seconds", {"n": F.sum("v")}))
 
 
 @pytest.mark.parametrize("files", [1, 3])
 def test_sessions(spark, tmp_path, files):
-    stream = runner.with_flush(feed(spark, data(), DDL, tmp_path, files), "ts").withWatermark("ts", "0 seconds")
-    out = runner.run_append(w.streaming_sessions(stream, ["k"], "ts", "6 seconds", {"n": F.sum("v")}), "s")
+    flush = runner.Flush()
+    stream = flush.attach(feed(spark, data(), DDL, tmp_path, files), "ts").withWatermark("ts", "0 seconds")
+    out = runner.run_append(w.streaming_sessions(stream, ["k"], "ts", "6 seconds", {"n": F.sum("v")}), "s", flush=flush)
     assert rows(out) == rows(w.sessions(spark.createDataFrame(data(), DDL), ["k"], "ts", 6, {"n": F.sum("v")}))
 
 
@@ -149,9 +151,10 @@ def test_list_and_map_state_expire(spark, tmp_path):
 
 
 def test_event_time_timer_flushes_at_the_next_minute_of_the_watermark(spark, tmp_path):
-    stream = runner.with_flush(feed(spark, data(), DDL, tmp_path, 3), "ts").withWatermark("ts", "0 seconds")
+    flush = runner.Flush()
+    stream = flush.attach(feed(spark, data(), DDL, tmp_path, 3), "ts").withWatermark("ts", "0 seconds")
     out = s.flush_on_timer(runner.without_flush(stream, "ts"), ["k"], ["k", "v", "seq"], "seq", event_time=True)
-    got = runner.run_append(out, "timer").collect()
+    got = runner.run_append(out, "timer", flush=flush).collect()
     assert sorted(x.seq for x in got) == list(range(60))
     assert all(x.flushed_at % 60_000 == 0 for x in got)
 
@@ -184,10 +187,11 @@ def test_windowed_join(spark, tmp_path, how):
     ls, rs = "k string, lv bigint, lid bigint, lts timestamp", "k string, rv bigint, rid bigint, rts timestamp"
     (tmp_path / "l").mkdir()
     (tmp_path / "r").mkdir()
-    lstream = runner.with_flush(feed(spark, left, ls, tmp_path / "l", 3), "lts", k="-1")
-    rstream = runner.with_flush(feed(spark, right, rs, tmp_path / "r", 2), "rts", k="-2")
+    flush = runner.Flush()
+    lstream = flush.attach(feed(spark, left, ls, tmp_path / "l", 3), "lts", k="-1")
+    rstream = flush.attach(feed(spark, right, rs, tmp_path / "r", 3), "rts", k="-2")
     out = runner.run_append(
-        stream_windowed_join(lstream, rstream, ["k"], "lts", "rts", "10 seconds", "lid", how).select("k", "lid", "rid"), "j"
+        stream_windowed_join(lstream, rstream, ["k"], "lts", "rts", "10 seconds", "lid", how).select("k", "lid", "rid"), "j", flush=flush
     )
     want = j.windowed_join(spark.createDataFrame(left, ls), spark.createDataFrame(right, rs), ["k"], "lts", "rts", "10 seconds", how)
     assert rows(out) == rows(want.select("k", "lid", "rid"))

@@ -12,7 +12,7 @@ from tidemill.session import run_dir
 from tidemill.sources.jdbc import RefreshingDimension
 from tidemill.streaming.carried import stream_changing_dimension
 from tidemill.streaming.joins import stream_interval_join, stream_windowed_join
-from tidemill.streaming.runner import ddl_of, read_batches, run_append, run_batches, with_flush
+from tidemill.streaming.runner import Flush, ddl_of, read_batches, run_append, run_batches
 
 CLICKS, BUYS = i.side_sql("click", "click"), i.side_sql("purchase", "buy")
 
@@ -45,7 +45,7 @@ def join_window_left(spark, t):
 
 @query("join_window_inner_stream", _window_sql("INNER"))
 def join_window_inner_stream(spark, t):
-    clicks, buys = _flushed(t)
+    clicks, buys = _sides_of_stream(t)
     out = stream_windowed_join(clicks, buys, ["user_id"], "click_ts", "buy_ts", "1 day", "click_id")
     return run_append(out.select(*PAIR), "join_inner")
 
@@ -53,15 +53,16 @@ def join_window_inner_stream(spark, t):
 @query("join_window_left_stream", _window_sql("LEFT"))
 def join_window_left_stream(spark, t):
     """Unmatched rows come out once the watermark has passed their window."""
-    clicks, buys = _flushed(t)
+    clicks, buys, flush = _flushed(t)
     out = stream_windowed_join(clicks, buys, ["user_id"], "click_ts", "buy_ts", "1 day", "click_id", "left")
-    return run_append(out.select(*PAIR), "join_left")
+    return run_append(out.select(*PAIR), "join_left", flush=flush)
 
 
 def _flushed(t):
     clicks, buys = _sides_of_stream(t)
     # The two flush rows have different users, so they never meet.
-    return with_flush(clicks, "click_ts", user_id=-1), with_flush(buys, "buy_ts", user_id=-2)
+    flush = Flush()
+    return flush.attach(clicks, "click_ts", user_id=-1), flush.attach(buys, "buy_ts", user_id=-2), flush
 
 
 def _sides_of_stream(t):

@@ -8,7 +8,7 @@ from tidemill.functions.text import cents, from_cents
 from tidemill.plans import inputs as i
 from tidemill.plans.registry import query
 from tidemill.streaming import state as s
-from tidemill.streaming.runner import run_append, run_until_timers, with_flush, without_flush
+from tidemill.streaming.runner import Flush, run_append, run_until_timers, without_flush
 
 SO_FAR = "OVER (PARTITION BY word ORDER BY seq ROWS UNBOUNDED PRECEDING)"
 
@@ -51,10 +51,11 @@ def state_list_history(spark, t):
 @query("timer_et_flush", f"SELECT word, cnt, seq FROM {i.PAIRS}")
 def timer_et_flush(spark, t):
     """Rows held until an event-time timer at the next minute of the watermark."""
-    stream = with_flush(t.stream("events"), "ts")
+    flush = Flush()
+    stream = flush.attach(t.stream("events"), "ts")
     rows = without_flush(i.timed_pairs(stream).withWatermark("ts", "0 seconds"), "ts")
     out = s.flush_on_timer(rows, ["word"], ["word", "cnt", "seq"], "seq", event_time=True)
-    return run_append(out.select("word", "cnt", "seq"), "timer_et")
+    return run_append(out.select("word", "cnt", "seq"), "timer_et", flush=flush)
 
 
 @query("timer_pt_flush", f"SELECT word, cnt, seq FROM {i.PAIRS}")

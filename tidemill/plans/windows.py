@@ -9,7 +9,7 @@ from tidemill.operators import windows as w
 from tidemill.plans import inputs as i
 from tidemill.plans.registry import query
 from tidemill.streaming.carried import stream_split_late
-from tidemill.streaming.runner import run_append, with_flush
+from tidemill.streaming.runner import Flush, run_append
 
 
 def _sum():
@@ -44,8 +44,9 @@ def _timed(t):
 
 
 def _timed_stream(t):
-    stream = with_flush(t.stream("events"), "ts")
-    return i.timed_pairs(stream).withWatermark("ts", "0 seconds")
+    flush = Flush()
+    stream = flush.attach(t.stream("events"), "ts")
+    return i.timed_pairs(stream).withWatermark("ts", "0 seconds"), flush
 
 
 # --- event time -------------------------------------------------------------
@@ -58,7 +59,8 @@ def win_tumble(spark, t):
 
 @query("win_tumble_stream", tumble_sql(i.TIMED, "ts", "1 hour"))
 def win_tumble_stream(spark, t):
-    return run_append(w.tumbling(_timed_stream(t), ["word"], "ts", "1 hour", _sum()), "tumble")
+    stream, flush = _timed_stream(t)
+    return run_append(w.tumbling(stream, ["word"], "ts", "1 hour", _sum()), "tumble", flush=flush)
 
 
 @query("win_tumble_first", tumble_sql(i.TIMED, "ts", "1 hour", extra=", arg_min(ts, seq) AS first_ts"))
@@ -79,7 +81,8 @@ def win_slide(spark, t):
 
 @query("win_slide_stream", slide_sql(i.TIMED, "ts", "2 hours", "30 minutes", 4))
 def win_slide_stream(spark, t):
-    return run_append(w.sliding(_timed_stream(t), ["word"], "ts", "2 hours", "30 minutes", _sum()), "slide")
+    stream, flush = _timed_stream(t)
+    return run_append(w.sliding(stream, ["word"], "ts", "2 hours", "30 minutes", _sum()), "slide", flush=flush)
 
 
 @query("win_session", session_sql(i.TIMED, "ts", "2 hours", "user_id"))
@@ -89,8 +92,9 @@ def win_session(spark, t):
 
 @query("win_session_stream", session_sql(i.TIMED, "ts", "2 hours", "user_id"))
 def win_session_stream(spark, t):
-    out = w.streaming_sessions(_timed_stream(t), ["user_id"], "ts", "2 hours", _sum())
-    return run_append(out, "session")
+    stream, flush = _timed_stream(t)
+    out = w.streaming_sessions(stream, ["user_id"], "ts", "2 hours", _sum())
+    return run_append(out, "session", flush=flush)
 
 
 @query("win_reduce", f"""SELECT word, {_bucket('30 minutes', 'ts')} AS win_start,

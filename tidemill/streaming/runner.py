@@ -15,42 +15,65 @@ from tidemill.sinks.upsert import UpsertTable
 FAR_FUTURE = "2200-01-01"
 
 
-def with_flush(stream: DataFrame, ts: str, **values) -> DataFrame:
-    """The stream plus one row in the far future, so that a watermark set on it passes all real rows.
+class Flush:
+    """One row in the far future, sent after all real rows, so that every window of a stream closes.
 
-    The row's own window stays open and is never emitted; row-wise operators
-    drop it with `without_flush`.  Its other columns are null but for `values`:
-    a join drops rows with a null key before it sees their time.
+    `attach` adds an empty side input to a stream, before its watermark is set;
+    `run_append` sends the row once the stream has come to its end.  The row's
+    own window stays open and is never emitted; row-wise operators drop it with
+    `without_flush`.
     """
-    spark = stream.sparkSession
-    folder = run_dir(spark, "flush")
-    row = spark.range(1).select(
-        *[
-            F.lit(FAR_FUTURE if f.name == ts else values.get(f.name)).cast(f.dataType).alias(f.name)
-            for f in stream.schema
-        ]
-    )
-    row.coalesce(1).write.parquet(folder)
-    return stream.unionByName(spark.readStream.schema(row.schema).parquet(folder))
+
+    def __init__(self):
+        self._rows: list[tuple[DataFrame, str]] = []
+
+    def attach(self, stream: DataFrame, ts: str, **values) -> DataFrame:
+        """Columns of the row are null but for `values`: a join drops rows with a null key before it sees their time."""
+        spark = stream.sparkSession
+        folder = run_dir(spark, "flush")
+        row = spark.range(1).select(
+            *[
+                F.lit(FAR_FUTURE if f.name == ts else values.get(f.name)).cast(f.dataType).alias(f.name)
+                for f in stream.schema
+            ]
+        )
+        row.limit(0).write.parquet(folder)
+        self._rows.append((row, folder))
+        return stream.unionByName(spark.readStream.schema(row.schema).parquet(folder))
+
+    def send(self) -> None:
+        for row, folder in self._rows:
+            row.coalesce(1).write.mode("append").parquet(folder)
 
 
 def without_flush(df: DataFrame, ts: str) -> DataFrame:
     return df.filter(F.col(ts) < F.lit(FAR_FUTURE).cast("timestamp"))
 
 
-def run_append(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """Run an append-mode stream to its end into exactly-once Parquet files and return the table."""
+def run_append(df: DataFrame, name: str, folder: str | None = None, flush: Flush | None = None) -> DataFrame:
+    """Run an append-mode stream to its end into exactly-once Parquet files and return the table.
+
+    With `flush` the stream goes on once more from its checkpoint, to close the
+    windows that the last rows left open.
+    """
     spark = df.sparkSession
     folder = folder or run_dir(spark, name)
-    (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+
+    def run() -> None:
+        (
+            df.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", f"{folder}/out")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+
+    run()
+    if flush:
+        flush.send()
+        run()
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 

@@ -23,3 +23,12 @@ def spark():
 @pytest.fixture(scope="session")
 def folder():
     return TESTDATA
+
+
+@pytest.fixture
+def two_partitions(spark):
+    """Few state stores for the slower stateful streams."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)

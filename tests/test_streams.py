@@ -82,16 +82,16 @@ def test_sessions(spark, tmp_path, files):
     assert rows(out) == rows(w.sessions(spark.createDataFrame(data(), DDL), ["k"], "ts", 6, {"n": F.sum("v")}))
 
 
-@FILES
-def test_value_state(spark, tmp_path, files):
+@pytest.mark.parametrize("files", [1, 3])
+def test_value_state(spark, tmp_path, files, two_partitions):
     out = runner.run_append(s.state_sum(feed(spark, data(), DDL, tmp_path, files), ["k"], "seq", "v", block_rows=16), "v")
     got = s.resolve_sum(out, ["k"], "v")
     want = r.running_reduce(spark.createDataFrame(data(), DDL), ["k"], "seq", "v")
     assert rows(got.select("k", "seq", "running")) == rows(want.select("k", "seq", "running"))
 
 
-@pytest.mark.parametrize("files", [1, 4])
-def test_map_state(spark, tmp_path, files):
+@pytest.mark.parametrize("files", [3])
+def test_map_state(spark, tmp_path, files, two_partitions):
     rows_in = [(k, str(v % 3), v, q) for k, v, q, _ in data()]
     ddl = "p string, c string, v bigint, seq bigint"
     out = runner.run_append(s.state_map_sum(feed(spark, rows_in, ddl, tmp_path, files), ["p"], "c", "seq", "v", block_rows=16), "m")
@@ -101,8 +101,8 @@ def test_map_state(spark, tmp_path, files):
     assert rows(both.select("seq", "total", "part")) == rows(want.select("seq", "total", "part"))
 
 
-@pytest.mark.parametrize("files", [1, 4])
-def test_list_state(spark, tmp_path, files):
+@pytest.mark.parametrize("files", [3])
+def test_list_state(spark, tmp_path, files, two_partitions):
     rows_in = [(k, f"e{q}", q) for k, v, q, _ in data()]
     out = runner.run_append(s.state_list(feed(spark, rows_in, "k string, e string, seq bigint", tmp_path, files), ["k"], "seq", "e", page_rows=16), "l")
     pages, want = {}, {}
@@ -112,45 +112,45 @@ def test_list_state(spark, tmp_path, files):
     assert {x.seq: x.items for x in out.collect()} == want
 
 
-def test_value_state_expires(spark, tmp_path):
-    """Two micro-batches further apart than the expiry: the second starts anew."""
-    rows_in = [("a", 1, 0), ("a", 2, 1)]
-    stream = feed(spark, rows_in, "k string, v bigint, seq bigint", tmp_path, 2)
-    slow = s.state_sum(stream, ["k"], "seq", "v", ttl_ms=500)
-    folder = run_dir(spark, "ttl")
+def run_two_batches(df, column):
+    """Expiry keeps a stream going without input, so it runs until both rows are out and is stopped."""
     got = []
 
     def write(batch, batch_id):
-        got.extend((x.seq, x.block_sum) for x in batch.collect())
-        time.sleep(1.5)
-
-    runner.run_batches(slow, write, folder)
-    assert sorted(got) == [(0, 1), (1, 2)]
-
+        new = [(x.seq, x[column]) for x in batch.collect()]
+        got.extend(new)
+        if new:
+            time.sleep(1.0)
+
+    folder = run_dir(df.sparkSession, "ttl")
+    query = df.writeStream.foreachBatch(write).option("checkpointLocation", folder).trigger(processingTime="100 milliseconds").start()
+    try:
+        give_up = time.monotonic() + 60
+        while len(got) < 2 and time.monotonic() < give_up and query.isActive:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    return sorted(got)
+
+
+def test_value_state_expires(spark, tmp_path, two_partitions):
+    """Two micro-batches further apart than the expiry: the second starts anew."""
+    stream = feed(spark, [("a", 1, 0), ("a", 2, 1)], "k string, v bigint, seq bigint", tmp_path, 2)
+    assert run_two_batches(s.state_sum(stream, ["k"], "seq", "v", ttl_ms=500), "block_sum") == [(0, 1), (1, 2)]
 
-def test_list_and_map_state_expire(spark, tmp_path):
-    got = {"list": [], "map": []}
 
-    def keep(kind, column):
-        def write(batch, batch_id):
-            got[kind].extend((x.seq, x[column]) for x in batch.collect())
-            time.sleep(1.5)
+def test_list_state_expires(spark, tmp_path, two_partitions):
+    stream = feed(spark, [("a", "x", 0), ("a", "y", 1)], "k string, e string, seq bigint", tmp_path, 2)
+    assert run_two_batches(s.state_list(stream, ["k"], "seq", "e", ttl_ms=500), "items") == [(0, "x"), (1, "y")]
 
-        return write
 
-    (tmp_path / "l").mkdir()
-    (tmp_path / "m").mkdir()
-    items = feed(spark, [("a", "x", 0), ("a", "y", 1)], "k string, e string, seq bigint", tmp_path / "l", 2)
-    runner.run_batches(s.state_list(items, ["k"], "seq", "e", ttl_ms=500), keep("list", "items"), run_dir(spark, "ttl"))
-    sums = feed(spark, [("a", "c", 1, 0), ("a", "c", 2, 1)], "k string, c string, v bigint, seq bigint", tmp_path / "m", 2)
-    runner.run_batches(
-        s.state_map_sum(sums, ["k"], "c", "seq", "v", ttl_ms=500, refresh_on_read=True), keep("map", "sub_sum"), run_dir(spark, "ttl")
-    )
-    assert sorted(got["list"]) == [(0, "x"), (1, "y")]
-    assert sorted(got["map"]) == [(0, 1), (1, 2)]
+def test_map_state_expires(spark, tmp_path, two_partitions):
+    stream = feed(spark, [("a", "c", 1, 0), ("a", "c", 2, 1)], "k string, c string, v bigint, seq bigint", tmp_path, 2)
+    sums = s.state_map_sum(stream, ["k"], "c", "seq", "v", ttl_ms=500, refresh_on_read=True)
+    assert run_two_batches(sums, "sub_sum") == [(0, 1), (1, 2)]
 
 
-def test_event_time_timer_flushes_at_the_next_minute_of_the_watermark(spark, tmp_path):
+def test_event_time_timer_flushes_at_the_next_minute_of_the_watermark(spark, tmp_path, two_partitions):
     flush = runner.Flush()
     stream = flush.attach(feed(spark, data(), DDL, tmp_path, 3), "ts").withWatermark("ts", "0 seconds")
     out = s.flush_on_timer(runner.without_flush(stream, "ts"), ["k"], ["k", "v", "seq"], "seq", event_time=True)
@@ -159,7 +159,7 @@ def test_event_time_timer_flushes_at_the_next_minute_of_the_watermark(spark, tmp
     assert all(x.flushed_at % 60_000 == 0 for x in got)
 
 
-def test_processing_time_timer(spark, tmp_path):
+def test_processing_time_timer(spark, tmp_path, two_partitions):
     out = s.flush_on_timer(feed(spark, data(), DDL, tmp_path, 2), ["k"], ["k", "v", "seq"], "seq", event_time=False, every_ms=1000)
     got = runner.run_until_timers(out, "timer", every_ms=1000).collect()
     assert sorted(x.seq for x in got) == list(range(60))

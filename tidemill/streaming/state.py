@@ -4,6 +4,9 @@ State is kept per key and block of the arrival order (or per key and salt where
 order does not matter), so one key's rows and state are spread over tasks and a
 processor never holds more rows of a key than a block has.  `resolve_*` then
 adds what earlier blocks hold, which turns block values into values of the key.
+
+Expiry (`ttl_ms`) counts processing time and keeps a stream going when no input
+comes, so such a stream runs on an interval trigger, not to an end.
 """
 
 from __future__ import annotations

@@ -1,16 +1,19 @@
 """Running (prefix) aggregates over an ordered sequence, safe for hot keys.
 
 A plain `agg().over(partitionBy(key).orderBy(seq))` sorts all rows of a key in
-one task.  Here the sequence is cut into blocks of a fixed width:
+one task.  Here keys with more rows than a block are found first, and their
+sequence is cut into blocks of a fixed width:
 
-1. every (key, block) is pre-aggregated, with map-side combine;
+1. every (hot key, block) is pre-aggregated, with map-side combine;
 2. these few summaries are carried forward over the blocks of a key;
 3. each (key, block) is scanned on its own, opened by one row that holds what
    the earlier blocks contributed.
 
-The rows themselves are shuffled once, as for the plain window, but a key's rows
-are spread over as many tasks as it has blocks.  `seq` must be a unique integer
-per key, so a block never holds more rows of a key than its width.
+The rows themselves are shuffled once, as for the plain window, but a hot key's
+rows are spread over as many tasks as it has blocks; other keys stay whole.  A
+hot key holds more than 1/65,536 of all rows, so there are fewer than 65,536 of
+them and their list is safe to broadcast.  `seq` must be a unique integer per
+key, so a block never holds more rows of a key than its width.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ MIN_BLOCK = 1024
 MAX_BLOCKS = 65536
 
 _BLOCK = "__block"
+_HOT = "__hot"
 _OPENS = "__opens"
 
 
@@ -99,6 +103,26 @@ def block_start(seq: str, width) -> Column:
     return F.col(seq) - F.pmod(F.col(seq), width)
 
 
+def _blocked(df: DataFrame, keys: list[str], seq: str, width) -> DataFrame:
+    """Add the block of each row, null for keys that fit into one block."""
+    width = F.lit(width).cast("long") if isinstance(width, int) else width
+    start = block_start(seq, width)
+    if not keys:
+        return df.withColumn(_BLOCK, start)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n").alias("total")).scalar()
+    limit = F.greatest(width, F.ceil(total / F.lit(MAX_BLOCKS)).cast("long"))
+    hot = counts.filter(F.col("__n") > limit).select(
+        *[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias(_HOT)
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
+    return (
+        df.join(F.broadcast(hot), same, "left")
+        .withColumn(_BLOCK, F.when(F.col(_HOT), start))
+        .drop(_HOT, *[f"__hot_{k}" for k in keys])
+    )
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -126,17 +150,16 @@ def running_ordered(
 ) -> DataFrame:
     """`running` for a finer order: blocks are cut on `seq`, rows sorted by `order`.
 
-    `order` must agree with `seq`.  Rows equal in `seq` share a block, so here
+    `order` must agree with `seq` and start with an ascending column without
+    nulls.  Rows equal in `seq` share a block, so here
     the width bounds a block's span, not its rows.
     """
     if width is None:
         width = block_width(df, seq)
     lifted = {name: f"__scan_{name}" for name in scans}
-    rows = df.withColumns(
-        {_BLOCK: block_start(seq, width), **{lifted[n]: s.value for n, s in scans.items()}}
-    )
+    rows = _blocked(df, keys, seq, width).withColumns({lifted[n]: s.value for n, s in scans.items()})
 
-    summaries = rows.groupBy(*keys, _BLOCK).agg(
+    summaries = rows.filter(F.col(_BLOCK).isNotNull()).groupBy(*keys, _BLOCK).agg(
         *[s.group(lifted[n], seq).alias(lifted[n]) for n, s in scans.items()]
     )
     earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
@@ -149,7 +172,7 @@ def running_ordered(
     last = 0 if inclusive else -1
     within = (
         Window.partitionBy(*keys, _BLOCK)
-        .orderBy(F.col(_OPENS).desc(), *order)
+        .orderBy(*order)  # an opening row has no position, and null sorts first
         .rowsBetween(Window.unboundedPreceding, last)
     )
     both = rows.withColumn(_OPENS, F.lit(False)).unionByName(openers, allowMissingColumns=True)
@@ -175,12 +198,10 @@ def running_levels(
         width = block_width(df, seq)
     scans = {name: scan for _, own in levels for name, scan in own.items()}
     lifted = {name: f"__scan_{name}" for name in scans}
-    rows = df.withColumns(
-        {_BLOCK: block_start(seq, width), **{lifted[n]: s.value for n, s in scans.items()}}
-    )
+    rows = _blocked(df, levels[0][0], seq, width).withColumns({lifted[n]: s.value for n, s in scans.items()})
 
     finest = levels[-1][0]
-    summaries = rows.groupBy(*finest, _BLOCK).agg(
+    summaries = rows.filter(F.col(_BLOCK).isNotNull()).groupBy(*finest, _BLOCK).agg(
         *[s.group(lifted[n], seq).alias(lifted[n]) for n, s in scans.items()]
     )
     both = rows.withColumn(_OPENS, F.lit(False))
@@ -201,7 +222,7 @@ def running_levels(
     for keys, own in levels:
         within = (
             Window.partitionBy(*keys, _BLOCK)
-            .orderBy(F.col(_OPENS).desc(), F.col(seq))
+            .orderBy(F.col(seq))
             .rowsBetween(Window.unboundedPreceding, 0)
         )
         both = both.select("*", *[s.over(lifted[n], within).alias(n) for n, s in own.items()])

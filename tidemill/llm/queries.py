@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import substring
+from pyspark.sql import functions as F
+
+from tidemill.llm import substring, topk, urls
 from tidemill.llm.registry import query
 from tidemill.llm.tables import read
 
@@ -13,3 +15,15 @@ from tidemill.llm.tables import read
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words outside repeated 35-word windows, per document."""
     return substring.digest(substring.remove_repeats(read(spark, sf_dir, "documents")))
+
+
+@query("op3_exact_topk", topk.ORACLE)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector among all others."""
+    return topk.exact_top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op10_url_filter", urls.ORACLE)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page urls."""
+    return urls.judge_urls(read(spark, sf_dir, "pages"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemill.llm import substring, topk, urls
+from tidemill.llm import decontaminate, substring, topk, urls
 from tidemill.llm.registry import query
 from tidemill.llm.tables import read
 
@@ -27,3 +27,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all page urls."""
     return urls.judge_urls(read(spark, sf_dir, "pages"))
+
+
+@query("op6_winnowing", decontaminate.ORACLE)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents that lie in a 10-word window of a benchmark item."""
+    return decontaminate.digest(decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))

@@ -43,13 +43,13 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]] if len(at) else raw[:0], at - at[0] if len(at) else np.zeros(1, np.int64)
 
 
-def pieces(batches, column: str, limit: int = PIECE_BYTES):
+def pieces(batches, *columns: str, limit: int = PIECE_BYTES):
     """Cut record batches so that the text of a piece stays near `limit` bytes; every row is in one piece."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        ends, start = np.cumsum(lengths), 0
+        lengths = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False) for c in columns)
+        ends, start = np.cumsum(lengths, dtype=np.int64), 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))

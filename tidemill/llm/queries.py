@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, neardup, substring, topk, urls
+from tidemill.llm import decontaminate, licenses, neardup, substring, topk, urls
 from tidemill.llm.registry import query
 from tidemill.llm.tables import read
 
@@ -39,3 +39,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return neardup.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "keep")
+
+
+@query("op1_license_scan", licenses.ORACLE)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that are the whole text or a whole line of each document."""
+    return licenses.scan(read(spark, sf_dir, "documents"), licenses.known_digests(spark))

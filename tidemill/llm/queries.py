@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, licenses, neardup, substring, topk, urls
+from tidemill.llm import decontaminate, language, licenses, neardup, substring, topk, urls
 from tidemill.llm.registry import query
 from tidemill.llm.tables import read
 
@@ -45,3 +45,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences that are the whole text or a whole line of each document."""
     return licenses.scan(read(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    return language.predict(read(spark, sf_dir, "documents"))

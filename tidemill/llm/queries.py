@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, language, licenses, neardup, substring, topk, urls
+from tidemill.llm import decontaminate, language, licenses, neardup, quality, substring, topk, urls
 from tidemill.llm.registry import query
 from tidemill.llm.tables import read
 
@@ -51,3 +51,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     return language.predict(read(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_cnn")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from labels that are not held out."""
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

@@ -33,3 +33,22 @@ def text_key(text: str = "text") -> list[Column]:
 
 def ready(spark: SparkSession) -> SparkSession:
     return prepare(spark)
+
+
+def labelled_sample(labels: DataFrame, column: str, rows_per_class: int) -> DataFrame:
+    """doc_id and label of about `rows_per_class` trainable rows of each class, chosen by a hash of the id.
+
+    A document with several labels has the largest. The result is staged, so its true size is known to joins.
+    """
+    known = (
+        labels.filter(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & ~held_out())
+        .groupBy("doc_id")
+        .agg(F.max(F.col(column).cast("int")).alias("label"))
+    )
+    known = stage(known, "labels-known")
+    sizes = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
+    share = F.lit(0.0)
+    for label, n in sizes.items():
+        share = F.when(F.col("label") == label, min(1.0, rows_per_class / n)).otherwise(share)
+    chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000)
+    return stage(chosen, "labels-sample")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, language, licenses, neardup, quality, substring, topk, urls
+from tidemill.llm import decontaminate, language, licenses, neardup, quality, substring, topk, toxicity, urls
 from tidemill.llm.registry import query
 from tidemill.llm.tables import read
 
@@ -57,3 +57,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learned from labels that are not held out."""
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learned from labels that are not held out."""
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, language, licenses, neardup, quality, substring, topk, toxicity, urls
+from tidemill.llm import decontaminate, language, licenses, mixing, neardup, quality, substring, topk, toxicity, urls
 from tidemill.llm.registry import query
 from tidemill.llm.tables import read
 
@@ -63,3 +63,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents, learned from labels that are not held out."""
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op2_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents at which the domains' expected tokens match the targets."""
+    return mixing.mix_rates(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

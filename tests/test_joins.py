@@ -132,15 +132,15 @@ def test_enrich_client_per_task(spark):
     assert rows(out) == [(i, f"v{i}") for i in range(4)]
 
 
-def test_ip_locator_equals_join_and_refuses_large_sets(spark):
-    from tidemill.functions.udfs import ip_locator
+def test_ip_locate_equals_join_and_overlaps_are_refused(spark):
+    from tidemill.functions.udfs import ip_locate
 
     rules = spark.createDataFrame([(0, 9, "p0"), (20, 300, "p1")], "start_num bigint, end_num bigint, province string")
     ips = spark.createDataFrame([(f"0.0.{i // 256}.{i % 256}",) for i in range(0, 320, 5)], "ip string")
-    got = ips.select("ip", ip_locator(rules, "province")("ip").alias("province"))
-    assert rows(got) == rows(j.ip_lookup(ips, "ip", rules, ["province"]))
-    with pytest.raises(ValueError, match="ip_lookup"):
-        ip_locator(rules, "province", max_rules=1)
+    assert rows(ip_locate(ips, "ip", rules, "province")) == rows(j.ip_lookup(ips, "ip", rules, ["province"]))
+    twice = rules.union(spark.createDataFrame([(5, 25, "p2")], rules.schema))
+    with pytest.raises(Exception, match="overlap"):
+        j.ip_lookup(ips, "ip", twice, ["province"]).collect()
 
 
 def test_own_aggregate_in_two_steps(spark):

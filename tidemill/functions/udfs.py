@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,36 +15,11 @@ def register_ip_number(spark: SparkSession) -> None:
     )
 
 
-def ip_locator(rules: DataFrame, name: str, max_rules: int = 2_000_000):
-    """A vectorised function ip -> `name` of its rule, for rule sets of a checked size.
-
-    The rules are read once per worker from a broadcast of sorted arrays.  A set
-    beyond `max_rules` is refused; `ip_lookup` joins rule sets of any size.
-    """
-    import numpy as np
-
-    spark = rules.sparkSession
-    n = rules.limit(max_rules + 1).count()
-    if n > max_rules:
-        raise ValueError("too many rules to broadcast; use ip_lookup")
-    table = rules.select("start_num", "end_num", name).toPandas().sort_values("start_num")
-    shared = spark.sparkContext.broadcast(
-        (table["start_num"].to_numpy("int64"), table["end_num"].to_numpy("int64"), table[name].to_numpy(object))
-    )
+def ip_locate(df: DataFrame, ip: str, rules: DataFrame, name: str) -> DataFrame:
+    """Add `name` of the rule that holds the address; a name for the block join, for rule sets of any size."""
+    from tidemill.operators.joins import ip_lookup
 
-    @F.pandas_udf("string")
-    def locate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        starts, ends, names = shared.value
-        for ips in batches:
-            octets = ips.str.split(".", expand=True).to_numpy("int64")
-            numbers = np.zeros(len(ips), "int64")
-            for i in range(octets.shape[1]):
-                numbers = numbers * 256 + octets[:, i]
-            at = np.searchsorted(starts, numbers, side="right") - 1
-            hit = (at >= 0) & (numbers <= ends[at.clip(0)])
-            yield pd.Series(np.where(hit, names[at.clip(0)], None), dtype=object)
-
-    return locate
+    return ip_lookup(df, ip, rules, [name])
 
 
 def my_sum():

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import queue
+import threading
+import time
 from typing import Callable, Iterator
 
 import pandas as pd
@@ -22,8 +24,8 @@ def enrich(
     """Add the columns `outputs` (DDL) from `lookup(*inputs)`, called from each partition.
 
     Equal inputs of one Arrow batch are asked for once; rows keep their order
-    within the partition.  An error, no answer or a call longer than the timeout
-    gives null.  With `open_client` one client per task is made and passed to
+    within the partition.  An error, no answer or a call longer than the timeout,
+    counted from its own start, gives null and frees its place for the next call.  With `open_client` one client per task is made and passed to
     `lookup` first.  Use a join instead where the service is a table.
     """
     added = StructType.fromDDL(outputs)
@@ -31,30 +33,43 @@ def enrich(
     schema = StructType(df.schema.fields + added.fields)
     nothing = (None,) * len(names)
 
-    def ask(pool: ThreadPoolExecutor, call: Callable, keys: pd.DataFrame) -> list[tuple]:
-        answers: list[tuple] = []
+    def ask(call: Callable, keys: pd.DataFrame) -> list[tuple]:
         rows = list(keys.itertuples(index=False, name=None))
-        for at in range(0, len(rows), in_flight):
-            futures = [pool.submit(call, *row) for row in rows[at : at + in_flight]]
-            for future in futures:
-                try:
-                    answers.append(future.result(timeout=timeout_seconds) or nothing)
-                except Exception:
-                    answers.append(nothing)
+        answers: list[tuple] = [nothing] * len(rows)
+        came: queue.Queue = queue.Queue()
+
+        def one(at: int) -> None:
+            try:
+                came.put((at, call(*rows[at]) or nothing))
+            except Exception:
+                came.put((at, nothing))
+
+        started: dict[int, float] = {}  # in the order of their starts
+        at = 0
+        while at < len(rows) or started:
+            while at < len(rows) and len(started) < in_flight:
+                # A hung call keeps only its own thread, which does not outlive the worker.
+                threading.Thread(target=one, args=(at,), daemon=True).start()
+                started[at] = time.monotonic()
+                at += 1
+            oldest = next(iter(started.values()))
+            try:
+                done, answer = came.get(timeout=max(0.0, oldest + timeout_seconds - time.monotonic()))
+                if started.pop(done, None) is not None:
+                    answers[done] = answer
+            except queue.Empty:
+                now = time.monotonic()
+                started = {k: begun for k, begun in started.items() if begun + timeout_seconds > now}
         return answers
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = (open_client(),) if open_client else ()
-        pool = ThreadPoolExecutor(max_workers=in_flight)
-        try:
-            for batch in batches:
-                keys = batch[inputs].drop_duplicates()
-                found = ask(pool, lambda *row: lookup(*client, *row), keys)
-                answers = pd.DataFrame(found, columns=names, index=keys.index).astype(object)
-                answers[inputs] = keys
-                merged = batch.merge(answers, on=inputs, how="left", sort=False)
-                yield merged[schema.fieldNames()]
-        finally:
-            pool.shutdown(wait=False, cancel_futures=True)
+        for batch in batches:
+            keys = batch[inputs].drop_duplicates()
+            found = ask(lambda *row: lookup(*client, *row), keys)
+            answers = pd.DataFrame(found, columns=names, index=keys.index).astype(object)
+            answers[inputs] = keys
+            merged = batch.merge(answers, on=inputs, how="left", sort=False)
+            yield merged[schema.fieldNames()]
 
     return df.mapInPandas(run, schema)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.session import shared_dir
+from tidemill.session import run_dir, shared_dir
 
 
 def iterate_until(
@@ -17,13 +16,13 @@ def iterate_until(
     body: Callable[[Column], Column],
     again: Callable[[Column], Column],
     steps_per_round: int = 64,
-    max_rounds: int = 1000,
 ) -> DataFrame:
     """Apply `body` at least once and go on while `again` holds for the result.
 
     A round runs up to `steps_per_round` steps inside one JVM expression.  Values
     that need more go to the next round, whose input is checkpointed so that the
-    plan does not grow and lost executors do not repeat earlier rounds.
+    plan does not grow and lost executors do not repeat earlier rounds.  Finished
+    rows go to one written table.  A loop that never ends for some value never ends here.
     """
     shared_dir(df.sparkSession)
 
@@ -32,11 +31,10 @@ def iterate_until(
         return F.aggregate(steps, body(v), lambda acc, _: F.when(again(acc), body(acc)).otherwise(acc))
 
     kind = dict(df.dtypes)[value]
-    done, open_rows = [], df
-    for _ in range(max_rounds):
+    folder, open_rows = run_dir(df.sparkSession, "iterate"), df
+    while True:
         stepped = open_rows.withColumn(value, run(F.col(value)).cast(kind)).checkpoint()
-        done.append(stepped.filter(~F.coalesce(again(F.col(value)), F.lit(False))))
+        stepped.filter(~F.coalesce(again(F.col(value)), F.lit(False))).write.mode("append").parquet(folder)
         open_rows = stepped.filter(again(F.col(value)))
         if open_rows.isEmpty():
-            return reduce(DataFrame.unionByName, done)
-    raise RuntimeError(f"not finished after {max_rounds} rounds of {steps_per_round} steps")
+            return df.sparkSession.read.schema(df.schema).parquet(folder)

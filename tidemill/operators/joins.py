@@ -6,7 +6,7 @@ its threshold, and otherwise shuffles and splits skewed partitions at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.net import ip_number
@@ -139,12 +139,18 @@ def ip_lookup(
 
     A rule is listed under every block of 2^shift addresses it touches, so the
     join is an equality on the block and the range is checked within it.  Rules
-    must not overlap (`check_rules`).
+    that overlap stop the query: an address would have two answers.
     """
     listed = rules.withColumn(
         "__block",
         F.explode(F.sequence(F.shiftright("start_num", shift), F.shiftright("end_num", shift))),
     ).select("__block", "start_num", "end_num", *names)
+    # Rules that overlap meet in some block.
+    before = Window.partitionBy("__block").orderBy("start_num", "end_num").rowsBetween(Window.unboundedPreceding, -1)
+    overlap = F.max("end_num").over(before) >= F.col("start_num")
+    listed = listed.withColumn(
+        "start_num", F.when(overlap, F.raise_error(F.lit("address rules overlap")).cast("bigint")).otherwise(F.col("start_num"))
+    )
     asked = df.withColumn("__ip", ip_number(ip)).withColumn("__block_asked", F.shiftright("__ip", shift))
     hit = (F.col("__block") == F.col("__block_asked")) & F.col("__ip").between(
         F.col("start_num"), F.col("end_num")

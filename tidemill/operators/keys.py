@@ -28,16 +28,6 @@ def rebalance(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly row-wise work on an input that comes in too few partitions.
-
-    An input with at least as many partitions as cores is left alone, so only
-    small inputs are ever shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def rescale(df: DataFrame, partitions: int, current: int | None = None) -> DataFrame:
     """Change the number of partitions, without a shuffle where it shrinks."""
     if current is not None and partitions <= current:

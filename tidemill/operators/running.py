@@ -87,10 +87,14 @@ def running_distinct_counts(
     firsts = (
         df.filter(F.col(member).isNotNull())
         .groupBy(*keys, member)
-        .agg(F.min(seq).alias(seq))
-        .select(seq, F.lit(1).cast("long").alias("__new"))
+        .agg(F.min(seq).alias("__first"))
+        .select(*[F.col(c).alias(f"__of_{c}") for c in [*keys, member]], "__first", F.lit(1).cast("long").alias("__new"))
     )
-    marked = df.join(firsts, seq, "left").withColumn("__new", F.coalesce("__new", F.lit(0).cast("long")))
+    # A sequence value is unique within a key only, and a key may be null.
+    same = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in keys]
+    same += [F.col(member) == F.col(f"__of_{member}"), F.col(seq) == F.col("__first")]
+    marked = df.join(firsts, same, "left").withColumn("__new", F.coalesce("__new", F.lit(0).cast("long")))
+    marked = marked.drop("__first", *[f"__of_{c}" for c in [*keys, member]])
     scans = {"n_rows": scan_count(), "n_members": scan_sum("__new")}
     return running(marked, keys, seq, scans, width).drop("__new")
 
@@ -112,13 +116,34 @@ def paged_history(
     return placed.withColumn("page_items", F.collect_list(value).over(so_far))
 
 
+def full_history(paged: DataFrame, keys: list[str], name: str = "items") -> DataFrame:
+    """The whole list after every row of `paged_history`: the full earlier pages, then the row's own.
+
+    The output grows with the square of a key's rows, as the lists themselves do.
+    """
+    ends = paged.groupBy(*keys, "page").agg(F.max_by("page_items", "pos").alias("__page"))
+    earlier = Window.partitionBy(*keys).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(
+        *[F.col(k).alias(f"__of_{k}") for k in keys],
+        F.col("page").alias("__of_page"),
+        F.flatten(F.collect_list("__page").over(earlier)).alias("__earlier"),
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in [*keys, "page"]]
+    out = paged.join(ends, same).withColumn(name, F.concat("__earlier", "page_items"))
+    return out.drop("__earlier", *[f"__of_{k}" for k in [*keys, "page"]])
+
+
 def changelog(df: DataFrame, keys: list[str], seq: str, value: str, name: str = "total", width=None) -> DataFrame:
     """Running sum as a change log: the old total is taken back, the new one added.
 
     The sum of `name` over added minus removed rows of a key is its final total.
     """
-    sums = running(df, keys, seq, {"__new": scan_sum(value), "__pos": scan_count()}, width)
-    old = F.struct(F.lit(False).alias("added"), (F.col("__new") - F.col(value)).alias(name))
+    present = F.col(value).isNotNull().cast("long")
+    scans = {"__new": scan_sum(value), "__pos": scan_count(), "__present": scan_sum(present)}
+    sums = running(df, keys, seq, scans, width)
+    # Null adds nothing; before the first value that is not null the total is null.
+    before = F.when(F.col("__present") > present, F.col("__new") - F.coalesce(value, F.lit(0)))
+    old = F.struct(F.lit(False).alias("added"), before.alias(name))
     new = F.struct(F.lit(True).alias("added"), F.col("__new").alias(name))
     changes = F.when(F.col("__pos") == 1, F.array(new)).otherwise(F.array(old, new))
     return sums.select(*keys, seq, F.explode(changes).alias("c")).select(*keys, seq, "c.*")
@@ -139,7 +164,7 @@ def expiring_sum(df: DataFrame, keys: list[str], seq: str, at_ms: str, value: st
     before = F.coalesce("__before", F.lit(0))
     start = F.when(restart, F.struct(F.col(seq).alias("s"), before.alias("b")))
     out = running(totals.withColumn("__at_start", start), keys, seq, {"__start": scan_max("__at_start")}, width)
-    return out.withColumn("live_sum", before + F.col(value) - F.col("__start.b")).drop(
+    return out.withColumn("live_sum", before + F.coalesce(value, F.lit(0)) - F.col("__start.b")).drop(
         "__prev", "__before", "__at_start", "__start"
     )
 

@@ -6,6 +6,7 @@ the shuffle, so a hot key or a hot window sends summaries, not rows.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from typing import Callable
 
@@ -38,6 +39,21 @@ def sliding(
     return _flat(out, keys, list(aggs))
 
 
+#: How partial results of a native aggregate are put together.
+_MERGES = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
+
+
+def _mergeable(aggs: dict[str, Column]) -> dict[str, Callable]:
+    """The aggregate that puts partial results together, for each name."""
+    merges = {}
+    for name, column in aggs.items():
+        call = re.match(r"Column<'(\w+)\(", str(column))
+        if not call or call[1].lower() not in _MERGES:
+            raise ValueError(f"{name}: only sum, count, max and min can be put together from parts")
+        merges[name] = _MERGES[call[1].lower()]
+    return merges
+
+
 def sliding_from_panes(
     df: DataFrame,
     keys: list[str],
@@ -46,14 +62,15 @@ def sliding_from_panes(
     slide: str,
     sums: dict[str, Column],
 ) -> DataFrame:
-    """Sliding sums over batch input, from panes of one slide each.
+    """Sliding sums, counts, maxima and minima over batch input, from panes of one slide each.
 
     Every row is aggregated once into its pane; only panes are copied into the
     `size / slide` windows that cover them.
     """
+    merges = _mergeable(sums)
     panes = df.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(*[c.alias(n) for n, c in sums.items()])
     wide = panes.withColumn("at", F.col("pane.start")).drop("pane")
-    out = wide.groupBy(F.window("at", size, slide).alias("window"), *keys).agg(*[F.sum(n).alias(n) for n in sums])
+    out = wide.groupBy(F.window("at", size, slide).alias("window"), *keys).agg(*[merges[n](n).alias(n) for n in sums])
     return _flat(out, keys, list(sums))
 
 
@@ -76,6 +93,7 @@ def sessions(
     first combined into (key, slot); only these slots are put in order per key.
     Their number depends on the time covered, not on the number of rows.
     """
+    merges = _mergeable(sums)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     gap = F.lit(gap_seconds * 1_000_000).cast("long")
     slots = (
@@ -89,7 +107,7 @@ def sessions(
         "__session", F.sum("__starts").over(by_slot.rowsBetween(Window.unboundedPreceding, 0))
     )
     out = numbered.groupBy(*keys, "__session").agg(
-        F.min("__from").alias("__from"), F.max("__to").alias("__to"), *[F.sum(n).alias(n) for n in sums]
+        F.min("__from").alias("__from"), F.max("__to").alias("__to"), *[merges[n](n).alias(n) for n in sums]
     )
     return out.select(
         *keys,

@@ -185,6 +185,17 @@ def user_history(spark, t):
     return out.withColumn("page_items", F.concat_ws(",", "page_items"))
 
 
+@query("user_history_full", """SELECT user_id, event_id, event_type, pos, string_agg(event_type, ',') OVER (
+  PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS items
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS pos FROM events)""")
+def user_history_full(spark, t):
+    """Each user's whole list of events after every event."""
+    rows = t.events.select("user_id", "event_id", "event_type")
+    paged = r.paged_history(rows, ["user_id"], "event_id", "event_type", width=t.event_width)
+    out = r.full_history(paged, ["user_id"])
+    return out.select("user_id", "event_id", "event_type", "pos", F.concat_ws(",", "items").alias("items"))
+
+
 # --- SQL and change log -----------------------------------------------------------
 
 

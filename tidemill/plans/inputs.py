@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import text_lines, tokens
-from tidemill.operators.keys import spread
 from tidemill.sources.tables import Tables
 
 EPOCH = "TIMESTAMP '1970-01-01'"
 
 
 def lines(t: Tables) -> DataFrame:
-    return text_lines(spread(t.documents.select("doc_id", "text")), "text", keep=["doc_id"])
+    return text_lines(t.documents.select("doc_id", "text"), "text", keep=["doc_id"])
 
 
 LINES = """(SELECT doc_id, CAST(unnest(range(len(l))) AS INTEGER) AS line_no, unnest(l) AS line

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemill.functions.udfs import ip_locator, register_functions
+from tidemill.functions.udfs import ip_locate, register_functions
 from tidemill.operators import joins as j
 from tidemill.plans import inputs as i
 from tidemill.plans.registry import query
@@ -139,9 +139,8 @@ def sql_ip_location(spark, t):
 
 @query("udf_ip_location", IP)
 def udf_ip_location(spark, t):
-    """The lookup as a vectorised function over broadcast rules of checked size."""
-    locate = ip_locator(i.ip_rules(t), "province")
-    return i.ip_lines(t).select("event_id", "ip", locate("ip").alias("province"))
+    """The lookup by its short name."""
+    return ip_locate(i.ip_lines(t), "ip", i.ip_rules(t), "province")
 
 
 LOOKUP = """SELECT c_custkey, c_nationkey, n_name AS name FROM customer

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import TaskContext
@@ -36,11 +37,15 @@ class _LineWriter(DataSourceWriter):
     """Opens one file per task attempt, writes record by record, and closes it.
 
     A retried task writes a new file; only files named by a committed task are
-    listed in the manifest that the commit leaves behind.
+    listed in the manifest that the commit leaves behind.  Every write has files
+    and a manifest of its own, so appending keeps what was there; overwriting
+    removes the earlier manifests once its own is written.
     """
 
-    def __init__(self, options):
+    def __init__(self, options, overwrite=False):
         self.where = options["path"]
+        self.overwrite = overwrite
+        self.run = uuid.uuid4().hex
 
     def _store(self):
         from pyarrow import fs
@@ -50,7 +55,7 @@ class _LineWriter(DataSourceWriter):
     def write(self, rows):
         store, folder = self._store()
         context = TaskContext.get()
-        path = f"{folder}/part-{context.partitionId():05d}-{context.taskAttemptId()}.txt"
+        path = f"{folder}/part-{context.partitionId():05d}-{context.taskAttemptId()}-{self.run}.txt"
         store.create_dir(folder, recursive=True)
         n = 0
         with store.open_output_stream(path) as out:
@@ -60,11 +65,18 @@ class _LineWriter(DataSourceWriter):
         return _Written(path, n)
 
     def commit(self, messages):
+        from pyarrow import fs
+
         store, folder = self._store()
-        with store.open_output_stream(f"{folder}/manifest.tsv") as out:
+        store.create_dir(folder, recursive=True)
+        found = store.get_file_info(fs.FileSelector(folder)) if self.overwrite else []
+        with store.open_output_stream(f"{folder}/manifest-{self.run}.tsv") as out:
             for message in messages:
                 if message is not None:
                     out.write(f"{message.path}\t{message.rows}\n".encode())
+        for old in found:
+            if old.base_name.startswith("manifest-"):
+                store.delete_file(old.path)
 
     def abort(self, messages):
         store, _ = self._store()
@@ -81,7 +93,7 @@ class LineSink(DataSource):
         return "tidemill_lines"
 
     def writer(self, schema, overwrite):
-        return _LineWriter(self.options)
+        return _LineWriter(self.options, overwrite)
 
 
 class RowSink:
@@ -102,9 +114,9 @@ class RowSink:
 
 
 def read_lines_sink(spark, path: str) -> DataFrame:
-    """What a finished `LineSink` write committed."""
+    """What finished `LineSink` writes committed."""
     files = (
-        spark.read.text(f"{path}/manifest.tsv")
+        spark.read.text(f"{path}/manifest-*.tsv")
         .select(F.split("value", "\t")[0].alias("path"))
         .select(F.element_at(F.split("path", "/"), -1).alias("file"))
     )

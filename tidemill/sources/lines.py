@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from tidemill.operators.rows import parse_delimited
+from pyspark.sql.types import _parse_datatype_string
 
 
 def read_lines(spark: SparkSession, kind: str, **options) -> DataFrame:
@@ -74,13 +73,17 @@ def decode_csv(records: DataFrame, ddl: str, time_name: str = "ts") -> DataFrame
     """Fields of a delimited value plus the record time.
 
     A field that does not parse becomes null; a record with too few or too many
-    fields is skipped.
+    fields is skipped.  Fields may be quoted.
     """
-    text = F.col("value").cast("string")
-    n_fields = len(ddl.split(","))
-    whole = records.withColumn("__line", text).filter(F.size(F.split("__line", ",")) == n_fields)
-    named = whole.withColumn(time_name, F.col("timestamp"))
-    return parse_delimited(named, "__line", ddl, on_error="null", keep=[time_name])
+    fields = _parse_datatype_string(ddl).fields
+    texts = ", ".join(f"_{i} string" for i in range(len(fields))) + ", _odd string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_odd", "nullValue": "\0", "emptyValue": ""}
+    parsed = records.select(
+        F.col("timestamp").alias(time_name), F.from_csv(F.col("value").cast("string"), texts, options).alias("__f")
+    )
+    values = [F.col(f"__f._{i}").try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)]
+    # Each field is read as text, so only a wrong number of fields makes a record odd.
+    return parsed.filter(F.col("__f").isNotNull() & F.col("__f._odd").isNull()).select(time_name, *values)
 
 
 def decode_json(records: DataFrame, ddl: str, time_name: str = "ts") -> DataFrame:

@@ -18,7 +18,7 @@ class _TailReader(DataSourceStreamReader):
     def __init__(self, options):
         self.where = options["path"]
         self.split = int(options.get("split_bytes", str(32 << 20)))
-        self.suffix = options.get("suffix", ".txt")
+        self.suffix = options.get("suffix", "")
         self.ends = {}
 
     def _files(self):
@@ -54,36 +54,39 @@ class _TailReader(DataSourceStreamReader):
     def read(self, part):
         index, path, at, stop, opens = part.value
         store, _ = fs.FileSystem.from_uri(self.where)
+        name = path.rsplit("/", 1)[-1]
         with store.open_input_file(path) as file:
+            # The line that runs into a later range belongs to the one before: it is read from its last byte on.
+            lines = _lines(file, at if opens else at - 1, stop)
             if not opens:
-                # The line that runs into this range belongs to the one before.
-                file.seek(at - 1)
-                at += len(_read_line(file)) - 1
-            file.seek(at)
-            while at < stop:
-                line = _read_line(file)
-                if not line:
-                    break
-                at += len(line)
-                yield (index, path.rsplit("/", 1)[-1], line.rstrip(b"\r\n").decode("utf-8"))
+                next(lines, None)
+            for line in lines:
+                yield (index, name, line.rstrip(b"\r").decode("utf-8"))
 
     def commit(self, end):
         pass
 
 
-def _read_line(file) -> bytes:
-    """The bytes up to and with the next line feed; the file is left right after it."""
-    start, parts = file.tell(), []
-    while True:
+def _lines(file, at: int, stop: int):
+    """Lines that begin in [at, stop), without their line feeds; blocks are read one after the other, each once."""
+    file.seek(at)
+    rest: list[bytes] = []
+    while at < stop:
         block = file.read(_BLOCK)
-        cut = block.find(b"\n")
-        if cut >= 0 or not block:
-            parts.append(block[: cut + 1] if cut >= 0 else block)
-            break
-        parts.append(block)
-    line = b"".join(parts)
-    file.seek(start + len(line))
-    return line
+        if not block:
+            if rest:
+                yield b"".join(rest)
+            return
+        *ended, last = block.split(b"\n")
+        for part in ended:
+            if at >= stop:
+                return
+            line = b"".join([*rest, part])
+            rest = []
+            at += len(line) + 1
+            yield line
+        if last:
+            rest.append(last)
 
 
 def _end_of_last_line(store, info) -> int:

@@ -251,7 +251,7 @@ class Model:
     trigrams: np.ndarray
     marks: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    unit: np.ndarray = field(default_factory=lambda: np.r_[np.zeros(TOP + 1), -30.0])
+    unit: np.ndarray = field(default_factory=lambda: np.r_[np.zeros(TOP), -30.0])
 
     def weigh(self, value: np.ndarray) -> np.ndarray:
         if not len(self.marks):
@@ -260,12 +260,11 @@ class Model:
         return np.where(self.marks[at] == value, self.weights[at], 0.0)
 
     def features(self, reader: _Reader, column: pa.Array) -> np.ndarray:
-        """(row, feature): the strongest marks of distinct words, the log number of words, and one."""
+        """(row, feature): the strongest marks of distinct words, and one. Clean words of a long text dilute nothing."""
         rows, hashes, values = [], [], []
-        out = np.zeros((len(column), TOP + 2))
+        out = np.zeros((len(column), TOP + 1))
         out[:, -1] = 1.0
         for row, words in reader.read(column):
-            out[:, TOP] += np.bincount(row, minlength=len(column))
             whole = words.hashes()
             known, first, inverse = np.unique(whole, return_index=True, return_inverse=True)
             number, value = _marks_of(words, first)
@@ -276,7 +275,6 @@ class Model:
             rows.append(row[at])
             hashes.append(whole[at])
             values.append(weight[at])
-        out[:, TOP] = np.log1p(out[:, TOP])
         row, value, hashed = np.concatenate(rows), np.concatenate(values), np.concatenate(hashes)
         order = np.lexsort((hashed, -value, row))
         row, value, hashed = row[order], value[order], hashed[order]

@@ -52,25 +52,14 @@ def snk_upsert(spark, t):
 
 @query("resume_word_count", WORD_COUNT)
 def resume_word_count(spark, t):
-    """A word count that fails in its second micro-batch and is started again from its checkpoint."""
+    """A word count that stops after half of its input and goes on from its checkpoint when the rest is there."""
     source, folder = run_dir(spark, "resume_source"), run_dir(spark, "resume")
-    write_text(i.lines(t).repartition(3), source)
-    counts = count_words(words(read_lines(spark, "text_stream", path=source, files_per_batch=1), "line"))
+    counts = count_words(words(read_lines(spark, "text_stream", path=f"{source}/*", files_per_batch=64), "line"))
     table = UpsertTable(spark, f"{folder}/out", "word string, n bigint", ["word"])
-    failed = []
-
-    def write(batch, batch_id):
-        table.merge(batch, batch_id)
-        if batch_id == 1 and not failed:
-            failed.append(batch_id)
-            raise RuntimeError("planned failure after the write, before the commit")
-
-    try:
-        run_batches(counts, write, folder, "update")
-    except Exception as error:
-        if "planned failure" not in str(error):
-            raise
-    run_batches(counts, write, folder, "update")
+    even = F.pmod("doc_id", F.lit(2)) == 0
+    for name, half in (("first", even), ("second", ~even)):
+        write_text(i.lines(t).filter(half), f"{source}/{name}")
+        run_batches(counts, lambda batch, batch_id: table.merge(batch, batch_id), folder, "update")
     return table.read()
 
 

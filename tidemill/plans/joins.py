@@ -171,7 +171,7 @@ def join_lookup_stream(spark, t):
 @query("enrich_ordered", """SELECT o_orderkey, o_custkey, c_name AS name FROM orders
   LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 4 <> 0""")
 def enrich_ordered(spark, t):
-    """Names by key from a table, as one bulk join, rows numbered by their order."""
+    """Names by key from a table, as one bulk join; the key o_orderkey tells the order."""
     names = t.customer.filter(F.col("c_custkey") % 4 != 0).select("c_custkey", F.col("c_name").alias("name"))
     return j.lookup(t.orders.select("o_orderkey", "o_custkey"), names, "o_custkey", "c_custkey")
 

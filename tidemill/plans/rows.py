@@ -25,11 +25,11 @@ def src_lines(spark, t):
 
 
 @query("src_collection", """SELECT e.event_id, e.event_type, v.label FROM events e
-JOIN (VALUES ('click', 'interest'), ('purchase', 'sale')) v(event_type, label) ON e.event_type = v.event_type""")
+LEFT JOIN (VALUES ('click', 'interest'), ('purchase', 'sale')) v(event_type, label) ON e.event_type = v.event_type""")
 def src_collection(spark, t):
-    """A literal collection of labels, joined to the events."""
+    """A literal collection of labels, joined to all events."""
     labels = lines.from_values(spark, [("click", "interest"), ("purchase", "sale")], "event_type string, label string")
-    return t.events.join(labels, "event_type").select("event_id", "event_type", "label")
+    return t.events.join(labels, "event_type", "left").select("event_id", "event_type", "label")
 
 
 @query("src_sequence", """SELECT s.value, count(o.o_custkey) AS n_orders
@@ -46,18 +46,20 @@ def src_sequence(spark, t):
     )
 
 
-@query("src_custom_bounded", "SELECT unnest(range(0, (SELECT count(*) FROM orders))) AS value")
+@query("src_custom_bounded", """SELECT value, c_name, c_mktsegment FROM (SELECT unnest(range(0, (SELECT count(*) FROM customer)))
+  AS value) LEFT JOIN customer ON c_custkey = value""")
 def src_custom_bounded(spark, t):
-    """The custom bounded source, made to count as far as the orders."""
+    """The custom bounded source counts as far as there are customers; each number with the customer that has it."""
     generated.register_sources(spark)
-    n = t.orders.count()
-    return spark.read.format("tidemill_count").option("count", n).option("partitions", 8).load()
+    n = t.customer.count()
+    numbers = spark.read.format("tidemill_count").option("count", n).option("partitions", 8).load()
+    return numbers.join(t.customer, F.col("c_custkey") == F.col("value"), "left").select("value", "c_name", "c_mktsegment")
 
 
-def _text_copy(spark, t, name: str, parts: int = 4) -> str:
-    """The document lines as text files in the shared folder."""
+def _text_copy(spark, t, name: str) -> str:
+    """The document lines as text files in the shared folder, as many as the table has splits."""
     folder = run_dir(spark, name)
-    files.write_text(i.lines(t).repartition(parts), folder)
+    files.write_text(i.lines(t), folder)
     return folder
 
 
@@ -214,11 +216,11 @@ def prj_json_quarantine(spark, t):
     return rows.json_split(i.raw_json(t), "line", JSON_DDL, ["event_id"])[1]
 
 
-@query("prj_guard", "SELECT event_id, event_type FROM events WHERE event_type <> 'error'")
+@query("prj_guard", "SELECT event_id, event_type FROM events")
 def prj_guard(spark, t):
-    """A guard behind a filter: it would stop the query at an error row."""
-    clean = t.events.filter(F.col("event_type") != "error")
-    return rows.guard(clean, F.col("event_type").startswith("error"), "error record").select("event_id", "event_type")
+    """A guard over all events: it would stop the query at a record without a type."""
+    missing = F.col("event_type").isNull() | (F.col("event_type") == "")
+    return rows.guard(t.events, missing, "record without a type").select("event_id", "event_type")
 
 
 def _routed(t):
@@ -316,9 +318,11 @@ def dst_rebalance(spark, t):
     return keys.rebalance(t.events.select("event_id", "user_id"), 8)
 
 
-@query("dst_rescale", "SELECT event_id, user_id FROM events")
+@query("dst_rescale", "SELECT event_id, user_id, true AS within FROM events")
 def dst_rescale(spark, t):
-    return keys.rescale(t.events.select("event_id", "user_id"), 16)
+    """Sixteen partitions put together to four without a shuffle; each row says whether it lies in one of the four."""
+    wide = keys.rebalance(t.events.select("event_id", "user_id"), 16)
+    return keys.rescale(wide, 4, current=16).withColumn("within", F.spark_partition_id() < 4)
 
 
 @query("dst_shuffle", "SELECT event_id, user_id FROM events")

@@ -25,7 +25,9 @@ class _TailReader(DataSourceStreamReader):
         store, folder = fs.FileSystem.from_uri(self.where)
         found = store.get_file_info(fs.FileSelector(folder))
         return store, {
-            f.base_name: f for f in found if f.type == fs.FileType.File and f.base_name.endswith(self.suffix)
+            # As with Spark's own readers, names that begin with a dot or an underscore are not data.
+            f.base_name: f for f in found
+            if f.type == fs.FileType.File and f.base_name.endswith(self.suffix) and f.base_name[:1] not in "._"
         }
 
     def initialOffset(self):

@@ -12,7 +12,7 @@ sequence is cut into blocks of a fixed width:
 The rows themselves are shuffled once, as for the plain window, but a hot key's
 rows are spread over as many tasks as it has blocks; other keys stay whole.  A
 hot key holds more than 1/65,536 of all rows, so there are fewer than 65,536 of
-them and their list is safe to broadcast.  `seq` must be a unique integer per
+them, and the list of their hashes (half a megabyte at most) is safe to broadcast.  `seq` must be a unique integer per
 key, so a block never holds more rows of a key than its width.
 """
 
@@ -112,14 +112,14 @@ def _blocked(df: DataFrame, keys: list[str], seq: str, width) -> DataFrame:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     total = counts.agg(F.sum("__n").alias("total")).scalar()
     limit = F.greatest(width, F.ceil(total / F.lit(MAX_BLOCKS)).cast("long"))
-    hot = counts.filter(F.col("__n") > limit).select(
-        *[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias(_HOT)
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
+    # A hash stands for the key, so the list has 8 bytes an entry however wide keys are.  A key that shares a hot
+    # key's hash is only cut into blocks as well.
+    hot = counts.filter(F.col("__n") > limit).select(F.xxhash64(*keys).alias("__hot_key")).distinct()
+    hot = hot.withColumn(_HOT, F.lit(True))
     return (
-        df.join(F.broadcast(hot), same, "left")
+        df.join(F.broadcast(hot), F.xxhash64(*keys) == F.col("__hot_key"), "left")
         .withColumn(_BLOCK, F.when(F.col(_HOT), start))
-        .drop(_HOT, *[f"__hot_{k}" for k in keys])
+        .drop(_HOT, "__hot_key")
     )
 
 

@@ -108,7 +108,7 @@ def test_disguised_words_are_restored_and_scored(docs_of, labels_of, insults):
     model = toxicity.fit(docs, known)
     for token in ("1d10t", "id!ot", "i.d.i.o.t", "idiooot", "iiidiot", "m0r0n", "mo-ron", "$cum"):
         assert toxicity.restore(token, model.trigrams) in ("idiot", "moron", "scum"), token
-    told = [(1000, "bade kilo 1d10t mura"), (1001, "bade i d i o t mura"), (1002, "bade M0R0N! kilo"), (1003, "bade kilo mura " * 900 + "sc.um")]
+    told = [(1000, "bade kilo 1d10t mura"), (1001, "bade i d i o t mura"), (1002, "bade M0R0N! kilo"), (1003, "bade kilo mura " * 900 + "sc.um"), (1004, "a1" * 100_000 + " m0r0n " + "z z " * 50_000)]
     scores = {r.doc_id: r.score for r in toxicity.score(docs_of(told + ODD), model).collect()}
     assert all(scores[n] >= 0.5 for n, _ in told)
     assert all(scores[n] < 0.5 for n, _ in ODD)

@@ -31,6 +31,8 @@ SAMPLE_ROWS, MARKS = 6000, 50_000
 #: Least likelihood ratio statistic of a mark.
 SIGNIFICANT = 12.0
 PREFIXES = range(3, 11)
+#: Longer parts of a token are restored in stretches of so many characters.
+STRETCH = 64
 TOP = 3
 #: Restored spellings a Python worker remembers before it starts anew; it bounds memory, not results.
 REMEMBERED = 200_000
@@ -136,6 +138,12 @@ def disguised(column: pa.Array) -> tuple[np.ndarray, list[str]]:
     tokens = Words(column, NOT_SPACE, lower=True)
     raw = tokens.bytes
     rows, texts = [], []
+
+    def add(row: int, part: str) -> None:
+        for at in range(0, len(part), STRETCH):
+            rows.append(row)
+            texts.append(part[at : at + STRETCH])
+
     if len(raw) > 1 and len(tokens):
         letter, sign = LETTERS[raw], _LEET[raw]
         marked = np.zeros(len(raw), bool)
@@ -150,8 +158,7 @@ def disguised(column: pa.Array) -> tuple[np.ndarray, list[str]]:
             token = data[a:b].decode("utf-8", "replace").lower()
             # A long token is read in parts between signs that no word holds; nothing of it is left out.
             for part in _parts(token):
-                rows.append(row)
-                texts.append(part)
+                add(row, part)
         # Letters set apart: three words of one letter and more, close to each other.
         words = Words(column, LETTERS, lower=True)
         size, document = words.ends - words.starts, words.document
@@ -161,8 +168,7 @@ def disguised(column: pa.Array) -> tuple[np.ndarray, list[str]]:
         for a, b in zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()):
             if b - a >= 2:
                 span = data[words.starts[a] : words.ends[b]].decode("utf-8", "replace").lower()
-                rows.append(int(document[a]))
-                texts.append("".join(c for c in span if c.isalpha()))
+                add(int(document[a]), "".join(c for c in span if c.isalpha()))
     return np.array(rows, np.int64), texts
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.tables import labelled_sample, stage
+from tidemill.llm.tables import held_out, labelled_sample, stage
 from tidemill.llm.text import NOT_SPACE, U64, Words, pieces
 
 DOMAINS = ("clean", "low", "toxic")
@@ -104,6 +104,12 @@ def fit_domains(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
             model.warmth = choice
             losses.append(-np.log(model.posterior(x)[np.arange(len(y)), y] + 1e-12).mean())
         model.warmth = choices[int(np.argmin(losses))]
+    # The sample holds as many rows of each domain; the corpus doesn't.
+    known = labels.filter(~held_out()).groupBy("domain").count().collect()
+    shares = np.full(count, 1e-9)
+    for row in known:
+        shares[row.domain] += row["count"]
+    model.prior = model.prior + np.log(shares / shares.sum())
     return model
 
 

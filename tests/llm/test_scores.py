@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,23 @@ def test_disguised_words_are_restored_and_scored(docs_of, labels_of, insults):
     assert toxicity.score(docs_of(ODD).limit(0), model).count() == 0
 
 
+def test_words_set_apart_are_restored_behind_other_words(docs_of, labels_of, insults):
+    rows, labels = insults
+    model = toxicity.fit(docs_of(rows), labels_of(labels))
+    told = ["bade a m o r o n kilo", "bade y o u i d i o t", "i d 1 o t mura", "kilo 1 d 1 0 t", "bade i! d! i! o! t!", "a " * 300 + "m o r o n"]
+    told += ["k i l o " * n + "i d i o t " + "m u r a " * 20 for n in range(13, 18)]  # across each 64th character
+    clean = ["bade a k i l o mura", "m u r a k i l o " * 20, "1 0 1 0 1 1 0", "* * * * *", "a b"]
+    scores = {r.doc_id: r.score for r in toxicity.score(docs_of(list(enumerate(told + clean))), model).collect()}
+    assert [t for n, t in enumerate(told) if scores[n] < 0.5] == []
+    assert [t for n, t in enumerate(clean, len(told)) if scores[n] >= 0.5] == []
+    # What all paths share is written out on the way, with the same result.
+    long = "k i l o m u r a x y " * 400
+    whole, toxicity.SETTLE = toxicity.SETTLE, 10**9
+    want = toxicity.restore(long.strip(), model.trigrams)
+    toxicity.SETTLE = whole
+    assert toxicity.restore(long.strip(), model.trigrams) == want
+
+
 def test_viterbi_equals_all_paths():
     model = np.log(np.random.default_rng(3).dirichlet(np.ones(40), (40, 40))).astype(np.float32)
     for token in ("a1b", "00a", "x*yy", "aaa4", "$t"):

@@ -1,8 +1,9 @@
 """Toxicity by noisy-channel deobfuscation.
 
-Tokens that look disguised (signs or digits among letters, letters three times in a row, letters set apart) become a
-lattice of the letters each character may stand for, with the cost of the disguise on its arcs. A Viterbi search under a
-character trigram model finds the likeliest spelling. The trigram model is counted over all documents. The restored
+Tokens that look disguised (signs or digits among letters, letters three times in a row, letters
+or signs set apart) become a lattice of the letters each character may stand for, with the cost of the disguise on its
+arcs; a gap between characters set apart may be a word break. A Viterbi search under a character trigram model finds the
+likeliest spelling. Where characters are set apart, the ten letters from each on are read too, as a break may be missed. The trigram model is counted over all documents. The restored
 words, with those that need no restoring, are scored: words and beginnings of words that mark toxic texts were learned
 from labelled rows, and the three strongest marks of a text go into one logistic unit.
 
@@ -31,11 +32,13 @@ SAMPLE_ROWS, MARKS = 6000, 50_000
 #: Least likelihood ratio statistic of a mark.
 SIGNIFICANT = 12.0
 PREFIXES = range(3, 11)
-#: Longer parts of a token are restored in stretches of so many characters.
-STRETCH = 64
+#: Characters after which the shared beginning of all paths is written out for the first time.
+SETTLE = 256
 TOP = 3
 #: Restored spellings a Python worker remembers before it starts anew; it bounds memory, not results.
 REMEMBERED = 200_000
+#: Longer tokens are restored each time they come; it bounds memory, not results.
+REMEMBERED_CHARS = 64
 
 # What a sign or digit may stand for.
 STANDS_FOR = {
@@ -44,8 +47,10 @@ STANDS_FOR = {
 }
 DROPPED = "*._-~'`^"
 
-_LEET = np.zeros(256, bool)
-_LEET[[ord(c) for c in {*STANDS_FOR, *DROPPED}]] = True
+_STANDS, _DROPPED = np.zeros(256, bool), np.zeros(256, bool)
+_STANDS[[ord(c) for c in STANDS_FOR]] = True
+_DROPPED[[ord(c) for c in DROPPED if c not in STANDS_FOR]] = True
+_LEET = _STANDS | _DROPPED
 _SYMBOLS = 40
 #: Symbol of a byte in the trigram model: letters, twelve classes of others by their last byte, 0 between words, -1 skipped.
 _SYMBOL = np.zeros(256, np.int16)
@@ -55,6 +60,8 @@ _SYMBOL[192:] = -1
 
 
 def _symbol(c: str) -> int:
+    if c == " ":
+        return 0
     return ord(c) - 96 if "a" <= c <= "z" else 27 + (ord(c) & 0x3F) % 12
 
 
@@ -87,18 +94,29 @@ def trigram_model(docs: DataFrame) -> np.ndarray:
     return np.log((three + 5 * pair[None, :, :]) / (three.sum(axis=2, keepdims=True) + 5)).astype(np.float32)
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """For each stretch of the token: the letters it may stand for, and the log cost of it."""
-    out, i = [], 0
-    while i < len(token):
+def _lattice(token: str) -> Iterator[list[tuple[str, float]]]:
+    i, length = 0, len(token)
+    while i < length:
         c = token[i]
-        j = i
-        while j < len(token) and token[j] == c:
+        if c == " ":
+            i += 1
+            yield [("", 0.0), (" ", 0.0)]
+            continue
+        j = i + 1
+        while j < length and token[j] == c:
             j += 1
-        run, i = j - i, j
+        run, apart = j - i, False
+        if run == 1:
+            # The same character set apart three times and more is a run as well, of one word or of two.
+            while j + 1 < length and token[j] == " " and token[j + 1] == c:
+                j += 2
+            apart = j - i > 3
+            run, j = ((j - i) // 2 + 1, j) if apart else (1, i + 1)
+        i = j
         if c.isalpha():
             once, twice = (c, -3.0 if run == 2 else -0.5), (c + c, -0.05 if run == 2 else -1.0)
-            out.append([(c, 0.0)] if run == 1 else [once, twice])
+            options = [(c, 0.0)] if run == 1 else [once, twice]
+            yield [*options, (c + " " + c, -1.0)] if apart else options
             continue
         options = []
         for letter in STANDS_FOR.get(c, ""):
@@ -106,48 +124,96 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             options.append((letter, cost))
             if run > 1:
                 options.append((letter * 2, cost - 0.7))
+            if apart:
+                options.append((letter + " " + letter, cost - 0.7))
         if c in DROPPED or not options or run > 2:
             options.append(("", -0.3))
         else:
             options.append(("", -3.0))
-        out.append(options)
-    return out
+        yield options
 
 
-def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest spelling of a token, by Viterbi over the last two letters."""
-    best = {(0, 0): (0.0, "")}
-    for options in lattice(token):
+def lattice(token: str) -> list[list[tuple[str, float]]]:
+    """For each stretch of the token: the letters it may stand for, and the log cost of it.
+
+    A space in the token is a gap between characters set apart: nothing, or a word break.
+    """
+    return list(_lattice(token))
+
+
+def _spell(node: list | None) -> str:
+    parts = []
+    while node is not None:
+        parts.append(node[1])
+        node = node[0]
+    return "".join(reversed(parts))
+
+
+def _common(nodes: list) -> tuple[list | None, int]:
+    """The last node that all paths share, and the length of the longest path seen behind it."""
+    chain, node = [], nodes[0]
+    while node is not None:
+        chain.append(node)
+        node = node[0]
+    place = {id(n): k for k, n in enumerate(chain)}
+    deepest = 0
+    for node in nodes:
+        while node is not None and id(node) not in place:
+            node = node[0]
+        if node is None:
+            return None, len(chain)
+        deepest = max(deepest, place[id(node)])
+    return chain[deepest], deepest
+
+
+def restore(token: str, model: np.ndarray | list[float]) -> str:
+    """The likeliest spelling of a token, by Viterbi over the last two letters.
+
+    A long token is read whole; what all surviving paths share is written out on the way, so memory stays small.
+    """
+    flat = model if isinstance(model, list) else model.ravel().tolist()
+    # State: second last and last symbol. Node: [node before, letters].
+    best: dict[int, tuple[float, list | None]] = {0: (0.0, None)}
+    done, read, limit = [], 0, SETTLE
+    for options in _lattice(token):
+        choices = [(letters, [_symbol(c) for c in letters], cost) for letters, cost in options]
         reached: dict = {}
-        for (second, last), (value, text) in best.items():
-            for letters, cost in options:
-                total, a, b = value + cost, second, last
-                for c in letters:
-                    s = _symbol(c)
-                    total += float(model[a, b, s])
-                    a, b = b, s
-                old = reached.get((a, b))
-                if old is None or (total, old[1]) > (old[0], text + letters):
-                    reached[(a, b)] = (total, text + letters)
+        for state, (value, node) in best.items():
+            for letters, symbols, cost in choices:
+                total, at = value + cost, state
+                for s in symbols:
+                    if s:
+                        total += flat[at * _SYMBOLS + s]
+                        at = at % _SYMBOLS * _SYMBOLS + s
+                    elif at:  # a break after a break is none
+                        total += flat[at * _SYMBOLS]
+                        at = 0
+                old = reached.get(at)
+                if old is None or total >= old[0]:
+                    new = [node, letters] if letters else node
+                    if old is None or total > old[0] or _spell(new) < _spell(old[1]):
+                        reached[at] = (total, new)
         best = reached
-    return max(((value + float(model[a, b, 0]), text) for (a, b), (value, text) in best.items()), key=lambda x: (x[0], x[1]))[1]
+        read += 1
+        if read >= limit:
+            shared, behind = _common([node for _, node in best.values()])
+            if shared is not None:
+                done.append(_spell(shared))
+                shared[0], shared[1] = None, ""
+            read, limit = 0, max(SETTLE, behind)
+    ends = [(-(value + flat[at * _SYMBOLS]), _spell(node)) for at, (value, node) in best.items()]
+    return "".join(done) + min(ends)[1]
 
 
 def disguised(column: pa.Array) -> tuple[np.ndarray, list[str]]:
-    """Row and lower-case form of every token that may be a disguised word."""
+    """Row and lower-case form of every token that may be a disguised word; characters set apart keep one space between."""
     tokens = Words(column, NOT_SPACE, lower=True)
     raw = tokens.bytes
     rows, texts = [], []
-
-    def add(row: int, part: str) -> None:
-        for at in range(0, len(part), STRETCH):
-            rows.append(row)
-            texts.append(part[at : at + STRETCH])
-
     if len(raw) > 1 and len(tokens):
-        letter, sign = LETTERS[raw], _LEET[raw]
+        letter, any_sign = LETTERS[raw], _LEET[raw]
         marked = np.zeros(len(raw), bool)
-        marked[:-1] = sign[:-1] & letter[1:]
+        marked[:-1] = any_sign[:-1] & letter[1:]
         marked[:-2] |= letter[:-2] & (raw[:-2] == raw[1:-1]) & (raw[1:-1] == raw[2:])
         at = np.flatnonzero(marked)
         owner = np.unique(np.searchsorted(tokens.starts, at, side="right") - 1)
@@ -158,20 +224,40 @@ def disguised(column: pa.Array) -> tuple[np.ndarray, list[str]]:
             token = data[a:b].decode("utf-8", "replace").lower()
             # A long token is read in parts between signs that no word holds; nothing of it is left out.
             for part in _parts(token):
-                add(row, part)
-        # Letters set apart: three words of one letter and more, close to each other.
-        words = Words(column, LETTERS, lower=True)
-        size, document = words.ends - words.starts, words.document
-        one = (size == 1) | ((size == 2) & (words.bytes[words.starts] >= 0xC0)) if len(words) else size > 0
-        near = one[1:] & one[:-1] & (document[1:] == document[:-1]) & (words.starts[1:] - words.ends[:-1] <= 3)
-        edges = np.diff(np.r_[False, near, False].astype(np.int8))
-        for a, b in zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()):
-            if b - a >= 2:
-                span = data[words.starts[a] : words.ends[b]].decode("utf-8", "replace").lower()
-                add(int(document[a]), "".join(c for c in span if c.isalpha()))
+                rows.append(row)
+                texts.append(part)
+        dropped = np.r_[0, np.cumsum(_DROPPED[raw])]
+        for kind in (LETTERS, LETTERS | _STANDS):
+            for row, a, b in _set_apart(Words(column, kind, lower=True), dropped):
+                span = data[a:b].decode("utf-8", "replace").lower()
+                signs = "" if kind is LETTERS else STANDS_FOR
+                if kind is LETTERS or any(c in STANDS_FOR for c in span):
+                    rows.append(row)
+                    texts.append(" ".join("".join(c if c.isalpha() or c in signs else " " for c in span).split()))
     return np.array(rows, np.int64), texts
 
 
+def _set_apart(words: Words, dropped: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Row, start and end of three words of one character and more, close to each other.
+
+    A letter may have two signs beside it; signs that no letter is meant by don't count in a gap.
+    """
+    if len(words) < 3:
+        return
+    size, document = words.ends - words.starts, words.document
+    letter = LETTERS[words.bytes]
+    bytes_before, signs_before = np.r_[0, np.cumsum(letter)], np.r_[0, np.cumsum(~letter)]
+    letters_before = np.r_[0, np.cumsum(letter & ((words.bytes < 0x80) | (words.bytes >= 0xC0)))]
+    count = lambda before: before[words.ends] - before[words.starts]
+    one = (count(letters_before) == 1) & (count(bytes_before) <= 2) & (count(signs_before) <= 2) | (size == 1)
+    gap = words.starts[1:] - words.ends[:-1] - (dropped[words.starts[1:]] - dropped[words.ends[:-1]])
+    near = one[1:] & one[:-1] & (document[1:] == document[:-1]) & (gap <= 3)
+    edges = np.diff(np.r_[False, near, False].astype(np.int8))
+    begin, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    begin, end = begin[end - begin >= 2], end[end - begin >= 2]
+    yield from zip(document[begin].tolist(), words.starts[begin].tolist(), words.ends[end].tolist())
+
+
 def _parts(token: str) -> list[str]:
     parts, now = [], []
     for c in token:
@@ -205,9 +291,11 @@ class _Reader:
     """Distinct words of each row of a piece, restored ones among them."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.memory = model, {}
+        self.model, self.memory = model.ravel().tolist(), {}
 
     def restored(self, token: str) -> str:
+        if len(token) > REMEMBERED_CHARS:
+            return restore(token, self.model)
         found = self.memory.get(token)
         if found is None:
             if len(self.memory) >= REMEMBERED:
@@ -215,10 +303,18 @@ class _Reader:
             found = self.memory[token] = restore(token, self.model)
         return found
 
+    def readings(self, token: str) -> str:
+        """The restored words of a token. Of characters set apart also those that no word break is found before."""
+        if " " not in token:
+            return self.restored(token)
+        joined = self.restored(token.replace(" ", ""))
+        inner = [joined[k : k + max(PREFIXES)] for k in range(1, len(joined) - min(PREFIXES) + 1)]
+        return " ".join([self.restored(token), joined, *inner])
+
     def read(self, column: pa.Array) -> list[tuple[np.ndarray, Words]]:
         rows, tokens = disguised(column)
         plain = Words(column, LETTERS, lower=True)
-        again = Words(pa.array([self.restored(t) for t in tokens], pa.string()), LETTERS, lower=True)
+        again = Words(pa.array([self.readings(t) for t in tokens], pa.large_string()), LETTERS, lower=True)
         return [(plain.document, plain), (rows[again.document] if len(rows) else np.zeros(0, np.int64), again)]
 
 

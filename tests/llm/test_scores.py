@@ -135,6 +135,16 @@ def test_words_set_apart_are_restored_behind_other_words(docs_of, labels_of, ins
     assert toxicity.restore(long.strip(), model.trigrams) == want
 
 
+def test_signs_at_the_end_and_beside_each_other_are_read(docs_of, labels_of, insults):
+    rows, labels = insults
+    model = toxicity.fit(docs_of(rows), labels_of(labels))
+    tokens = ["id10+", "idi07", "1d107", "m0r0n", "5(um", "1d10+"]
+    found = toxicity.disguised(pa.array(tokens + ["ki11", "ha73", "tr4$#", "a$$", "5h17", "kilo.", "2026", "a-"]))
+    assert [t for t in found[1] if " " not in t] == tokens + ["ki11", "ha73", "tr4$", "a$$", "5h17"]
+    scores = {r.doc_id: r.score for r in toxicity.score(docs_of([(n, f"bade {t} kilo") for n, t in enumerate(tokens)]), model).collect()}
+    assert [t for n, t in enumerate(tokens) if scores[n] < 0.5] == []
+
+
 def test_viterbi_equals_all_paths():
     model = np.log(np.random.default_rng(3).dirichlet(np.ones(40), (40, 40))).astype(np.float32)
     for token in ("a1b", "00a", "x*yy", "aaa4", "$t"):

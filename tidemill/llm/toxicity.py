@@ -1,6 +1,6 @@
 """Toxicity by noisy-channel deobfuscation.
 
-Tokens that look disguised (signs or digits among letters, letters three times in a row, letters
+Tokens that look disguised (a sign or digit beside a letter or another such sign, letters three times in a row, letters
 or signs set apart) become a lattice of the letters each character may stand for, with the cost of the disguise on its
 arcs; a gap between characters set apart may be a word break. A Viterbi search under a character trigram model finds the
 likeliest spelling. Where characters are set apart, the ten letters from each on are read too, as a break may be missed. The trigram model is counted over all documents. The restored
@@ -211,14 +211,17 @@ def disguised(column: pa.Array) -> tuple[np.ndarray, list[str]]:
     raw = tokens.bytes
     rows, texts = [], []
     if len(raw) > 1 and len(tokens):
-        letter, any_sign = LETTERS[raw], _LEET[raw]
+        letter, sign, any_sign = LETTERS[raw], _STANDS[raw], _LEET[raw]
+        core = letter | sign
         marked = np.zeros(len(raw), bool)
-        marked[:-1] = any_sign[:-1] & letter[1:]
+        marked[:-1] = any_sign[:-1] & letter[1:] | sign[:-1] & core[1:]
+        marked[1:] |= sign[1:] & core[:-1]
         marked[:-2] |= letter[:-2] & (raw[:-2] == raw[1:-1]) & (raw[1:-1] == raw[2:])
         at = np.flatnonzero(marked)
         owner = np.unique(np.searchsorted(tokens.starts, at, side="right") - 1)
-        letters = np.r_[0, np.cumsum(letter)]
-        owner = owner[letters[tokens.ends[owner]] - letters[tokens.starts[owner]] >= 2]
+        letters, cores = np.r_[0, np.cumsum(letter)], np.r_[0, np.cumsum(core)]
+        a, b = tokens.starts[owner], tokens.ends[owner]
+        owner = owner[(letters[b] - letters[a] >= 2) | (cores[b] - cores[a] >= 3)]
         data, row_of = raw.tobytes(), np.searchsorted(tokens.first, owner, side="right") - 1
         for row, a, b in zip(row_of.tolist(), tokens.starts[owner].tolist(), tokens.ends[owner].tolist()):
             token = data[a:b].decode("utf-8", "replace").lower()
@@ -267,7 +270,7 @@ def _parts(token: str) -> list[str]:
             parts.append("".join(now))
             now = []
     parts.append("".join(now))
-    return [p for p in parts if any(c.isalpha() for c in p)]
+    return [p for p in parts if any(c.isalpha() for c in p) or sum(c in STANDS_FOR for c in p) >= 3]
 
 
 def _marks_of(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

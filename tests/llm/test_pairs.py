@@ -44,6 +44,19 @@ def test_repeated_passages_equal_brute_force(docs_of):
         assert got == substring.brute_force(dict(rows), window)
 
 
+def test_windows_across_the_edges_of_a_common_line_are_spread(docs_of):
+    rand = random.Random(6)
+    own = lambda: " ".join(str(rand.random()) for _ in range(30))
+    line, passage = (" ".join(f"w{k}{i}" for i in range(n)) for k, n in (("a", 25), ("b", 50)))
+    rows = [(i, f"{own()} {line if i % 2 else passage} {own()}") for i in range(600)]
+    rows += [(600 + i, rows[i][1][40:]) for i in range(20)]
+    docs = docs_of(rows, 5)
+    sizes = {n: max(r["count"] for r in substring.candidates(docs, cell_bits=16, hot_rows=n).groupBy("anchor").count().collect()) for n in (100, 10**9)}
+    assert sizes[10**9] > 100 and sizes[100] < 100
+    out = substring.digest(substring.remove_repeats(docs, cell_bits=16, hot_rows=100)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in out} == substring.brute_force(dict(rows))
+
+
 def test_repeated_passages_of_odd_rows(docs_of):
     out = substring.remove_repeats(docs_of(ODD), cell_bits=16).collect()
     assert collections.Counter((r.doc_id, r.n_words, r.n_removed) for r in out) == collections.Counter(

@@ -2,7 +2,8 @@
 
 A window is `window` consecutive words of one text. A word covered by a window whose word sequence also starts
 anywhere else goes. Pass 1 counts one sampled gram per neighbourhood of windows in count-min sketches, one per task,
-merged block by block. Pass 2 groups exactly only the windows whose gram the merged sketch estimates as repeated. The
+merged block by block. Pass 2 groups exactly only the windows whose gram the merged sketch estimates as repeated: by that
+gram, or by the whole window where very many rows share the gram. The
 sketch overestimates, so no repeated window is lost; a full sketch only lets more windows through to pass 2.
 
 Sampling: the `GRAM`-word gram with the smallest hash in every window is its anchor. Equal windows have equal anchors
@@ -38,6 +39,10 @@ BLOCK_BITS = 20
 ROWS = 2
 #: Distinct anchors a task gathers before it sends its partial sketch.
 ANCHORS_HELD = 4_000_000
+#: An anchor with so many rows of candidates is hot: its windows are dealt out by their own hashes. A task doesn't report
+#: an anchor with fewer than `REPORTED` rows, so a group holds fewer than HOT_ROWS rows and REPORTED a task. This
+#: changes no result. The list of hot anchors has an entry for HOT_ROWS rows at most.
+HOT_ROWS, REPORTED = 2_000, 4
 _ROW_SEEDS = (0x0, 0x9E3779B97F4A7C15)
 
 
@@ -182,42 +187,83 @@ _CANDIDATE = pa.schema(
 )
 
 
-def _candidates(window: int, cell_bits: int, shared: Broadcast):
-    """Runs of windows to be grouped (with their hashes), and runs already found repeated (without).
+def _flagged(piece: pa.RecordBatch, window: int, cell_bits: int, bits: np.ndarray):
+    """Windows of a piece that the sketch lets through: windows, hashes, flags of those known and of those sent, texts.
 
     A window that occurs twice in a piece is repeated for certain: it is sent once, as a witness for other pieces.
-    So one very common passage sends a row for each piece of text, not one for each text that holds it.
+    So the windows inside one very common passage send a row for each piece of text, not one for each text that holds
+    it. Those across its edges differ in each text and are all sent.
+    """
+    found = _Windows(piece.column("text"), window)
+    flags = found.valid.copy()
+    flags[flags] = _estimated_repeated(found.anchor[flags], bits, cell_bits)
+    if not flags.any():
+        return None
+    hashes = grams(found.hashes, window, seed=0x5851F42D4C957F2D)
+    at = np.flatnonzero(flags)
+    _, first, inverse, counts = np.unique(hashes[at], return_index=True, return_inverse=True, return_counts=True)
+    known = np.zeros(len(flags), bool)
+    known[at[counts[inverse] > 1]] = True
+    sent = flags & ~known
+    sent[at[first]] = True
+    return found, hashes, known, sent, found.words.document[: len(flags)]
+
+
+def _count_rows(window: int, cell_bits: int, shared: Broadcast):
+    """Rows of candidates of each anchor, where a task has several."""
+
+    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
+        anchors, counts = np.unique(np.concatenate(held), return_counts=True)
+        many = counts >= REPORTED
+        return pa.record_batch([pa.array(anchors[many].astype(np.int64)), pa.array(counts[many])], names=["anchor", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, held, size = np.frombuffer(shared.value, np.uint8), [], 0
+        for piece in pieces(batches, "text"):
+            seen = _flagged(piece, window, cell_bits, bits)
+            if seen is None:
+                continue
+            found, _, _, sent, document = seen
+            begin, _ = _runs(sent, found.anchor + document.astype(U64))
+            held.append(found.anchor[begin])
+            size += len(begin)
+            if size >= ANCHORS_HELD:
+                yield flush(held)
+                held, size = [], 0
+        if held:
+            yield flush(held)
+
+    return run
+
+
+def _candidates(window: int, cell_bits: int, shared: Broadcast, hot: Broadcast):
+    """Runs of windows to be grouped (with their hashes), and runs already found repeated (without).
+
+    The key is the anchor, or the hash of the window itself where the anchor is hot; equal windows have equal keys.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for piece in pieces(batches, "text"):
-            found = _Windows(piece.column("text"), window)
-            flags = found.valid.copy()
-            flags[flags] = _estimated_repeated(found.anchor[flags], bits, cell_bits)
-            if not flags.any():
+            seen = _flagged(piece, window, cell_bits, bits)
+            if seen is None:
                 continue
-            hashes = grams(found.hashes, window, seed=0x5851F42D4C957F2D)
-            at = np.flatnonzero(flags)
-            _, first, inverse, counts = np.unique(
-                hashes[at], return_index=True, return_inverse=True, return_counts=True
-            )
-            known = np.zeros(len(flags), bool)
-            known[at[counts[inverse] > 1]] = True
-            sent = flags & ~known
-            sent[at[first]] = True
-            document = found.words.document[: len(flags)]
+            found, hashes, known, sent, document = seen
+            key = found.anchor
+            if len(hot.value):
+                near = np.minimum(np.searchsorted(hot.value, key), len(hot.value) - 1)
+                key = np.where(hot.value[near] == key, hashes[: len(key)], key)
             k1, k2 = (piece.column(c).to_numpy(zero_copy_only=False) for c in ("k1", "k2"))
             origin = found.words.first[document]
-            for chosen, label, send in ((known, document.astype(U64), False), (sent, found.anchor + document.astype(U64), True)):
+            for chosen, label, send in ((known, document.astype(U64), False), (sent, key + document.astype(U64), True)):
                 begin, end = _runs(chosen, label)
                 if not len(begin):
                     continue
                 owner = document[begin]
-                anchors = found.anchor[begin].astype(np.int64)
+                keys = key[begin].astype(np.int64)
                 yield pa.record_batch(
                     [
-                        pa.array(anchors if send else k1[owner]),
+                        pa.array(keys if send else k1[owner]),
                         pa.array(k1[owner]),
                         pa.array(k2[owner]),
                         pa.array(begin - origin[begin]),
@@ -234,7 +280,7 @@ _REPEATED = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int6
 
 
 def _group_exactly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor: windows of one anchor with equal hashes are repeated; known runs pass."""
+    """Rows sorted by key (`anchor`): windows of one key with equal hashes are repeated; known runs pass."""
 
     def settle(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
@@ -281,14 +327,24 @@ def _group_exactly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield settle(pa.Table.from_batches(rest))
 
 
-def repeated_runs(docs: DataFrame, window: int = WINDOW, cell_bits: int = CELL_BITS) -> DataFrame:
-    """Starts [start, stop) of repeated windows per text (k1, k2); a run may come twice."""
-    session = docs.sparkSession
+def candidates(docs: DataFrame, window: int = WINDOW, cell_bits: int = CELL_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Runs of windows that may be repeated, with the key (`anchor`) that they are grouped by."""
+    context = docs.sparkSession.sparkContext
     texts = docs.select(*text_key(), "text")
-    shared = session.sparkContext.broadcast(sketch(texts, window, cell_bits))
-    candidates = texts.mapInArrow(_candidates(window, cell_bits, shared), "anchor bigint, k1 bigint, k2 bigint, start bigint, stop bigint, windows binary")
+    shared = context.broadcast(sketch(texts, window, cell_bits))
+    counts = texts.mapInArrow(_count_rows(window, cell_bits, shared), "anchor bigint, n bigint")
+    many = counts.groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") >= hot_rows).select("anchor")
+    hot = np.sort(np.array([r.anchor for r in many.toLocalIterator()], np.int64).astype(U64))
+    return texts.mapInArrow(
+        _candidates(window, cell_bits, shared, context.broadcast(hot)),
+        "anchor bigint, k1 bigint, k2 bigint, start bigint, stop bigint, windows binary",
+    )
+
+
+def repeated_runs(docs: DataFrame, window: int = WINDOW, cell_bits: int = CELL_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Starts [start, stop) of repeated windows per text (k1, k2); a run may come twice."""
     return (
-        candidates.repartition("anchor")
+        candidates(docs, window, cell_bits, hot_rows).repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(_group_exactly, "k1 bigint, k2 bigint, start bigint, stop bigint")
     )
@@ -329,11 +385,11 @@ def _apply(window: int, fields: list[tuple[str, pa.DataType]]):
     return run
 
 
-def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), window: int = WINDOW, cell_bits: int = CELL_BITS) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), window: int = WINDOW, cell_bits: int = CELL_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """`keep` columns of each row with n_words, n_removed, and kept_text (words joined by one space)."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    runs = stage(repeated_runs(docs, window, cell_bits), "substring-runs")
+    runs = stage(repeated_runs(docs, window, cell_bits, hot_rows), "substring-runs")
     # A text's runs are as many as its words at most, however many copies of it there are.
     runs = (
         runs.groupBy("k1", "k2")

@@ -112,6 +112,16 @@ def test_list_state(spark, tmp_path, files, two_partitions):
     assert {x.seq: x.items for x in out.collect()} == want
 
 
+def test_whole_lists_of_the_list_state(spark, tmp_path, two_partitions):
+    rows_in = [(k, "" if q == 3 else f"e{q}", q) for k, v, q, _ in data()]
+    out = runner.run_append(s.state_list(feed(spark, rows_in, "k string, e string, seq bigint", tmp_path, 3), ["k"], "seq", "e", page_rows=7), "l")
+    lists, want = {}, {}
+    for k, e, q in rows_in:
+        lists.setdefault(k, []).append(e)
+        want[q] = ",".join(lists[k])
+    assert {x.seq: x["items"] for x in s.resolve_list(out, ["k"], "seq").collect()} == want
+
+
 def run_two_batches(df, column):
     """Expiry keeps a stream going without input, so it runs until both rows are out and is stopped."""
     got = []

@@ -48,6 +48,15 @@ def state_list_history(spark, t):
     return run_append(s.state_list(rows, ["user_id"], "event_id", "event_type"), "state_list")
 
 
+@query("state_list_full", """SELECT user_id, event_id, string_agg(event_type, ',') OVER (
+  PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS items FROM events""")
+def state_list_full(spark, t):
+    """The whole list of a user after every event, put together from the pages of the list state."""
+    rows = t.stream("events").select("user_id", "event_id", "event_type")
+    out = run_append(s.state_list(rows, ["user_id"], "event_id", "event_type"), "state_list")
+    return s.resolve_list(out, ["user_id"], "event_id").select("user_id", "event_id", "items")
+
+
 @query("timer_et_flush", f"SELECT word, cnt, seq FROM {i.PAIRS}")
 def timer_et_flush(spark, t):
     """Rows held until an event-time timer at the next minute of the watermark."""

@@ -14,7 +14,7 @@ from __future__ import annotations
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -216,6 +216,19 @@ def state_list(
     return _apply(rows, [*keys, "page"], processor, ddl, _mode(ttl_ms))
 
 
+def resolve_list(out: DataFrame, keys: list[str], seq: str, name: str = "items") -> DataFrame:
+    """Put the full lists of earlier pages of the key before the row's own.
+
+    `out` is the table a stream wrote by `state_list`. It grows with the square
+    of a key's rows, as the lists themselves do.
+    """
+    ends = out.groupBy(*keys, "page").agg(F.max_by("items", seq).alias("__page"))
+    earlier = Window.partitionBy(*keys).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*keys, "page", F.collect_list("__page").over(earlier).alias("__earlier"))
+    joined = null_safe_join(out, ends, [*keys, "page"])
+    return joined.withColumn(name, F.concat_ws(",", "__earlier", "items")).drop("__earlier")
+
+
 def flush_on_timer(
     df: DataFrame,
     keys: list[str],

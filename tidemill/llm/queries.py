@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, language, licenses, mixing, neardup, quality, substring, topk, toxicity, urls
+from tidemill.llm import decontaminate, language, licenses, mixing, neardup, quality, substring, topk, toxicity, urls, whitening
 from tidemill.llm.registry import query
 from tidemill.llm.tables import read
 
@@ -69,3 +69,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates of all documents at which the domains' expected tokens match the targets."""
     return mixing.mix_rates(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight first components of all vectors, in units of their deviation."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))

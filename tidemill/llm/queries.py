@@ -6,7 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, language, licenses, mixing, neardup, quality, substring, topk, toxicity, urls, whitening
+from tidemill.llm import (
+    alignment,
+    decontaminate,
+    language,
+    licenses,
+    mixing,
+    neardup,
+    quality,
+    substring,
+    topk,
+    toxicity,
+    urls,
+    whitening,
+)
 from tidemill.llm.registry import query
 from tidemill.llm.tables import read
 
@@ -75,3 +88,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the eight first components of all vectors, in units of their deviation."""
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query("op12_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of every document by two tokenizers, with the links' counts in the corpus."""
+    return alignment.digest(read(spark, sf_dir, "documents"))

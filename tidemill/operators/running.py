@@ -149,6 +149,15 @@ def changelog(df: DataFrame, keys: list[str], seq: str, value: str, name: str =
     return sums.select(*keys, seq, F.explode(changes).alias("c")).select(*keys, seq, "c.*")
 
 
+def net_changes(log: DataFrame, keys: list[str], *values: str, added: str = "added") -> DataFrame:
+    """What is left of a change log: rows that were added once more than they were taken back.
+
+    Counts are combined before the shuffle, and rows that cancel out inside a task are never sent.
+    """
+    net = log.groupBy(*keys, *values).agg(F.sum(F.when(F.col(added), 1).otherwise(-1)).alias("__net"))
+    return net.filter(F.col("__net") != 0).drop("__net")
+
+
 def expiring_sum(df: DataFrame, keys: list[str], seq: str, at_ms: str, value: str, ttl_ms: int, width=None) -> DataFrame:
     """Running sum whose state is forgotten `ttl_ms` after its last write.
 

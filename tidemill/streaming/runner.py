@@ -12,43 +12,53 @@ from pyspark.sql import functions as F
 from tidemill.session import run_dir
 from tidemill.sinks.upsert import UpsertTable
 
-#: Time of the closing row; a row of exactly this time is one.
-FAR_FUTURE = "2200-01-01 00:00:00.000001"
+#: Marks the closing row; a real row never has it set, whatever its time.
+CLOSING = "closing"
 
 
 class Flush:
-    """One row in the far future, sent after all real rows, so that every window of a stream closes.
-
-    `attach` adds an empty side input to a stream, before its watermark is set;
-    `run_append` sends the row once the stream has come to its end.  The row's
-    own window stays open and is never emitted; row-wise operators drop it with
-    `without_flush`.
+    """One row sent after all real rows, `horizon` after the latest of them, so that every window of a stream closes.
+
+    `attach` adds an empty side input to a stream, before its watermark is set,
+    and the column CLOSING that tells the row from real ones; `run_append` sends
+    the row once the stream has come to its end.  The row's own window stays open
+    and is never emitted; row-wise operators drop it with `without_flush`.  A
+    stream that goes on afterwards has its watermark moved by the horizon, so
+    that must be more than window and delay, and no more than needed.
     """
 
-    def __init__(self):
-        self._rows: list[tuple[DataFrame, str]] = []
+    def __init__(self, horizon: timedelta = timedelta(days=2)):
+        self.horizon = horizon
+        self._sides: list[tuple[DataFrame, str, str, dict]] = []
 
     def attach(self, stream: DataFrame, ts: str, **values) -> DataFrame:
         """Columns of the row are null but for `values`: a join drops rows with a null key before it sees their time."""
         spark = stream.sparkSession
         folder = run_dir(spark, "flush")
-        row = spark.range(1).select(
-            *[
-                F.lit(FAR_FUTURE if f.name == ts else values.get(f.name)).cast(f.dataType).alias(f.name)
-                for f in stream.schema
-            ]
-        )
-        row.limit(0).write.parquet(folder)
-        self._rows.append((row, folder))
-        return stream.unionByName(spark.readStream.schema(row.schema).parquet(folder))
-
-    def send(self) -> None:
-        for row, folder in self._rows:
+        marked = stream.withColumn(CLOSING, F.lit(False))
+        spark.createDataFrame([], marked.schema).coalesce(1).write.parquet(folder)
+        self._sides.append((marked, folder, ts, values))
+        return marked.unionByName(spark.readStream.schema(marked.schema).parquet(folder))
+
+    def send(self, latest: datetime) -> None:
+        for marked, folder, ts, values in self._sides:
+            at = F.lit((latest + self.horizon).isoformat(sep=" "))
+            known = {ts: at, CLOSING: F.lit(True), **{k: F.lit(v) for k, v in values.items()}}
+            row = marked.sparkSession.range(1).select(
+                *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in marked.schema]
+            )
             row.coalesce(1).write.mode("append").parquet(folder)
 
 
-def without_flush(df: DataFrame, ts: str) -> DataFrame:
-    return df.filter(~F.col(ts).eqNullSafe(F.lit(FAR_FUTURE).cast("timestamp")))
+def without_flush(df: DataFrame) -> DataFrame:
+    return df.filter(~F.col(CLOSING)).drop(CLOSING)
+
+
+def _latest(progress: list) -> datetime | None:
+    """The largest event time that the micro-batches of a run have seen."""
+    seen = [p["eventTime"].get(k) for p in progress for k in ("max", "watermark") if p["eventTime"]]
+    times = [datetime.fromisoformat(x.replace("Z", "+00:00")).replace(tzinfo=None) for x in seen if x]
+    return max(times, default=None)
 
 
 def run_append(df: DataFrame, name: str, folder: str | None = None, flush: Flush | None = None) -> DataFrame:
@@ -60,20 +70,21 @@ def run_append(df: DataFrame, name: str, folder: str | None = None, flush: Flush
     spark = df.sparkSession
     folder = folder or run_dir(spark, name)
 
-    def run() -> None:
-        (
+    def run() -> list:
+        query = (
             df.writeStream.format("parquet")
             .outputMode("append")
             .option("path", f"{folder}/out")
             .option("checkpointLocation", f"{folder}/checkpoint")
             .trigger(availableNow=True)
             .start()
-            .awaitTermination()
         )
+        query.awaitTermination()
+        return query.recentProgress
 
-    run()
-    if flush:
-        flush.send()
+    progress = run()
+    if flush and (latest := _latest(progress)):
+        flush.send(latest)
         run()
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
 

@@ -160,21 +160,6 @@ def test_map_state_expires(spark, tmp_path, two_partitions):
     assert run_two_batches(sums, "sub_sum") == [(0, 1), (1, 2)]
 
 
-def test_event_time_timer_flushes_at_the_next_minute_of_the_watermark(spark, tmp_path, two_partitions):
-    flush = runner.Flush()
-    stream = flush.attach(feed(spark, data(), DDL, tmp_path, 3), "ts").withWatermark("ts", "0 seconds")
-    out = s.flush_on_timer(runner.without_flush(stream, "ts"), ["k"], ["k", "v", "seq"], "seq", event_time=True)
-    got = runner.run_append(out, "timer", flush=flush).collect()
-    assert sorted(x.seq for x in got) == list(range(60))
-    assert all(x.flushed_at % 60_000 == 0 for x in got)
-
-
-def test_processing_time_timer(spark, tmp_path, two_partitions):
-    out = s.flush_on_timer(feed(spark, data(), DDL, tmp_path, 2), ["k"], ["k", "v", "seq"], "seq", event_time=False, every_ms=1000)
-    got = runner.run_until_timers(out, "timer", every_ms=1000).collect()
-    assert sorted(x.seq for x in got) == list(range(60))
-
-
 def test_native_watermark_drops_late_rows(spark, tmp_path):
     from datetime import datetime, timedelta
 

@@ -12,7 +12,7 @@ from tidemill.plans import inputs as i
 from tidemill.plans.registry import query
 from tidemill.session import run_dir
 from tidemill.sources.lines import read_lines
-from tidemill.streaming.carried import stream_running_sum
+from tidemill.streaming.replay import replay
 from tidemill.streaming.runner import run_batches, run_upsert
 from tidemill.sinks.files import write_text
 from tidemill.sinks.upsert import UpsertTable
@@ -31,7 +31,7 @@ def word_count(spark, t):
 
 
 def _word_stream(t):
-    docs = t.stream("documents").select(F.explode(F.split("text", "\n")).alias("line"))
+    docs = replay(t.documents.select("doc_id", "text"), "doc_id").select(F.explode(F.split("text", "\n")).alias("line"))
     return words(docs, "line")
 
 
@@ -76,12 +76,6 @@ def running_sum(spark, t):
     return r.running_reduce(i.pairs(t), ["word"], "seq", "cnt", width=t.event_width)
 
 
-@query("running_sum_stream", f"SELECT word, seq, cnt, (sum(cnt) {SO_FAR})::BIGINT AS running FROM {i.PAIRS}")
-def running_sum_stream(spark, t):
-    """The sum after every row of a stream; totals are carried between micro-batches."""
-    return stream_running_sum(i._pairs(t.stream("events")), ["word"], "seq", "cnt")
-
-
 @query("running_reduce", f"SELECT word, seq, cnt, min(cnt) {SO_FAR} AS running FROM {i.PAIRS}")
 def running_reduce(spark, t):
     return r.running_reduce(i.pairs(t), ["word"], "seq", "cnt", "min", width=t.event_width)

@@ -11,8 +11,9 @@ from tidemill.plans import inputs as i
 from tidemill.plans.registry import query
 from tidemill.session import run_dir
 from tidemill.sources.jdbc import RefreshingDimension
-from tidemill.streaming.carried import stream_changing_dimension
+from tidemill.streaming.keyed import LatestValue, keyed_state
 from tidemill.streaming.joins import stream_interval_join, stream_windowed_join
+from tidemill.streaming.replay import replay
 from tidemill.streaming.runner import Flush, ddl_of, read_batches, run_append, run_batches
 
 CLICKS, BUYS = i.side_sql("click", "click"), i.side_sql("purchase", "buy")
@@ -67,7 +68,8 @@ def _flushed(t):
 
 
 def _sides_of_stream(t):
-    return i.side(t.stream("events"), "click", "click"), i.side(t.stream("events"), "purchase", "buy")
+    events = replay(t.events, "event_id")
+    return i.side(events, "click", "click"), i.side(events, "purchase", "buy")
 
 
 @query("join_category_amount", f"""SELECT user_id, win_start, buy_cents, sum(click_cents)::BIGINT AS amount, count(*) AS n_pairs
@@ -159,7 +161,7 @@ def join_lookup_stream(spark, t):
     """A stream joined to a dimension that is read again when it is older than ten minutes."""
     folder = run_dir(spark, "lookup")
     dimension = RefreshingDimension(lambda: i.lookup_names(t), ttl_seconds=600)
-    facts = t.stream("customer").select("c_custkey", "c_nationkey")
+    facts = replay(t.customer.select("c_custkey", "c_nationkey"), "c_custkey")
 
     def write(batch, batch_id):
         out = j.lookup(batch, dimension.current(), "c_nationkey", "n_nationkey")
@@ -198,4 +200,13 @@ def join_broadcast_cdc(spark, t):
 
 @query("join_broadcast_cdc_stream", CDC)
 def join_broadcast_cdc_stream(spark, t):
-    return stream_changing_dimension(i.tagged_changes(t.stream("events")), "user_id", "event_id", "name", "op")
+    """Changes and facts in one stream: a user's state holds the name that facts get until it changes."""
+    tagged = i.tagged_changes(replay(t.events, "event_id")).select(
+        "event_id",
+        "user_id",
+        F.col("op").isNotNull().alias("change"),
+        F.when(F.col("op") != "delete", F.col("name")).alias("name_now"),
+    )
+    step = LatestValue("change", "name_now", "name")
+    out = keyed_state(tagged, ["user_id"], "event_id", ["change", "name_now"], step, "name string", keep=lambda c: c == "event_id")
+    return run_append(out, "dimension")

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tidemill.operators import late as l
 from tidemill.operators import windows as w
 from tidemill.plans import inputs as i
-from tidemill.plans.registry import query
+from tidemill.plans.registry import ORACLES, query
 from tidemill.streaming.carried import stream_split_late
+from tidemill.streaming.keyed import CountWindows, RunningSum, keyed_state
+from tidemill.streaming.replay import replay
 from tidemill.streaming.runner import Flush, run_append
 
 
@@ -45,7 +47,7 @@ def _timed(t):
 
 def _timed_stream(t):
     flush = Flush()
-    stream = flush.attach(t.stream("events"), "ts")
+    stream = flush.attach(replay(t.events, "event_id"), "ts")
     return i.timed_pairs(stream).withWatermark("ts", "0 seconds"), flush
 
 
@@ -118,6 +120,18 @@ def win_history_sum(spark, t):
     return w.history_sums(_timed(t), ["word"], "ts", "1 hour", F.sum("cnt"))
 
 
+@query("win_history_sum_stream", ORACLES["win_history_sum"])
+def win_history_sum_stream(spark, t):
+    """Window sums that feed a keyed history state, two stateful steps of one stream."""
+    stream, flush = _timed_stream(t)
+    sums = w.tumbling(stream, ["word"], "ts", "1 hour", {"win_sum": F.sum("cnt")})
+    numbered = sums.withColumn("at", F.unix_seconds(F.col("win_start").cast("timestamp")))
+    out = keyed_state(
+        numbered, ["word"], "at", ["win_start", "win_end", "win_sum"], RunningSum("win_sum", "history_sum"), "history_sum bigint"
+    )
+    return run_append(out.drop("at"), "history", flush=flush)
+
+
 @query("win_accumulate", f"""SELECT word, {_bucket('6 hours', 'ts')} AS win_start,
   {_bucket('6 hours', 'ts')} + INTERVAL '6 hours' AS win_end, count(*) AS n, sum(cnt)::DOUBLE / count(*)::DOUBLE AS mean
   FROM {i.TIMED} GROUP BY ALL""")
@@ -130,6 +144,20 @@ def win_accumulate(spark, t):
     return w.accumulate(_timed(t), ["word"], "ts", "6 hours", mean)
 
 
+@query("win_accumulate_stream", f"""SELECT word, win_start, win_end, n, s::DOUBLE / n::DOUBLE AS mean, (sum(s) OVER (
+  PARTITION BY word ORDER BY win_start ROWS UNBOUNDED PRECEDING))::BIGINT AS history FROM (
+  SELECT word, {_bucket('6 hours', 'ts')} AS win_start, {_bucket('6 hours', 'ts')} + INTERVAL '6 hours' AS win_end,
+  count(*) AS n, sum(cnt)::BIGINT AS s FROM {i.TIMED} GROUP BY ALL)""")
+def win_accumulate_stream(spark, t):
+    """An accumulator's parts by window, then a keyed history of one of them, in one stream."""
+    stream, flush = _timed_stream(t)
+    parts = w.tumbling(stream, ["word"], "ts", "6 hours", {"s": F.sum("cnt"), "n": F.count(F.lit(1))})
+    numbered = parts.withColumn("at", F.unix_seconds(F.col("win_start").cast("timestamp")))
+    out = keyed_state(numbered, ["word"], "at", ["win_start", "win_end", "n", "s"], RunningSum("s", "history"), "history bigint")
+    mean = (F.col("s").cast("double") / F.col("n").cast("double")).alias("mean")
+    return run_append(out.select("word", "win_start", "win_end", "n", mean, "history"), "accumulate", flush=flush)
+
+
 @query("sql_tumble", f"""SELECT user_id, {_bucket('10 hours', 'ts')} AS win_start,
   {_bucket('10 hours', 'ts')} + INTERVAL '10 hours' AS win_end,
   sum(CAST(round(value * 100) AS BIGINT)) / 100.0::DOUBLE AS total_money FROM events GROUP BY ALL""")
@@ -199,6 +227,24 @@ def win_count_all(spark, t):
     return w.count_windows(i.pairs(t), [], "seq", 5, _sum(), t.event_width)
 
 
+def _count_stream(t, keys, name):
+    rows = i._pairs(replay(t.events, "event_id"))
+    out = keyed_state(rows, keys, "seq", ["cnt"], CountWindows("cnt", 5), "win_no bigint, total bigint", keep=lambda c: False)
+    return run_append(out, name)
+
+
+@query("win_count_stream", ORACLES["win_count"])
+def win_count_stream(spark, t):
+    """Count windows that fire and purge in state; a rest that never fills is never sent."""
+    return _count_stream(t, ["word"], "win_count")
+
+
+@query("win_count_all_stream", ORACLES["win_count_all"])
+def win_count_all_stream(spark, t):
+    """The same over all rows; packed rows, not rows, meet in one task."""
+    return _count_stream(t, [], "win_count_all")
+
+
 # --- late rows ----------------------------------------------------------------------
 
 HOUR_SUM = f"""SELECT event_type, {_bucket('1 hour', 'et')} AS win_start, {_bucket('1 hour', 'et')} + INTERVAL '1 hour' AS win_end,
@@ -229,4 +275,4 @@ def late_dropped(spark, t):
 @query("late_side_output_stream", f"SELECT event_id, event_type, cnt, et, is_late FROM {i.LATE}")
 def late_side_output_stream(spark, t):
     """Late marks of a stream; the largest event time is carried between micro-batches."""
-    return stream_split_late(i.late_events(t.stream("events")), "et", "event_id", 3600)
+    return stream_split_late(i.late_events(replay(t.events, "event_id")), "et", "event_id", 3600)

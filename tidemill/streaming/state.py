@@ -111,42 +111,6 @@ class ListState(_Processor):
         yield batch[self.columns]
 
 
-class MinuteFlush(_Processor):
-    """Buffer rows and emit them at the next full `every_ms` of the watermark or of processing time.
-
-    Timers at the same instant are one timer.  The buffer is emptied after it.
-    """
-
-    def __init__(self, columns, schema: StructType, event_time: bool, every_ms: int = 60_000):
-        super().__init__(columns, columns[0])
-        self.schema, self.event_time, self.every_ms = schema, event_time, every_ms
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.buffer = handle.getListState("buffer", self.schema)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            self.buffer.appendList(list(batch[self.columns].astype(object).itertuples(index=False, name=None)))
-        if self.event_time:
-            now = timerValues.getCurrentWatermarkInMs()
-        else:
-            now = timerValues.getCurrentProcessingTimeInMs()
-        self.handle.registerTimer(now - now % self.every_ms + self.every_ms)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at, chunk = expiredTimerInfo.getExpiryTimeInMs(), []
-        for row in self.buffer.get():
-            chunk.append((*row, at))
-            if len(chunk) == 10_000:
-                yield pd.DataFrame(chunk, columns=[*self.columns, "flushed_at"])
-                chunk = []
-        if chunk:
-            yield pd.DataFrame(chunk, columns=[*self.columns, "flushed_at"])
-        self.buffer.clear()
-
-
 def _apply(df: DataFrame, group: list[str], processor: _Processor, ddl: str, time_mode: str) -> DataFrame:
     return df.groupBy(*group).transformWithStateInPandas(
         statefulProcessor=processor,
@@ -227,24 +191,3 @@ def resolve_list(out: DataFrame, keys: list[str], seq: str, name: str = "items")
     ends = ends.select(*keys, "page", F.collect_list("__page").over(earlier).alias("__earlier"))
     joined = null_safe_join(out, ends, [*keys, "page"])
     return joined.withColumn(name, F.concat_ws(",", "__earlier", "items")).drop("__earlier")
-
-
-def flush_on_timer(
-    df: DataFrame,
-    keys: list[str],
-    columns: list[str],
-    unique: str,
-    event_time: bool,
-    every_ms: int = 60_000,
-    salts: int = 8,
-) -> DataFrame:
-    """Rows held back until a timer of their key fires, then emitted with `flushed_at`.
-
-    What a timer emits does not depend on which rows share a state, so every key
-    is spread over `salts` states.
-    """
-    salted = df.withColumn("salt", F.pmod(F.xxhash64(F.col(unique)), F.lit(salts)).cast("int"))
-    ddl = _typed(salted, columns)
-    processor = MinuteFlush(columns, StructType.fromDDL(ddl), event_time, every_ms)
-    mode = "EventTime" if event_time else "ProcessingTime"
-    return _apply(salted, [*keys, "salt"], processor, f"{ddl}, flushed_at bigint", mode)

@@ -92,8 +92,9 @@ def test_copies_apart_make_few_candidates(docs_of):
     rows = [(i, " ".join(edited(rand, base, 10))) for i in range(300)]
     bands = parity.Bands(90, 100)
     keyed = docs_of(rows).selectExpr("doc_id", "cast(md5(text) as binary) t", "text")
-    classes = keyed.mapInArrow(parity._signed(3, bands), parity._SIGNED_DDL).select("c", "size", "own", "below")
-    met = parity.kept_parts(classes, bands).groupBy("key").count().collect()
+    signed = keyed.mapInArrow(parity._signed(3, bands), parity._SIGNED_DDL)
+    classes = signed.select("c", "h", "size", *parity.part_counts())
+    met = parity.kept_parts(signed, classes, bands).groupBy("key").count().collect()
     assert sum(r["count"] ** 2 for r in met) < len(rows) ** 2 / 50
 
 

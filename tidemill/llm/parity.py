@@ -5,8 +5,8 @@ so two sketches differ in no more bits than the sets do: the Hamming distance is
 difference. Sets of sizes s and t with a Jaccard similarity of p/q differ in at most (s + t) * (q - p) / (q + p)
 shingles.
 
-Sizes are dealt into bands [L, 2L). A band's sketch is cut into parts, twice as many as shingles that may differ (of a
-set in the band or of a larger partner), so linked sets agree in at least half of the parts: the pigeonhole. A part is
+Sizes are dealt into bands [L, 2L). A band's sketch is cut into more parts than shingles may differ (of a set in the
+band or of a larger partner), so linked sets agree in some: the pigeonhole. A part is
 a sketch of 2**64 bits of which only the exclusive or of the flipped places is kept, so unlike parts don't agree by
 chance. Sets near the upper edge of a band below also take part in that band, since a partner may be there. Each set
 keeps the parts that fewest sets share, one more than may differ: two linked sets keep a part in common, since both
@@ -78,8 +78,8 @@ class Bands:
         return self.differ(s, self.largest(s))
 
     def parts(self, low):
-        """Parts of the sketches of the band [low, 2 * low)."""
-        return 2 * (self.most(self.largest(2 * low - 1)) + 1)
+        """Parts of the sketches of the band [low, 2 * low): an eighth more than the largest partner's sketch may miss."""
+        return (self.most(self.largest(2 * low - 1)) + 1) * 9 // 8 + 1
 
     def alike(self, s: Column, t: Column) -> Column:
         return F.least(s, t) * self.q >= F.greatest(s, t) * self.p
@@ -140,15 +140,13 @@ def hamming(a: Column, b: Column) -> Column:
     return F.aggregate(bits, F.lit(0), lambda s, x: s + x)
 
 
-_SIGNED_DDL = (
-    "doc_id bigint, c binary, t binary, size bigint, own array<bigint>, below array<bigint>, sketch array<bigint>"
-)
+_SIGNED_DDL = "doc_id bigint, c binary, h bigint, t binary, size bigint, own array<bigint>, below array<bigint>"
 
 
 def _signed(n: int, bands: Bands):
     lists = pa.list_(pa.int64())
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("c", pa.binary()), ("t", pa.binary()), ("size", pa.int64()), ("own", lists), ("below", lists), ("sketch", lists)]
+        [("doc_id", pa.int64()), ("c", pa.binary()), ("h", pa.int64()), ("t", pa.binary()), ("size", pa.int64()), ("own", lists), ("below", lists)]
     )
 
     def listed(rows: int, row: np.ndarray, key: np.ndarray) -> pa.Array:
@@ -164,16 +162,14 @@ def _signed(n: int, bands: Bands):
             # Sets that may differ in nothing are linked only to equal ones, and those are one class.
             low = np.where(bands.most(size) > 0, _low(size), 0)
             lower = np.where((low > 0) & (size <= bands.largest(low - 1)), low // 2, 0)
-            words, first = short_sketches(row, value, low)
             sums = [np.zeros(rows, U64) for _ in range(2)]
             for k, seed in enumerate((0x452821E638D01377, 0xBE5466CF34E90C6C)):
                 np.add.at(sums[k], row, mix(value + U64(seed)))
             both = np.stack([*sums, size.astype(U64)], axis=1)
             key = [x.tobytes() if x[2] else None for x in both]
             columns = [
-                piece.column("doc_id"), pa.array(key, pa.binary()), piece.column("t"), pa.array(size),
+                piece.column("doc_id"), pa.array(key, pa.binary()), pa.array(sums[0].astype(np.int64)), piece.column("t"), pa.array(size),
                 listed(rows, *part_keys(row, value, low, size, bands)), listed(rows, *part_keys(row, value, lower, size, bands)),
-                pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(words)),
             ]
             yield pa.record_batch(columns, schema=schema)
 
@@ -198,20 +194,43 @@ def _linked(n: int, bands: Bands):
     return run
 
 
-def kept_parts(classes: DataFrame, bands: Bands) -> DataFrame:
-    """key, c, size of the parts that each set keeps and another set has as well."""
-    spread = lambda name: classes.select(
-        "c", "size", F.lit(name).alias("band"), F.size(name).alias("total"), F.explode(name).alias("key")
-    )
+def _sketched(n: int, bands: Bands):
+    schema = pa.schema([("c", pa.binary()), ("size", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text"):
+            row, value = shingles(piece.column("text"), n)
+            size = np.bincount(row, minlength=piece.num_rows).astype(np.int64)
+            words, first = short_sketches(row, value, _low(size))
+            sketch = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(words))
+            yield pa.record_batch([piece.column("c"), pa.array(size), sketch], schema=schema)
+
+    return run
+
+
+def part_counts() -> list[Column]:
+    """own, below: how many parts of a set can use up its places; none if some are empty, as those come last in order."""
+    counted = lambda name: F.when(F.exists(name, lambda x: x.bitwiseAND(F.lit(1)) == 1), 0).otherwise(F.size(name))
+    return [counted("own").alias("own"), counted("below").alias("below")]
+
+
+def kept_parts(signed: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
+    """key, c, size of the parts that each set keeps and another one may have as well.
+
+    Rows of parts carry eight bytes of the set's key (h), which stand for all sets that begin so; `classes` has c, h,
+    size and the numbers of parts (see `part_counts`). Copies of a set make its parts look shared, which keeps more of
+    them.
+    """
+    spread = lambda name: signed.select("h", F.lit(name == "below").alias("lower"), F.explode(name).alias("key"))
     parts = spread("own").unionByName(spread("below"))
     shared = parts.groupBy("key").agg(F.count("*").alias("sets")).filter("sets > 1")
-    found = parts.join(shared, "key")
-    of_set = Window.partitionBy("c", "band")
+    found = parts.join(shared, "key").groupBy("h", "lower", "key").agg(F.max("sets").alias("sets"))
+    found = found.join(classes.select("h", "c", "size", "own", "below"), "h")
+    of_set = Window.partitionBy("c", "lower")
     may_differ = F.floor((F.col("size") + F.floor(F.col("size") * bands.q / bands.p)) * (bands.q - bands.p) / (bands.q + bands.p))
-    places = may_differ + 1 - (F.col("total") - F.count("*").over(of_set))
+    places = may_differ + 1 - (F.when(F.col("lower"), F.col("below")).otherwise(F.col("own")) - F.count("*").over(of_set))
     rank = F.row_number().over(of_set.orderBy(F.col("key").bitwiseAND(F.lit(1)), "sets", "key"))
-    has_bare = F.max(F.col("key").bitwiseAND(F.lit(1))).over(of_set) == 1
-    return found.withColumn("kept", has_bare | (rank <= places)).filter("kept").select("key", "c", "size")
+    return found.withColumn("kept", rank <= places).filter("kept").select("key", "c", "size")
 
 
 def jaccard_components(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
@@ -221,19 +240,21 @@ def jaccard_components(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY
         F.col("doc_id").cast("bigint").alias("doc_id"), F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("t"), "text"
     )
     signed = stage(keyed.mapInArrow(_signed(shingle, bands), _SIGNED_DDL), "parity-signed")
-    sets = signed.filter("c is not null").groupBy("c")
     classes = stage(
-        sets.agg(
-            F.min("doc_id").alias("first_id"), F.min(F.struct("t", "doc_id")).alias("text_of"), F.first("size").alias("size"),
-            F.first("own").alias("own"), F.first("below").alias("below"), F.first("sketch").alias("sketch"),
+        signed.filter("c is not null")
+        .select("doc_id", "c", "h", "t", "size", *part_counts())
+        .groupBy("c")
+        .agg(
+            F.min("doc_id").alias("first_id"), F.min(F.struct("t", "doc_id")).alias("text_of"), F.first("h").alias("h"),
+            F.first("size").alias("size"), F.first("own").alias("own"), F.first("below").alias("below"),
         ),
         "parity-classes",
     )
-    members = stage(kept_parts(classes, bands), "parity-members")
+    members = stage(kept_parts(signed, classes, bands), "parity-members")
     wanted = classes.join(members.select("c").distinct(), "c", "left_semi")
     texts = keyed.join(wanted.select("c", F.col("text_of.t").alias("t"), F.col("text_of.doc_id").alias("d")), "t")
     texts = stage(texts.filter(F.col("doc_id").eqNullSafe(F.col("d"))).select("c", "text"), "parity-texts")
-    sketches = stage(wanted.select("c", "size", "sketch"), "parity-sketches")
+    sketches = stage(texts.mapInArrow(_sketched(shingle, bands), "c binary, size bigint, sketch array<bigint>"), "parity-sketches")
 
     def verified(pairs: DataFrame) -> DataFrame:
         side = lambda x: sketches.select(F.col("c").alias(x), F.col("size").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))

@@ -76,6 +76,54 @@ def test_tail_source_reads_only_what_was_added_after_a_restart(spark, tmp_path):
     assert run() == sorted([*first, (1, "1-half done"), (1, "last")], key=repr)
 
 
+@pytest.fixture
+def tail(spark, tmp_path):
+    folder = run_dir(spark, "tail")
+
+    def run(**options):
+        stream = spark.readStream.format("tidemill_tail").option("path", f"file://{tmp_path}").options(**options).load()
+        return sorted(r.line for r in runner.run_append(stream.select("source", "line"), "tail", folder).collect())
+
+    return run
+
+
+def test_tail_source_reads_a_rotated_file_from_its_start(tail, tmp_path):
+    (tmp_path / "0.txt").write_text("old 1\nold 2\n")
+    assert tail() == ["old 1", "old 2"]
+    (tmp_path / "0.txt").write_text("new 1\nnew 2\nnew 3\n")
+    assert tail() == ["new 1", "new 2", "new 3", "old 1", "old 2"]
+
+
+def test_tail_source_reads_a_shortened_file_from_its_start(tail, tmp_path):
+    (tmp_path / "0.txt").write_text("a\nb\nc\n")
+    assert tail() == ["a", "b", "c"]
+    (tmp_path / "0.txt").write_text("a\n")
+    assert tail() == ["a", "a", "b", "c"]
+    (tmp_path / "0.txt").write_text("a\nd\n")
+    assert tail() == ["a", "a", "b", "c", "d"]
+
+
+def test_tail_source_goes_on_without_a_vanished_file(tail, tmp_path):
+    for n in range(2):
+        (tmp_path / f"{n}.txt").write_text(f"{n}-a\n")
+    assert tail() == ["0-a", "1-a"]
+    os.remove(tmp_path / "0.txt")
+    with open(tmp_path / "1.txt", "a") as out:
+        out.write("1-b\n")
+    assert tail() == ["0-a", "1-a", "1-b"]
+    (tmp_path / "0.txt").write_text("back\n")
+    assert tail() == ["0-a", "1-a", "1-b", "back"]
+
+
+@pytest.mark.parametrize("split", ["3", "1000"])
+def test_tail_source_delivers_the_last_line_at_the_end(tail, tmp_path, split):
+    (tmp_path / "0.txt").write_text("a\nb\nunfinished")
+    (tmp_path / "1.txt").write_text("")
+    assert tail(split_bytes=split) == ["a", "b"]
+    assert tail(split_bytes=split, finish="true") == ["a", "b", "unfinished"]
+    assert tail(split_bytes=split, finish="true") == ["a", "b", "unfinished"]
+
+
 def test_text_folder_is_read_once_per_file(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x\ny\n")
     folder = run_dir(spark, "text")

@@ -153,3 +153,26 @@ def test_empty_input(spark, call):
 def test_null_key_is_a_key(spark):
     df = timed(spark, (0, None, 1), (1, None, 2))
     assert spans(w.sessions(df, ["word"], "ts", 5, total()), "total") == [(0, 5001, 3)]
+
+
+@pytest.mark.parametrize("keys", [["word"], []])
+def test_sessions_over_blocks_equal_plain_ones(spark, keys):
+    """A third of the slots on one key, cut into blocks far shorter than its sessions."""
+    rnd, at, data = random.Random(9), 0, []
+    for _ in range(1500):
+        at += rnd.choice([1, 900, 2500, 4999, 5000, 5001, 40_000])
+        data.append((at, rnd.choice("hhab"), rnd.randrange(9)))
+    df = timed(spark, *data)
+    plain = w.sessions(df, keys, "ts", 5, total(), blocked=False)
+    cut = w.sessions(df, keys, "ts", 5, total(), blocked=True, block_slots=8)
+    assert rows(cut.select(*keys, "win_start", "win_end", "total")) == rows(plain.select(*keys, "win_start", "win_end", "total"))
+
+
+def test_slots_of_one_key_are_spread(spark):
+    """With blocks no task has to put all slots in order; what meets in one task is summaries of blocks."""
+    df = timed(spark, *[(i * 7000, "h", 1) for i in range(400)])
+    text = w.sessions(df, [], "ts", 5, total(), block_slots=16)._jdf.queryExecution().executedPlan().toString()
+    lines = text.splitlines()
+    single = [n for n, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert single and all("HashAggregate" in lines[n + 1] for n in single)
+    assert "__block" in text

@@ -13,7 +13,8 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.scans import position
+from tidemill.operators.scans import position, running, scan_max
+from tidemill.session import shared_dir
 
 
 def _flat(df: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
@@ -86,26 +87,33 @@ def sessions(
     ts: str,
     gap_seconds: int,
     sums: dict[str, Column],
+    blocked: bool | None = None,
+    block_slots: int = 4096,
 ) -> DataFrame:
     """Sessions of batch input: a new one starts after more than `gap_seconds` of silence.
 
     Rows in one time slot as long as the gap always share a session, so rows are
     first combined into (key, slot); only these slots are put in order per key.
-    Their number depends on the time covered, not on the number of rows.
+    Their number depends on the time covered, not on the number of rows.  With
+    `blocked` (the default where there are no keys) even the slots of one key are
+    spread: the last end and the open session are carried over blocks of slots.
     """
     merges = _mergeable(sums)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     gap = F.lit(gap_seconds * 1_000_000).cast("long")
     slots = (
         df.withColumn("__us", us)
-        .groupBy(*keys, (F.col("__us") - F.pmod(F.col("__us"), gap)).alias("__slot"))
+        .groupBy(*keys, F.floor(F.col("__us") / gap).cast("long").alias("__slot"))
         .agg(F.min("__us").alias("__from"), F.max("__us").alias("__to"), *[c.alias(n) for n, c in sums.items()])
     )
-    by_slot = Window.partitionBy(*keys).orderBy("__slot")
-    starts = F.when(F.col("__from") - F.lag("__to").over(by_slot) <= gap, 0).otherwise(1)
-    numbered = slots.withColumn("__starts", starts).withColumn(
-        "__session", F.sum("__starts").over(by_slot.rowsBetween(Window.unboundedPreceding, 0))
-    )
+    if blocked or (blocked is None and not keys):
+        numbered = _numbered_by_blocks(slots, keys, gap, block_slots)
+    else:
+        by_slot = Window.partitionBy(*keys).orderBy("__slot")
+        starts = F.when(F.col("__from") - F.lag("__to").over(by_slot) <= gap, 0).otherwise(1)
+        numbered = slots.withColumn("__starts", starts).withColumn(
+            "__session", F.sum("__starts").over(by_slot.rowsBetween(Window.unboundedPreceding, 0))
+        )
     out = numbered.groupBy(*keys, "__session").agg(
         F.min("__from").alias("__from"), F.max("__to").alias("__to"), *[merges[n](n).alias(n) for n in sums]
     )
@@ -117,6 +125,18 @@ def sessions(
     )
 
 
+def _numbered_by_blocks(slots: DataFrame, keys: list[str], gap: Column, block_slots: int) -> DataFrame:
+    """The slots with the start of their session, by two blocked scans: the end before each slot, then the open start.
+
+    The slots are checkpointed, as every scan reads them more than once.
+    """
+    shared_dir(slots.sparkSession)
+    ends = running(slots.checkpoint(), keys, "__slot", {"__before": scan_max("__to")}, block_slots, inclusive=False)
+    starts = F.col("__before").isNull() | (F.col("__from") - F.col("__before") > gap)
+    opened = ends.withColumn("__opens_at", F.when(starts, F.col("__from")))
+    return running(opened, keys, "__slot", {"__session": scan_max("__opens_at")}, block_slots)
+
+
 def with_arrival(df: DataFrame, name: str = "arrival") -> DataFrame:
     """Processing time of a stream, the same for all rows of a micro-batch."""
     return df.withColumn(name, F.current_timestamp())

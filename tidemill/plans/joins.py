@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemill.functions.udfs import ip_locate, register_functions
 from tidemill.operators import joins as j
+from tidemill.operators.cogroup import PairByRank, co_group_apply
 from tidemill.operators.enrich import enrich
 from tidemill.plans import inputs as i
 from tidemill.plans.registry import query
 from tidemill.session import run_dir
 from tidemill.sources.jdbc import RefreshingDimension
+from tidemill.sources.tables import SCHEMAS
 from tidemill.streaming.keyed import LatestValue, keyed_state
 from tidemill.streaming.joins import stream_interval_join, stream_windowed_join
 from tidemill.streaming.replay import replay
@@ -101,6 +105,29 @@ def co_group(spark, t):
     )
 
 
+@query("co_group_rank", f"""SELECT user_id, day, pair, click_id, buy_id, (sum(coalesce(click_cents, 0) - coalesce(buy_cents, 0)) OVER (
+  PARTITION BY user_id, day ORDER BY pair ROWS UNBOUNDED PRECEDING))::BIGINT AS balance FROM (
+  SELECT coalesce(c.user_id, b.user_id) AS user_id, coalesce(c.day, b.day) AS day, coalesce(c.n, b.n) AS pair,
+    click_id, buy_id, click_cents, buy_cents
+  FROM (SELECT *, {_day('click_ts')} AS day, row_number() OVER (PARTITION BY user_id, {_day('click_ts')} ORDER BY click_id) AS n FROM {CLICKS}) c
+  FULL JOIN (SELECT *, {_day('buy_ts')} AS day, row_number() OVER (PARTITION BY user_id, {_day('buy_ts')} ORDER BY buy_id) AS n FROM {BUYS}) b
+  ON c.user_id = b.user_id AND c.day = b.day AND c.n = b.n)""")
+def co_group_rank(spark, t):
+    """Clicks and purchases of a user and day paired in their order, with the balance after each pair."""
+    clicks, buys = _sides(t)
+    day = lambda ts: F.window(ts, "1 day").getField("start").cast("timestamp_ntz")
+    return co_group_apply(
+        clicks.withColumn("day", day("click_ts")).drop("click_ts"),
+        buys.withColumn("day", day("buy_ts")).drop("buy_ts"),
+        ["user_id", "day"],
+        "click_id",
+        "buy_id",
+        lambda: PairByRank("click_id", "buy_id", "click_cents", "buy_cents"),
+        "pair bigint, click_id bigint, buy_id bigint, balance bigint",
+        t.event_width,
+    )
+
+
 INTERVAL = f"""SELECT c.user_id, click_id, buy_id FROM {CLICKS} c JOIN {BUYS} b ON c.user_id = b.user_id
   AND buy_ts > click_ts - INTERVAL '1 hour' AND buy_ts <= click_ts + INTERVAL '1 hour'"""
 
@@ -171,6 +198,25 @@ def join_lookup_stream(spark, t):
     return read_batches(spark, f"{folder}/out", f"{ddl_of(facts)}, name string")
 
 
+@query("sql_insert_lookup", LOOKUP)
+def sql_insert_lookup(spark, t):
+    """Tables declared, joined in a view and written into a sink table by SQL text alone."""
+    tag = uuid.uuid4().hex
+    names = {n: f"tm_{n}_{tag}" for n in ("facts", "dim", "joined", "sink")}
+    statements = [
+        f"CREATE TABLE {names['facts']} ({SCHEMAS['customer']}) USING parquet LOCATION '{t.path('customer')}'",
+        f"CREATE TABLE {names['dim']} ({SCHEMAS['nation']}) USING parquet LOCATION '{t.path('nation')}'",
+        f"""CREATE TEMPORARY VIEW {names['joined']} AS SELECT f.c_custkey, f.c_nationkey, d.n_name AS name
+            FROM {names['facts']} f LEFT JOIN {names['dim']} d ON f.c_nationkey = d.n_nationkey AND d.n_nationkey % 4 <> 0""",
+        f"""CREATE TABLE {names['sink']} (c_custkey BIGINT, c_nationkey INT, name STRING) USING parquet
+            LOCATION '{run_dir(spark, 'sql_sink')}'""",
+        f"INSERT INTO {names['sink']} SELECT c_custkey, c_nationkey, name FROM {names['joined']}",
+    ]
+    for statement in statements:
+        spark.sql(statement)
+    return spark.sql(f"SELECT * FROM {names['sink']}")
+
+
 @query("enrich_ordered", """SELECT o_orderkey, o_custkey, c_name AS name FROM orders
   LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 4 <> 0""")
 def enrich_ordered(spark, t):

@@ -1,4 +1,10 @@
-"""A stream over growing text files that remembers byte offsets per file."""
+"""A stream over growing text files that remembers byte offsets per file.
+
+A file is known by its name and its first bytes. One that is shorter than what was read, or begins otherwise, has been
+rotated or rewritten under its name and is read from its start. One that has vanished is left out, and is new if its
+name comes back; lines of it that were planned but not yet read are gone. A last line without a line feed waits until
+it is finished; a run with the option `finish` delivers it as it is, for files that will not grow any more.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +12,12 @@ from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 _BLOCK = 1 << 16
+#: First bytes that tell a file from another one of its name.
+_HEAD = 256
 
 
 class _TailReader(DataSourceStreamReader):
-    """Offset: {file name: bytes read}, kept by Spark in the checkpoint.
+    """Offset: {file name: [bytes read, first bytes in hex]}, kept by Spark in the checkpoint.
 
     A batch covers whole lines only.  The new bytes of a file are cut into
     ranges of `split_bytes`; a range owns the lines that begin in it.
@@ -19,6 +27,7 @@ class _TailReader(DataSourceStreamReader):
         self.where = options["path"]
         self.split = int(options.get("split_bytes", str(32 << 20)))
         self.suffix = options.get("suffix", "")
+        self.finish = options.get("finish", "false").lower() == "true"
         self.ends = {}
 
     def _files(self):
@@ -35,17 +44,29 @@ class _TailReader(DataSourceStreamReader):
 
     def latestOffset(self):
         store, files = self._files()
-        for name, info in files.items():
-            # Only files that grew are opened.
-            if self.ends.get(name, (None, 0))[0] != info.size:
-                self.ends[name] = (info.size, _end_of_last_line(store, info))
-        return {name: self.ends[name][1] for name in sorted(files)}
+        out = {}
+        for name, info in sorted(files.items()):
+            state = (info.size, info.mtime_ns)
+            # Only files that changed are opened.
+            if self.ends.get(name, (None,))[0] != state:
+                try:
+                    end = info.size if self.finish else _end_of_last_line(store, info)
+                    self.ends[name] = (state, [end, _head(store, info.path, end)])
+                except FileNotFoundError:
+                    continue
+            out[name] = self.ends[name][1]
+        return out
 
     def partitions(self, start, end):
         store, files = self._files()
         ranges = []
         for index, name in enumerate(sorted(end)):
-            at, stop = start.get(name, 0), end[name]
+            if name not in files:
+                continue
+            stop, head = end[name]
+            at, known = start.get(name, (0, ""))
+            if stop < at or not head.startswith(known):
+                at = 0
             first = True
             while at < stop:
                 cut = min(at + self.split, stop)
@@ -57,7 +78,11 @@ class _TailReader(DataSourceStreamReader):
         index, path, at, stop, opens = part.value
         store, _ = fs.FileSystem.from_uri(self.where)
         name = path.rsplit("/", 1)[-1]
-        with store.open_input_file(path) as file:
+        try:
+            file = store.open_input_file(path)
+        except FileNotFoundError:
+            return
+        with file:
             # The line that runs into a later range belongs to the one before: it is read from its last byte on.
             lines = _lines(file, at if opens else at - 1, stop)
             if not opens:
@@ -91,6 +116,11 @@ def _lines(file, at: int, stop: int):
             rest.append(last)
 
 
+def _head(store, path: str, end: int) -> str:
+    with store.open_input_file(path) as file:
+        return file.read(min(_HEAD, end)).hex()
+
+
 def _end_of_last_line(store, info) -> int:
     """Position after the last line feed, searched from the end."""
     at = info.size

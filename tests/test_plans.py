@@ -10,7 +10,7 @@ BATCH = [
     "running_sum", "running_max", "running_max_by_first", "ad_count", "ad_count_running", "income_running",
     "user_history", "changelog_sum", "win_tumble", "win_slide", "win_session", "win_top3", "win_history_sum",
     "win_count", "win_count_all", "late_side_output", "join_window_inner", "join_window_left", "join_category_amount",
-    "join_interval", "join_ip_range", "sql_ip_location", "join_lookup", "enrich_ordered", "join_broadcast_cdc",
+    "join_interval", "join_ip_range", "sql_ip_location", "join_lookup", "join_broadcast_cdc",
     "co_group", "word_count", "prj_json_clean", "src_csv_table", "state_ttl_list", "sql_udtf_split",
 ]
 
@@ -65,3 +65,9 @@ def test_levels_share_one_row_shuffle(spark, folder):
     text = plan(spark, folder, "income_running")
     top = text.split("Union")[0]
     assert top.count("Exchange") == 1
+
+
+def test_running_distinct_counts_join_no_rows(spark, folder):
+    """First rows are marks in the scan; the only join is with the bounded list of hot keys."""
+    text = plan(spark, folder, "ad_count_running")
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text

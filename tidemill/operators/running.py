@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.scans import (
     Scan,
+    block_width,
     position,
     running,
+    running_ordered,
     scan_count,
     scan_first,
     scan_max,
@@ -81,22 +83,22 @@ def running_distinct_counts(
 ) -> DataFrame:
     """Rows and distinct members per key after every row.
 
-    A member counts at its first row, which one pre-aggregated group-by finds;
-    the two running totals then share one scan.
+    A member counts at its first row.  One pre-aggregated group-by finds that
+    place, and a mark there goes into the same scan as the rows, in front of the
+    row it belongs to: no row is joined, and rows are shuffled once.
     """
-    firsts = (
+    marks = (
         df.filter(F.col(member).isNotNull())
         .groupBy(*keys, member)
-        .agg(F.min(seq).alias("__first"))
-        .select(*[F.col(c).alias(f"__of_{c}") for c in [*keys, member]], "__first", F.lit(1).cast("long").alias("__new"))
+        .agg(F.min(seq).alias(seq))
+        .select(*keys, seq, F.lit(0).cast("long").alias("__row"), F.lit(1).cast("long").alias("__new"))
     )
-    # A sequence value is unique within a key only, and a key may be null.
-    same = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in keys]
-    same += [F.col(member) == F.col(f"__of_{member}"), F.col(seq) == F.col("__first")]
-    marked = df.join(firsts, same, "left").withColumn("__new", F.coalesce("__new", F.lit(0).cast("long")))
-    marked = marked.drop("__first", *[f"__of_{c}" for c in [*keys, member]])
-    scans = {"n_rows": scan_count(), "n_members": scan_sum("__new")}
-    return running(marked, keys, seq, scans, width).drop("__new")
+    rows = df.withColumns({"__row": F.lit(1).cast("long"), "__new": F.lit(0).cast("long")})
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    scans = {"n_rows": scan_sum("__row"), "n_members": scan_sum("__new")}
+    width = block_width(df, seq) if width is None else width
+    out = running_ordered(both, keys, seq, [F.col(seq), F.col("__row")], scans, width)
+    return out.filter(F.col("__row") == 1).drop("__row", "__new")
 
 
 def paged_history(
@@ -200,8 +202,6 @@ def expiring_list(df: DataFrame, keys: list[str], seq: str, at_ms: str, ttl_ms:
 
 def _running_by_time(marks: DataFrame, keys: list[str], scans: dict[str, Scan]) -> DataFrame:
     """A blocked scan ordered by (time, expiry first, seq); blocks are cut in time."""
-    from tidemill.operators.scans import running_ordered
-
     order = [F.col("__at"), F.col("__kind").desc(), F.col("__seq")]
     return running_ordered(marks, keys, "__at", order, scans)
 

@@ -217,22 +217,56 @@ def test_url_verdicts(spark):
     assert urls.judge_urls(pages).count() == len(rows) and urls.judge_urls(pages.limit(0)).count() == 0
 
 
-def test_rates_meet_the_targets(spark, docs_of, labels_of):
-    rand = random.Random(8)
-    rows = [(rand.randint(0, 400), [a / (a + b + c), b / (a + b + c), c / (a + b + c)]) for a, b, c in ((rand.random() ** 4, rand.random() ** 6, rand.random() ** 6) for _ in range(500))]
-    table = spark.createDataFrame(rows, "n_tokens bigint, p array<double>")
-    slope = mixing.fit_rates(table, (0.7, 0.2, 0.1))
-    rates = np.array([r.rate for r in table.select("*", mixing.rate_of(slope).alias("rate")).collect()])
-    tokens, p = np.array([n for n, _ in rows]), np.array([x for _, x in rows])
-    assert (rates >= 0).all() and np.abs((rates * tokens) @ p / tokens.sum() - [0.7, 0.2, 0.1]).max() < 1e-5
-    # The same by plain projected gradient in numpy.
-    plain, spread = np.zeros(3), tokens @ p / tokens.sum()
-    for _ in range(20_000):
-        plain += 0.5 * ((np.maximum(0, 1 - p @ plain) * tokens) @ p / tokens.sum() - [0.7, 0.2, 0.1]) / spread
-    assert np.abs(np.maximum(0, 1 - p @ plain) - rates).max() < 1e-3
+def plain_rates(tokens, p, wanted, pull=mixing.PULL, rounds=200_000):
+    """Projected gradient on every document's rate, without momentum, run to its end."""
+    mass, c, rate = tokens / tokens.sum(), 1 / wanted, np.ones(len(p))
+    step = 1 / ((p * mass[:, None]).T @ p @ np.diag(c)).trace()
+    for _ in range(rounds):
+        then = np.maximum(mixing.LEAST_RATE, rate - step * (p @ (c * ((mass * rate) @ p - wanted)) + pull * (rate - 1)))
+        if np.abs(then - rate).max() < 1e-10:
+            break
+        rate = then
+    return rate
+
+
+def posteriors_of(kind, n=400):
+    rand = np.random.default_rng(8)
+    if kind == "sharp":
+        p = np.full((n, 3), 0.005)
+        p[np.arange(n), rand.choice(3, n, p=[0.85, 0.1, 0.05])] = 0.99
+    elif kind == "soft":
+        p = np.abs(np.array([0.9, 0.05, 0.05]) + rand.normal(0, 0.02, (n, 3)))
+    elif kind == "one domain":
+        p = np.tile([1.0, 0.0, 0.0], (n, 1))
+    else:
+        p = rand.random((n, 3)) ** [4, 6, 6]
+    return rand.integers(0, 400, n), p / p.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("kind, met, same", [("sharp", 1e-3, 1e-3), ("mixed", 5e-3, 1e-2), ("soft", 0.1, 0.5), ("one domain", 0.13, 1e-3)])
+def test_rates_equal_plain_projected_gradient(spark, kind, met, same):
+    tokens, p = posteriors_of(kind)
+    wanted = np.array([0.82, 0.12, 0.06])
+    table = spark.createDataFrame(list(zip(tokens.tolist(), p.tolist())), "n_tokens bigint, p array<double>").repartition(3)
+    fitted = mixing.fit_rates(table, wanted)
+    assert len(fitted.steps) <= mixing.ROUNDS
+    rates, plain = fitted.of(p), plain_rates(tokens, p, wanted)
+    cost = lambda r: ((((r * tokens) @ p / tokens.sum() - wanted) ** 2) / wanted).sum() + mixing.PULL * (tokens @ (r - 1) ** 2) / tokens.sum()
+    assert (rates >= 0).all() and np.abs(rates - plain).max() < same * max(1, plain.max())
+    assert cost(plain) <= cost(rates) + 1e-9 <= cost(np.ones(len(p))) + 1e-9
+    shares = (rates * tokens) @ p / tokens.sum()
+    assert np.abs(shares - fitted.shares).max() < 1e-9 and abs(np.abs(shares - wanted).max() - fitted.misfit) < 1e-9
+    assert fitted.misfit < met
+    # Rows don't go because targets can't be met.
+    assert kind != "one domain" or (rates > 0.8).all()
+
+
+def test_mixing_of_odd_rows(docs_of, labels_of):
     out = mixing.mix_rates(docs_of(ODD), labels_of([])).collect()
-    assert len(out) == len(ODD) and all(r.p_clean > 0.999 and r.rate >= 0 for r in out)
+    assert len(out) == len(ODD) and all(r.p_clean > 0.999 and r.rate > 0 and r.misfit > 0.1 for r in out)
     assert mixing.mix_rates(docs_of(ODD).limit(0), labels_of([])).count() == 0
+    kept = mixing.mixed(docs_of(ODD), labels_of([]))
+    assert kept.count() == len(ODD) and kept.columns[-3:] == ["rate", "copies", "misfit"]
 
 
 def test_pipeline(spark):
@@ -251,4 +285,4 @@ def test_registered_names():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{n}" for n in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{n}" for n in range(1, 14)} and "pipeline" in names

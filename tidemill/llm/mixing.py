@@ -2,20 +2,26 @@
 
 A classifier learned from the labelled table gives each document a posterior over domains. Nonnegative rates of documents
 are fitted so that the expected tokens of each domain, sum(rate * tokens * posterior), match the targets: least squares
-by projected gradient. The gradient is taken in the token-weighted inner product, so a step is one number for each
-domain, the same for all documents. Each round is one aggregate over a narrow staged table; the driver holds the sum of
-the steps, the rates stay an expression of it. Rates stay as near to one as the targets allow.
+on the relative misfits by projected gradient, with a weak pull of every rate towards one that decides among the many
+solutions. The gradient is taken in the token-weighted inner product, so a step is one number for each domain, the same
+for all documents; steps have momentum, which is dropped whenever the objective would rise, so it never does. Each round
+is one aggregate over a narrow staged table. The driver holds the steps, a few numbers each; tasks replay them on their
+rows, so no rates are kept between rounds.
+
+Where posteriors are soft or a domain is missing, no nonnegative rates reach the targets, or only extreme ones do. Rounds
+end after ROUNDS all the same, and `misfit`, the largest difference between a domain's share of tokens and its target,
+tells what was reached. Rates are projected onto LEAST_RATE and more, so no document is lost to a target.
 
 Defined results: null and empty texts have no tokens, the posterior of the priors, and a rate like any other. Repeated
 rows count each. Labels are clean (good and not toxic), low (not good) and toxic; without labelled text all documents
-are in the first domain. Targets of domains that no document is in can't be met; the rounds end when nothing moves any
-more. Empty tables give empty results. Columns beside doc_id and text (and doc_id and the labels) are not read.
+are in the first domain. Empty tables give empty results. Columns beside doc_id and text (and doc_id and the labels) are
+not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +36,10 @@ DOMAINS = ("clean", "low", "toxic")
 TARGETS = (0.82, 0.12, 0.06)
 SAMPLE_ROWS = 6000
 BUCKET_BITS = 16
-ROUNDS, TOLERANCE = 50, 1e-6
+#: Most rounds; the largest change of a rate that ends them sooner; weight of the pull towards one.
+ROUNDS, TOLERANCE, PULL = 50, 1e-4, 1e-3
+#: The smallest rate: no document leaves the mix because its domain is too common.
+LEAST_RATE = 0.02
 
 
 def domains(labels: DataFrame) -> DataFrame:
@@ -72,6 +81,50 @@ class Model:
         return out / out.sum(axis=1, keepdims=True)
 
 
+@dataclass
+class Rates:
+    """Steps of the projected gradient, from which the rate of any posterior follows.
+
+    A step is whether momentum is dropped before it, the gradient by domain, and the momentum after it.
+    """
+
+    steps: list[tuple[bool, list[float], float]] = field(default_factory=list)
+    pull: float = PULL
+    weights: np.ndarray | None = None
+    smooth: float = 1.0
+    shares: np.ndarray | None = None
+    misfit: float = 0.0
+
+    def of(self, p: np.ndarray, last: bool = False):
+        """The rates of rows of posteriors; with `last` also those before the last step."""
+        rate = ahead = before = np.ones(len(p))
+        for reset, gradient, momentum in self.steps:
+            start = rate if reset else ahead
+            before, rate = rate, np.maximum(start - (p @ np.array(gradient) + self.pull * (start - 1)) / self.smooth, LEAST_RATE)
+            ahead = rate + momentum * (rate - before)
+        return (rate, before) if last else rate
+
+    def measure(self, spark, table: DataFrame, mass: float) -> tuple[np.ndarray, float, float]:
+        """Shares of the domains, token-weighted square distance of the rates from one, and their largest change."""
+        steps = spark.sparkContext.broadcast(self)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    p = batch.column("p").flatten().to_numpy().reshape(batch.num_rows, -1)
+                    tokens = batch.column("n_tokens").to_numpy().astype(float)
+                    rate, before = steps.value.of(p, last=True)
+                    sums = np.r_[(tokens * rate) @ p, tokens @ (rate - 1) ** 2]
+                    yield pa.record_batch([pa.array([sums.tolist()]), pa.array([float(np.abs(rate - before).max())])], names=["s", "m"])
+
+        parts = table.mapInArrow(run, "s array<double>, m double")
+        kinds = range(len(self.weights) + 1)
+        row = parts.agg(*(F.sum(F.get("s", F.lit(k))) for k in kinds), F.max("m")).head()
+        steps.unpersist()
+        values = np.array([x or 0.0 for x in row], float)
+        return values[: len(self.weights)] / mass, values[-2] / mass, values[-1]
+
+
 def fit_domains(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, count: int = len(DOMAINS)) -> Model:
     """Learn from doc_id and domain; the driver gets a number for each bucket and domain, and some for each sampled row."""
     sample = labelled_sample(labels, "domain", sample_rows)
@@ -113,94 +166,84 @@ def fit_domains(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     return model
 
 
-def posteriors(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """`keep` columns of each row with n_tokens and p, the posterior over domains."""
+def posteriors(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), rates: Rates | None = None) -> DataFrame:
+    """`keep` columns of each row with n_tokens and p, the posterior over domains, and the rate if `rates` is given."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model, rates))
     kinds = [docs.schema[c].dataType for c in keep]
     fields = [(f"_{i}", to_arrow_type(kind)) for i, kind in enumerate(kinds)]
-    schema = pa.schema([*fields, ("n_tokens", pa.int64()), ("p", pa.list_(pa.float64()))])
+    schema = pa.schema([*fields, ("n_tokens", pa.int64()), ("p", pa.list_(pa.float64())), ("rate", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "_text"):
-            tokens, means = shared.value.means(piece.column("_text"))
-            p = shared.value.posterior(means)
+            model, rates = shared.value
+            tokens, means = model.means(piece.column("_text"))
+            p = model.posterior(means)
+            rate = pa.array(rates.of(p)) if rates else pa.nulls(len(p), pa.float64())
             lists = pa.FixedSizeListArray.from_arrays(pa.array(p.reshape(-1)), p.shape[1]).cast(pa.list_(pa.float64()))
-            yield pa.record_batch([*(piece.column(c) for c, _ in fields), pa.array(tokens.astype(np.int64)), lists], schema=schema)
+            yield pa.record_batch([*(piece.column(c) for c, _ in fields), pa.array(tokens.astype(np.int64)), lists, rate], schema=schema)
 
     ready = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)), F.col("text").alias("_text"))
     ddl = "".join(f"_{i} {kind.simpleString()}, " for i, kind in enumerate(kinds))
-    return ready.mapInArrow(run, ddl + "n_tokens bigint, p array<double>").withColumnsRenamed({f"_{i}": c for i, c in enumerate(keep)})
+    out = ready.mapInArrow(run, ddl + "n_tokens bigint, p array<double>, rate double")
+    out = out.withColumnsRenamed({f"_{i}": c for i, c in enumerate(keep)})
+    return out if rates else out.drop("rate")
 
 
-def rate_of(slope: list[float], p: str = "p") -> Column:
-    """The rate after steps that add up to `slope`: one, less the slope's part in the document's domains, at least zero."""
-    rate = F.lit(1.0)
-    for k, x in enumerate(slope):
-        rate = rate - F.lit(float(x)) * F.get(F.col(p), F.lit(k))
-    return F.greatest(rate, F.lit(0.0))
-
-
-def fit_rates(table: DataFrame, targets=TARGETS, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> list[float]:
-    """The summed steps of the projected gradient over a staged table of n_tokens and p; targets are shares of all tokens.
-
-    Gradient steps add up before the projection onto nonnegative rates. A step is scaled by the inverse curvature of the
-    documents whose rate is positive, and halved until the misfit shrinks.
-    """
+def fit_rates(table: DataFrame, targets=TARGETS, rounds: int = ROUNDS, tolerance: float = TOLERANCE, pull: float = PULL) -> Rates:
+    """Projected gradient over a staged table of n_tokens and p; targets are shares of all tokens."""
     wanted = np.array(targets, float) / sum(targets)
     kinds = range(len(wanted))
     p = [F.get("p", F.lit(k)) for k in kinds]
     total = lambda x: F.coalesce(F.sum(x * F.col("n_tokens")), F.lit(0.0))
-
-    def measured(slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Expected tokens and curvature: one pass, a few numbers to the driver."""
-        rate = rate_of(slope.tolist())
-        live = (rate > 0).cast("double")
-        row = table.agg(*(total(rate * x) for x in p), *(total(live * x * y) for x in p for y in p)).head()
-        values = np.array(row, float)
-        return values[: len(wanted)], values[len(wanted) :].reshape(len(wanted), -1)
-
-    slope = np.zeros(len(wanted))
-    mass = table.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).head()[0]
+    first = np.array(table.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).cast("double"), *(total(x) for x in p), *(total(x * y) for x in p for y in p)).head(), float)
+    mass, out = first[0], Rates(pull=pull, weights=1 / wanted)
     if not mass:
-        return slope.tolist()
-    now, curve = measured(slope)
+        return out
+    shares, gram = first[1 : len(wanted) + 1] / mass, first[len(wanted) + 1 :].reshape(len(wanted), -1) / mass
+    root = np.sqrt(out.weights)
+    out.smooth = float(np.linalg.eigvalsh(gram * np.outer(root, root)).max()) + pull
+    spark, moment, ahead, reset = table.sparkSession, 1.0, shares, False
+    cost = lambda shares, strain: float((out.weights * (shares - wanted) ** 2).sum() + pull * strain)
+    best = cost(shares, 0.0)
     for _ in range(rounds):
-        miss = now / mass - wanted
-        error = float((miss**2 / wanted).sum())
-        if np.abs(miss / wanted).max() < tolerance:
+        following = (1 + np.sqrt(1 + 4 * moment**2)) / 2
+        step = (reset, (out.weights * (ahead - wanted)).tolist(), (moment - 1) / following)
+        tried = Rates([*out.steps, step], pull, out.weights, out.smooth)
+        then, strain, moved = tried.measure(spark, table, mass)
+        if cost(then, strain) > best and moment > 1:
+            # Momentum has carried too far: the next step starts from the rates themselves.
+            moment, ahead, reset = 1.0, shares, True
+            continue
+        out.steps, best = tried.steps, cost(then, strain)
+        ahead, shares, moment, reset = then + step[2] * (then - shares), then, following, False
+        if moved < tolerance:
             break
-        step = np.linalg.solve(curve / mass + 1e-9 * np.eye(len(wanted)), miss)
-        length = 1.0
-        while length > 1e-3:
-            then, bend = measured(slope + length * step)
-            if float(((then / mass - wanted) ** 2 / wanted).sum()) < error:
-                break
-            length /= 2
-        else:
-            break
-        slope, now, curve = slope + length * step, then, bend
-    return slope.tolist()
+    out.shares, out.misfit = shares, float(np.abs(shares - wanted).max())
+    return out
 
 
-def _rated(table: DataFrame, slope: list[float], key: Column) -> DataFrame:
-    """Adds rate, and copies: the rate rounded up or down by a hash of the key, so that it holds on average."""
+def _rated(table: DataFrame, rates: Rates, key: Column) -> DataFrame:
+    """Adds copies, the rate rounded up or down by a hash of the key, so that it holds on average, and the misfit."""
     chance = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1_000_000)) / 1_000_000.0
-    table = table.withColumn("rate", rate_of(slope))
-    return table.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("bigint"))
+    copies = (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("bigint")
+    return table.withColumns({"copies": copies, "misfit": F.lit(rates.misfit)})
 
 
 def mix_rates(docs: DataFrame, labels: DataFrame, targets=TARGETS, **options) -> DataFrame:
-    """doc_id, n_tokens, the posterior of each domain, rate and copies of every row."""
-    table = stage(posteriors(docs, fit_domains(docs, domains(labels), **options)), "mixing-posteriors")
-    rated = _rated(table, fit_rates(table, targets), F.col("doc_id"))
-    return rated.select("doc_id", "n_tokens", *(F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)), "rate", "copies")
+    """doc_id, n_tokens, the posterior of each domain, rate, copies and the misfit of every row."""
+    model = fit_domains(docs, domains(labels), **options)
+    rates = fit_rates(stage(posteriors(docs, model, keep=()), "mixing-posteriors"), targets)
+    rated = _rated(posteriors(docs, model, rates=rates), rates, F.col("doc_id"))
+    return rated.select(
+        "doc_id", "n_tokens", *(F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)), "rate", "copies", "misfit"
+    )
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets=TARGETS, **options) -> DataFrame:
-    """The rows of `docs` that have a rate above zero, with rate and copies; no row is joined or shuffled."""
+    """The rows of `docs` with rate, copies and misfit; no row is joined or shuffled."""
     model = fit_domains(docs, domains(labels), **options)
-    slope = fit_rates(stage(posteriors(docs, model, keep=()), "mixing-posteriors"), targets)
-    rated = _rated(posteriors(docs, model, keep=tuple(docs.columns)), slope, F.col("doc_id"))
-    return rated.filter("rate > 0").select(*docs.columns, "rate", "copies")
+    rates = fit_rates(stage(posteriors(docs, model, keep=()), "mixing-posteriors"), targets)
+    rated = _rated(posteriors(docs, model, keep=tuple(docs.columns), rates=rates), rates, F.col("doc_id"))
+    return rated.select(*docs.columns, "rate", "copies", "misfit")

@@ -54,6 +54,6 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the rate at which each enters the mix, and its copies; those of rate zero go."""
+    """Documents with the rate at which each enters the mix, its copies (none for some of low rate), and the misfit."""
     prepare(spark)
     return mixes.mixed(docs.select(*COLUMNS), read(spark, sf_dir, "labels"))

@@ -126,6 +126,42 @@ def test_near_duplicates_equal_brute_force(docs_of):
     assert {r.doc_id for r in out if r.keep} == set(want.values())
 
 
+def test_copies_that_are_apart_equal_brute_force(docs_of):
+    """Hundreds of copies of one text, each edited on its own, mostly not linked to it or to each other; some edits are
+    shared, so there are links far from the text, and chains of them."""
+    rand = random.Random(7)
+    hub = [f"w{rand.randrange(10**6)}" for _ in range(130)]
+    rows, pool = [], [hub]
+    for i in range(260):
+        words = list(rand.choice(pool[-40:]) if rand.random() < 0.35 else hub)
+        for _ in range(rand.choice((1, 2, 3, 4, 5, 6))):
+            words[rand.randrange(len(words))] = f"e{rand.randrange(10**6)}"
+        if rand.random() < 0.1:
+            words += words[:10] * 2
+        pool.append(words)
+        rows.append((i, " ".join(words)))
+    out = neardup.near_duplicates(docs_of(rows)).collect()
+    want = classes_by_brute_force(rows)
+    assert {r.doc_id: r.class_id for r in out} == want
+    assert 20 < len(set(want.values())) < 240
+
+
+def test_copies_that_are_apart_make_few_pairs(docs_of, monkeypatch):
+    rand = random.Random(8)
+    hub = [f"w{rand.randrange(10**6)}" for _ in range(130)]
+    rows = []
+    for i in range(400):
+        words = list(hub)
+        for _ in range(rand.choice((3, 4, 5))):
+            words[rand.randrange(len(words))] = f"e{rand.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    seen, real = [], neardup._pairs_by_differences
+    monkeypatch.setattr(neardup, "_pairs_by_differences", lambda *a: seen.append(real(*a).count()) or real(*a))
+    out = neardup.near_duplicates(docs_of(rows)).collect()
+    assert {r.doc_id: r.class_id for r in out} == classes_by_brute_force(rows)
+    assert seen and seen[0] < 400 * 399 / 2 / 20
+
+
 def test_one_row_of_each_class_stays(docs_of):
     kept = neardup.keep_one(docs_of([*ODD, (8, "one"), (9, "one two")]))
     assert kept.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]

@@ -8,9 +8,15 @@ and stop at the slowest place's time so far, so a bag needs few points a shingle
 costs log n processes.
 
 Signatures are cut into bands; texts that share a band are candidates. In a bucket of candidates all are compared with
-one pivot, by the exact overlap of their bags; after that, members outside the pivot's component with the member of
-most links; what is still apart after these rounds is compared pair by pair, unless both are in one component already
-or their sizes rule it out. Links make components. Equal texts are one class from the start, in all of this.
+one pivot, by the exact overlap of their bags, and what is in another component after that with the member of most
+links. Links make components. Equal texts are one class from the start, in all of this.
+
+What is still apart is compared by differences from that second pivot. With t the similarity and f = (1 - t) / (1 + t),
+bags of n and m shingles link if they differ in no more than f * (n + m). They differ where their differences from the
+pivot do; members in several components differ more than that from the pivot, taken together, so a pair that links has
+differences in common, at least half of what is over. A prefix of each member's differences is enough to meet, rarest
+first: edits of one copy alone are shared with nobody and fill the prefix, so a large group of copies that differ from
+a common text but aren't linked makes few pairs, though each is near the others. Every pair left is verified.
 
 Defined results: texts of fewer than five words are one shingle. A null text or one without words is a class by itself.
 Words are letters and digits, in lower case. The class of a document is the smallest doc_id among its component.
@@ -25,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.components import components
@@ -36,7 +42,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: A pair of similarity 0.8 shares none of 24 bands of 5 places with a chance of 7 in 100,000; one of 0.9, 5 in 10**10.
 BANDS, PLACES = 24, 5
-PIVOT_ROUNDS = 2
 
 
 def bags(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,6 +150,89 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, shingle: in
     )
 
 
+def _differences(shingle: int):
+    """Where the bags of two texts differ: a token for each copy of a shingle that one has and the other lacks."""
+    schema = pa.schema([("p", pa.binary()), ("c", pa.binary()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text_a", "text_b"):
+            rows = piece.num_rows
+            (row_p, value_p, count_p), (row_c, value_c, count_c) = bags(piece.column("text_a"), shingle), bags(piece.column("text_b"), shingle)
+            row, value = np.r_[row_p, row_c], np.r_[value_p, value_c]
+            sides = np.r_[count_p, np.zeros(len(row_c), np.int64)], np.r_[np.zeros(len(row_p), np.int64), count_c]
+            order = np.lexsort((value, row))
+            row, value = row[order], value[order]
+            at = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (value[1:] != value[:-1])][: len(row)])
+            in_p, in_c = (np.add.reduceat(x[order], at) if len(at) else x for x in sides)
+            row, value, extra = row[at], value[at], np.abs(in_c - in_p)
+            which = np.repeat(np.arange(len(at)), extra)
+            copy = np.arange(len(which)) - np.repeat(np.cumsum(extra) - extra, extra) + np.minimum(in_p, in_c)[which]
+            token = mix(value[which] ^ mix(copy.astype(U64) * U64(2) + (in_c > in_p)[which].astype(U64)))
+            first = np.r_[0, np.cumsum(np.bincount(row, extra, minlength=rows).astype(np.int64))].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(first), pa.array(token.astype(np.int64)))
+            size = np.bincount(row_c, count_c, minlength=rows).astype(np.int64)
+            yield pa.record_batch([piece.column("a"), piece.column("b"), pa.array(size), lists], schema=schema)
+
+    return run
+
+
+def _pairs_by_differences(placed: DataFrame, pivots: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Pairs (c, d) of members of different components that may link, and are in a bucket of one pivot.
+
+    `placed` has key, c, root of the buckets that hold several components; `pivots` has key, p: a member that was
+    compared with all members of other components than its own.
+    """
+    f = (1 - similarity) / (1 + similarity)
+    named = placed.select("key", "c", "root").join(pivots, "key").select("p", "c", "root").distinct()
+    side = lambda x, name: texts.select(F.col("c").alias(x), F.col("text").alias(name))
+    both = named.select(F.col("p").alias("a"), F.col("c").alias("b")).join(side("a", "text_a"), "a").join(side("b", "text_b"), "b")
+    differ = both.select("a", "b", "text_a", "text_b").mapInArrow(_differences(shingle), "p binary, c binary, n bigint, tokens array<bigint>")
+    differ = differ.dropDuplicates(["p", "c"]).join(named, ["p", "c"]).withColumn("d", F.size("tokens").cast("long"))
+    differ = stage(differ.withColumn("over", F.col("d") - f * F.col("n")), "neardup-differences")
+    # What is over the bound in the nearest member of the pivot's component, and of the others.
+    own = differ.filter(F.col("c") == F.col("p")).select("p", F.col("root").alias("own_root"))
+    nearest = differ.join(own, "p").groupBy("p", "own_root").agg(
+        F.min(F.when(F.col("root") == F.col("own_root"), F.col("over"))).alias("inside"),
+        F.min(F.when(F.col("root") != F.col("own_root"), F.col("over"))).alias("outside"),
+    )
+    tokens = differ.select("p", "c", "root", "n", "d", "over", F.explode("tokens").alias("token"))
+    # A token is of use if two components have it.
+    shared = tokens.groupBy("p", "token").agg(F.count("*").alias("members"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    found = tokens.join(shared.select("p", "token", "members"), ["p", "token"]).join(nearest, "p")
+    of_member = Window.partitionBy("p", "c")
+    place = F.col("d") - F.count("*").over(of_member) + F.row_number().over(of_member.orderBy("members", "token")) - 1
+    partner = F.when(F.col("root") == F.col("own_root"), F.col("outside")).otherwise(F.least("inside", "outside"))
+    common = lambda x, y: F.ceil((x + y) / 2 - 1e-9)
+    found = found.withColumn("place", place).withColumn("partner", partner)
+    found = found.filter(F.col("place") + common(F.col("over"), F.col("partner")) <= F.col("d"))
+    found = stage(found.select("p", "token", "c", "root", "n", "d", "over", "place"), "neardup-prefixes")
+    left, right = found.alias("l"), found.alias("r")
+    same = [F.col(f"l.{x}") == F.col(f"r.{x}") for x in ("p", "token")]
+    apart = (F.col("l.c") < F.col("r.c")) & (F.col("l.root") != F.col("r.root"))
+    need = common(F.col("l.over"), F.col("r.over"))
+    near = (F.col("l.place") + need <= F.col("l.d")) & (F.col("r.place") + need <= F.col("r.d"))
+    sizes = F.least("l.n", "r.n") >= similarity * F.greatest("l.n", "r.n")
+    met = left.join(right, [*same, apart & near & sizes])
+    return met.select(F.col("l.c").alias("c"), F.col("r.c").alias("d")).distinct()
+
+
+def _apart(members: DataFrame, tested: DataFrame, name: str) -> DataFrame | None:
+    """key, c, size, root of the members of buckets that hold several components; none if there are none."""
+    roots = stage(components(tested.filter("linked").select("a", "b")), f"{name}-roots")
+    placed = members.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    apart = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
+    placed = stage(placed.join(apart, "key").select("key", "c", "size", "root"), f"{name}-apart")
+    return None if placed.isEmpty() else placed
+
+
+def _with_pairs(tested: DataFrame, pairs: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """The tested pairs, and those of `pairs` (c, size, d, other) that are not yet tested and whose sizes allow a link."""
+    pairs = pairs.filter(F.least("size", "other") >= similarity * F.greatest("size", "other"))
+    pairs = pairs.select(F.greatest("c", "d").alias("a"), F.least("c", "d").alias("b")).distinct()
+    pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    return stage(tested.unionByName(_verified(pairs, texts, similarity, shingle)), "neardup-links")
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, bands: int = BANDS, places: int = PLACES
 ) -> DataFrame:
@@ -176,28 +264,23 @@ def near_duplicates(
         _verified(members.filter("c <> pivot").select(F.col("c").alias("a"), F.col("pivot").alias("b")).distinct(), texts, similarity, shingle),
         "neardup-links",
     )
-    for turn in range(1, PIVOT_ROUNDS + 1):
+    more = _apart(members, tested, "neardup")
+    if more is not None:
+        # The member of most links speaks for its component.
         links = tested.filter("linked")
-        roots = stage(components(links.select("a", "b")), "neardup-roots")
-        placed = members.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-        apart = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
-        placed = stage(placed.join(apart, "key").select("key", "c", "size", "root"), "neardup-apart")
-        if placed.isEmpty():
-            break
-        if turn < PIVOT_ROUNDS:
-            # The member of most links speaks for its component.
-            degree = links.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count("*").alias("links"))
-            ranked = placed.join(degree, "c", "left").withColumn("links", F.coalesce("links", F.lit(0)))
-            pivots = ranked.groupBy("key").agg(F.max(F.struct("links", "c", "root", "size")).alias("p"))
-            pairs = placed.join(pivots, "key").filter(F.col("root") != F.col("p.root")).select("c", "size", F.col("p.c").alias("d"), F.col("p.size").alias("other"))
-        else:
-            # What is left: pairs of different components, within buckets; a pair of small overlap is no pair.
-            right = placed.select("key", F.col("c").alias("d"), F.col("size").alias("other"), F.col("root").alias("root_d"))
-            pairs = placed.join(right, "key").filter("c < d and root <> root_d").select("c", "size", "d", "other")
-        pairs = pairs.filter(F.least("size", "other") >= similarity * F.greatest("size", "other"))
-        pairs = pairs.select(F.greatest("c", "d").alias("a"), F.least("c", "d").alias("b")).distinct()
-        pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        tested = stage(tested.unionByName(_verified(pairs, texts, similarity, shingle)), "neardup-links")
+        degree = links.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count("*").alias("links"))
+        ranked = more.join(degree, "c", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+        pivots = ranked.groupBy("key").agg(F.max(F.struct("links", "c", "root", "size")).alias("p"))
+        pivots = stage(pivots, "neardup-pivots")
+        pairs = more.join(pivots, "key").filter(F.col("root") != F.col("p.root"))
+        pairs = pairs.select("c", "size", F.col("p.c").alias("d"), F.col("p.size").alias("other"))
+        tested = _with_pairs(tested, pairs, texts, similarity, shingle)
+        more = _apart(members, tested, "neardup")
+    if more is not None:
+        sizes = members.select("c", "size").distinct()
+        pairs = _pairs_by_differences(more, pivots.select("key", F.col("p.c").alias("p")), texts, similarity, shingle)
+        pairs = pairs.join(sizes, "c").join(sizes.select(F.col("c").alias("d"), F.col("size").alias("other")), "d")
+        tested = _with_pairs(tested, pairs, texts, similarity, shingle)
     roots = stage(components(tested.filter("linked").select("a", "b")), "neardup-roots")
     rooted = classes.select("c", "first_id", "n").join(roots.withColumnRenamed("node", "c"), "c", "left")
     rooted = stage(rooted.withColumn("root", F.coalesce("root", "c")), "neardup-rooted")

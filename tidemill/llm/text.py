@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes of text handled at once; a longer text is handled alone and whole.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 #: Word classes by byte. All bytes of a multi-byte character are over 0x7F.
 NOT_SPACE = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])

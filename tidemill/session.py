@@ -21,6 +21,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where an aggregate above it needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Arrow batches of long texts stay small; short rows still make few of them.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # Commit what a micro-batch changed, not whole state files.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Counting the keys would cost a read before every write.

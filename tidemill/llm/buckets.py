@@ -21,6 +21,8 @@ def bucket_links(
     alike: Callable[[Column, Column], Column],
     name: str,
     pivot_rounds: int = 2,
+    sketches: DataFrame | None = None,
+    near: Callable[[str, str], Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Roots (node, root) of the components that all links within buckets make, and the tested pairs (a, b, linked).
 
@@ -28,6 +30,9 @@ def bucket_links(
     tells of pairs (a, b) whether they are linked. First all members of a bucket meet one of them, then those in other
     components than the member of most links meet that one; what is apart after these rounds is compared pair by pair,
     so a bucket of linked members costs a pair a member. Every link within a bucket joins two members of one component.
+
+    `sketches` has c and columns from which `near`, given the names of both sides, tells in the last join itself that two
+    members can't be linked; only pairs that pass become rows.
     """
     every = members.groupBy("key").agg(F.min(F.struct("c", "size")).alias("p"), F.count("*").alias("n")).filter("n > 1")
     met = members.join(every.select("key", "p"), "key").filter(F.col("c") != F.col("p.c"))
@@ -48,8 +53,12 @@ def bucket_links(
             rows = placed.join(pivots, "key").filter(F.col("root") != F.col("p.root"))
             rows = rows.select("c", "size", F.col("p.c").alias("d"), F.col("p.size").alias("other"))
         else:
-            right = placed.select("key", F.col("c").alias("d"), F.col("size").alias("other"), F.col("root").alias("root_d"))
-            rows = placed.join(right, "key").filter("c < d and root <> root_d").select("c", "size", "d", "other")
+            held = placed if sketches is None else placed.join(sketches, "c")
+            left, right = held.alias("l"), held.alias("r")
+            on = (F.col("l.key") == F.col("r.key")) & (F.col("l.c") < F.col("r.c")) & (F.col("l.root") != F.col("r.root"))
+            on &= alike(F.col("l.size"), F.col("r.size"))
+            rows = left.join(right, on if near is None else on & near("l", "r"))
+            rows = rows.select(F.col("l.c").alias("c"), F.col("l.size").alias("size"), F.col("r.c").alias("d"), F.col("r.size").alias("other"))
         pairs = _pairs(rows.filter(alike(F.col("size"), F.col("other"))))
         more = verified(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
         tested = stage(tested.unionByName(more), f"{name}-links")

@@ -14,8 +14,9 @@ keep the first of one common order. Parts nobody shares use up their places with
 aren't linked rarely meet. Sets that share a kept part are candidates; the Hamming distance of a second, short sketch
 (a few bits a shingle) rules out most that aren't links, and what is left is verified on the sets themselves.
 
-Buckets of candidates are compared through pivots (see `buckets`): links within a component are not all listed. Equal
-sets are one class from the start.
+Buckets of candidates are compared through pivots (see `buckets`): links within a component are not all listed. Members
+that no pivot has brought together meet in one join, whose condition has the Hamming distance of sketches of 512 bits in
+it: unlinked copies of one text are many pairs there, but few rows. Equal sets are one class from the start.
 
 Defined results: words are runs of anything but white space, A-Z in lower case. A text of fewer words than a shingle has
 is one shingle. A null text or one without words has an empty set and is a component by itself. The component id is the
@@ -128,6 +129,26 @@ def short_sketches(row: np.ndarray, value: np.ndarray, low: np.ndarray) -> tuple
     return out.astype(np.int64), first
 
 
+#: 64-bit words of the sketch that all sets have alike.
+FIXED_WORDS = 8
+
+
+def fixed_sketches(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
+    """(rows, words): a parity sketch of the same width for sets of any size, from other bits of the hash."""
+    out = np.zeros(rows * FIXED_WORDS, U64)
+    bit = (value >> U64(20)) & U64(FIXED_WORDS * 64 - 1)
+    np.bitwise_xor.at(out, row * FIXED_WORDS + (bit >> U64(6)).astype(np.int64), U64(1) << (bit & U64(63)))
+    return out.reshape(rows, FIXED_WORDS).astype(np.int64)
+
+
+def fixed_hamming(a: str, b: str) -> Column:
+    """Bits in which the fixed sketches of two sides differ, in columns w0, w1, ..."""
+    total = F.lit(0)
+    for i in range(FIXED_WORDS):
+        total = total + F.bit_count(F.col(f"{a}.w{i}").bitwiseXOR(F.col(f"{b}.w{i}")))
+    return total
+
+
 def hamming(a: Column, b: Column) -> Column:
     """Bits in which two short sketches differ; the longer is first folded onto the other, bit over bit."""
     half = lambda x: F.zip_with(
@@ -195,7 +216,8 @@ def _linked(n: int, bands: Bands):
 
 
 def _sketched(n: int, bands: Bands):
-    schema = pa.schema([("c", pa.binary()), ("size", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+    fixed = [(f"w{i}", pa.int64()) for i in range(FIXED_WORDS)]
+    schema = pa.schema([("c", pa.binary()), ("size", pa.int64()), ("sketch", pa.list_(pa.int64())), *fixed])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
@@ -203,7 +225,8 @@ def _sketched(n: int, bands: Bands):
             size = np.bincount(row, minlength=piece.num_rows).astype(np.int64)
             words, first = short_sketches(row, value, _low(size))
             sketch = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(words))
-            yield pa.record_batch([piece.column("c"), pa.array(size), sketch], schema=schema)
+            fixed = fixed_sketches(row, value, piece.num_rows)
+            yield pa.record_batch([piece.column("c"), pa.array(size), sketch, *(pa.array(w) for w in fixed.T)], schema=schema)
 
     return run
 
@@ -254,18 +277,21 @@ def jaccard_components(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY
     wanted = classes.join(members.select("c").distinct(), "c", "left_semi")
     texts = keyed.join(wanted.select("c", F.col("text_of.t").alias("t"), F.col("text_of.doc_id").alias("d")), "t")
     texts = stage(texts.filter(F.col("doc_id").eqNullSafe(F.col("d"))).select("c", "text"), "parity-texts")
-    sketches = stage(texts.mapInArrow(_sketched(shingle, bands), "c binary, size bigint, sketch array<bigint>"), "parity-sketches")
+    words = [f"w{i}" for i in range(FIXED_WORDS)]
+    ddl = "c binary, size bigint, sketch array<bigint>, " + ", ".join(f"{w} bigint" for w in words)
+    sketches = stage(texts.mapInArrow(_sketched(shingle, bands), ddl), "parity-sketches")
+    may_differ = lambda s, t: F.floor((s + t) * (bands.q - bands.p) / (bands.q + bands.p))
 
     def verified(pairs: DataFrame) -> DataFrame:
         side = lambda x: sketches.select(F.col("c").alias(x), F.col("size").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
         text = lambda x: texts.select(F.col("c").alias(x), F.col("text").alias(f"text_{x}"))
         apart = hamming(F.col("s_a"), F.col("s_b"))
-        may = F.floor((F.col("n_a") + F.col("n_b")) * (bands.q - bands.p) / (bands.q + bands.p))
-        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(apart <= may).select("a", "b")
+        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(apart <= may_differ(F.col("n_a"), F.col("n_b"))).select("a", "b")
         both = stage(near, "parity-near").join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b")
         return both.mapInArrow(_linked(shingle, bands), "a binary, b binary, linked boolean").distinct()
 
-    roots, _ = bucket_links(members, verified, bands.alike, "parity")
+    near = lambda a, b: fixed_hamming(a, b) <= may_differ(F.col(f"{a}.size"), F.col(f"{b}.size"))
+    roots, _ = bucket_links(members, verified, bands.alike, "parity", sketches=sketches.select("c", *words), near=near)
     rooted = classes.select("c", "first_id").join(roots.withColumnRenamed("node", "c"), "c", "left")
     rooted = stage(rooted.withColumn("root", F.coalesce("root", "c")), "parity-rooted")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))

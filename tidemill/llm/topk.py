@@ -11,7 +11,8 @@ doesn't find itself. So a vector that a third of the rows share costs k + 1 rows
 
 Defined results: vectors that are null, hold a null, NaN or infinite component, or a component that doesn't fit a long
 after scaling take no part, and neither does a row without id. Vectors of different lengths don't meet. Ties go to the
-smaller id. A repeated id counts once (with its largest vector). Fewer than k candidates give fewer rows; a query
+smaller id. Every row is a candidate, of all queries but itself: repeated rows fill a rank each, and repeated queries
+are answered each. A score that doesn't fit a long is not returned. Fewer than k candidates give fewer rows; a query
 without any candidate gives none. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -34,15 +35,17 @@ CANDIDATE_BLOCK = 8192
 
 
 def scaled(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """vec_id and floor(scale * x) as longs, for the vectors that take part."""
+    """row, vec_id and floor(scale * x) as longs, for the vectors that take part; rows are numbered, so stage the result."""
     parts = F.transform("embedding", lambda x: x.cast("double"))
-    good = F.forall(parts, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) < 2.0**52))
+    good = F.forall(parts, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) < 2.0**62))
     return (
         vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
         .filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & good)
-        .select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("bigint")).alias("v"))
-        .groupBy("vec_id")
-        .agg(F.max("v").alias("v"))
+        .select(
+            F.monotonically_increasing_id().alias("row"),
+            "vec_id",
+            F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("bigint")).alias("v"),
+        )
     )
 
 
@@ -61,7 +64,7 @@ def _grid(classes: DataFrame) -> DataFrame:
 def _cells(v: Column, low: Column, high: Column, bits: int) -> Column:
     """The cell of each component, as bytes written in hex by component."""
     cell = lambda x, i: F.floor(
-        (x - F.get(low, i)).cast("double") * (1 << bits) / (F.get(high, i) - F.get(low, i) + 1).cast("double")
+        (x.cast("double") - F.get(low, i)) * (1 << bits) / (F.get(high, i).cast("double") - F.get(low, i) + 1)
     )
     return F.transform(v, lambda x, i: cell(x, i).cast("tinyint"))
 
@@ -87,7 +90,7 @@ def _bounds(k: int, bits: int):
                 cells = _matrix(candidates.field("cells"), np.float64)
                 ids, own = candidates.field("class_id").to_numpy(), queries.field("class_id").to_numpy()
                 spare = candidates.field("members").to_numpy()
-                asks = queries.field("vec_id").to_numpy()
+                asks = queries.field("row").to_numpy()
                 width = (high - low + 1) / (1 << bits)
                 middle = low + (cells + 0.5) * width
                 score = q @ middle.T if q.shape[1] else np.zeros((len(q), len(cells)))
@@ -97,7 +100,9 @@ def _bounds(k: int, bits: int):
                 # A class that holds only the query itself is none of its candidates.
                 score[(own[:, None] == ids[None, :]) & (spare[None, :] < 2)] = -np.inf
                 if score.shape[1] > k:
-                    floor = np.partition(score, score.shape[1] - k, axis=1)[:, -k] - slack
+                    # A score that may not fit a long is not returned, so it is no bound for others.
+                    counted = np.where(np.abs(score) + slack[:, None] < 2.0**63, score, -np.inf)
+                    floor = np.partition(counted, score.shape[1] - k, axis=1)[:, -k] - slack
                 else:
                     floor = np.full(len(q), -np.inf)
                 at, who = np.nonzero((score + slack[:, None] >= floor[:, None]) & np.isfinite(score))
@@ -110,19 +115,20 @@ def _bounds(k: int, bits: int):
 
 
 def _product(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("bigint"), lambda s, x: s + x)
+    """The inner product, null where it doesn't fit a long."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.try_multiply(x, y)), F.lit(0).cast("bigint"), lambda s, x: F.try_add(s, x))
 
 
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = 256, bits: int = BITS) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all other vectors for each vector where `is_query`."""
     # One staged table of classes: the smallest ids of each distinct vector; the limit on ranks works before the shuffle.
-    by_vector = Window.partitionBy("v").orderBy("vec_id")
+    by_vector = Window.partitionBy("v").orderBy("vec_id", "row")
     every = stage(scaled(vectors, scale), "topk-vectors")
     members = stage(
         every.withColumn("place", F.row_number().over(by_vector)).filter(F.col("place") <= k + 1), "topk-members"
     )
     classes = stage(
-        members.groupBy("v").agg(F.min("vec_id").alias("class_id"), F.count("*").alias("members")), "topk-classes"
+        members.groupBy("v").agg(F.min("row").alias("class_id"), F.count("*").alias("members")), "topk-classes"
     )
     grid = stage(_grid(classes), "topk-grid")
     asked = every.filter(is_query).join(classes, "v").withColumn("dim", F.size("v"))
@@ -135,9 +141,9 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = 2
 
     query_blocks = (
         asked.join(sizes.select("dim", "nq"), "dim")
-        .withColumn("qb", block("vec_id", 1 << 40) % blocks_of("nq", QUERY_BLOCK))
+        .withColumn("qb", block("row", 1 << 40) % blocks_of("nq", QUERY_BLOCK))
         .groupBy("dim", "qb")
-        .agg(F.collect_list(F.struct("vec_id", "class_id", "v")).alias("queries"))
+        .agg(F.collect_list(F.struct("row", "class_id", "v")).alias("queries"))
     )
     candidate_blocks = (
         classes.withColumn("dim", F.size("v"))
@@ -159,13 +165,15 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = 2
     )
 
     by_bound = Window.partitionBy("query_id").orderBy(F.desc("upper"), "class_id")
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "row")
+    asked_by = asked.select(F.col("row").alias("query_id"), F.col("v").alias("q"), F.col("vec_id").alias("asked_id"))
     vectors_of = lambda pairs: (
         pairs.join(classes.select("class_id", "v"), "class_id")
-        .join(asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("class_id").alias("own")), "query_id")
-        .join(members.select("v", "vec_id"), "v")
-        .filter(F.col("vec_id") != F.col("query_id"))
-        .select("query_id", "vec_id", _product("q", "v").alias("score"))
+        .join(asked_by, "query_id")
+        .join(members.select("v", "vec_id", "row"), "v")
+        .filter(F.col("row") != F.col("query_id"))
+        .select("query_id", "asked_id", "vec_id", "row", _product("q", "v").alias("score"))
+        .filter("score is not null")
     )
     best = bounded.withColumn("place", F.row_number().over(by_bound)).filter(F.col("place") <= k)
     near = stage(vectors_of(best.select("query_id", "class_id")), "topk-first")
@@ -184,17 +192,17 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = 2
     return (
         found.withColumn("rank", F.row_number().over(by_score))
         .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select(F.col("asked_id").alias("query_id"), "rank", "vec_id", "score")
     )
 
 
 ORACLE = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
-    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT *, row_number() OVER (PARTITION BY asked ORDER BY score DESC, vec_id) AS rank FROM (
+    SELECT q.r AS asked, q.vec_id AS query_id, c.vec_id AS vec_id,
       CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0))
+    FROM v q JOIN v c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0))
 WHERE rank <= 5
 """

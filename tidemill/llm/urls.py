@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 #: (verdict, rule as host and path)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-#: The method's own globs, for urls that no rule fits: hosts that name betting, drugs or trackers.
-OWN_GLOBS = ("*casino*/**", "*.free-*/**", "*.cheap-*/**", "*pills*/**", "*-bets.*/**", "*.ads-*/**", "*-track.*/**")
+#: The method's own globs, for urls that no rule fits: hosts that name betting, drugs or trackers. Like the path of a
+#: rule, `/**` asks for a path; the same glob without it is for urls that have none.
+OWN_HOSTS = ("*casino*", "*.free-*", "*.cheap-*", "*pills*", "*-bets.*", "*.ads-*", "*-track.*")
+OWN_GLOBS = tuple(host + path for host in OWN_HOSTS for path in ("/**", ""))
 #: Characters of all urls stepped through at once.
 CELLS = 1 << 22
 
@@ -152,7 +154,7 @@ def judge_urls(pages: DataFrame, rules=RULES, own_globs=OWN_GLOBS) -> DataFrame:
 ORACLE = r"""
 SELECT page_id, host, path, rule,
   CASE rule WHEN 'net/' THEN 'block' WHEN 'example.net/en/' THEN 'allow' WHEN 'example.com/de/' THEN 'block'
-    WHEN 'org/fr/' THEN 'allow' ELSE CASE WHEN path <> '' AND regexp_matches('.' || host,
+    WHEN 'org/fr/' THEN 'allow' ELSE CASE WHEN regexp_matches('.' || host,
     'casino|^.*\.free-|^.*\.cheap-|pills|-bets\.|\.ads-|-track\.') THEN 'block' ELSE 'allow' END END AS verdict
 FROM (SELECT *, CASE
     WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'

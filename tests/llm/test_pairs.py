@@ -2,8 +2,10 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -211,6 +213,39 @@ def test_leaks_equal_brute_force(spark, docs_of):
     assert decontaminate.decontaminate(docs_of(rows).limit(0), benchmark).count() == 0
 
 
+def test_whole_licences_however_they_are_wrapped(spark, docs_of):
+    bodies = [(n, t) for n, t in licenses.KNOWN if len(t) > 500]
+    rows, want = [], {}
+    for name, text in bodies:
+        for width in range(40, 121):
+            wrapped = "\n\n".join(textwrap.fill(part, width) for part in text.split("\n\n"))
+            rows.append((len(rows), "Copyright (c) 2021 A. Name\n\n" + wrapped))
+            want[len(rows) - 1] = name
+    out = {r.doc_id: r.license for r in licenses.scan(docs_of(rows), licenses.known_digests(spark)).collect()}
+    assert out == want
+
+
+def test_what_is_a_copyright_line(spark, docs_of):
+    body = dict(licenses.KNOWN)["ISC"]
+    heads = ["Copyright 1999 X", "(c) 2001-2004, Y", "© 2020 Z", "COPYRIGHT (C) The Authors", "* All rights reserved. *", "Copyright © 2011 by W. All rights reserved"]
+    tails = ["(c) you may not sell it", "copyright holders", "All rights reserved by none"]
+    rows = [(i, f"{h}\n{body}") for i, h in enumerate(heads)] + [(50 + i, f"{body}\n{t}") for i, t in enumerate(tails)]
+    out = {r.doc_id: r.license for r in licenses.scan(docs_of(rows), licenses.known_digests(spark)).collect()}
+    assert out == {**{i: "ISC" for i in range(len(heads))}, **{50 + i: None for i in range(len(tails))}}
+    assert licenses.scan(docs_of(rows).limit(0), licenses.known_digests(spark)).count() == 0
+    table = licenses.known_digests(spark)
+    assert table.count() == table.select("digest").distinct().count() and table.filter("length(digest) <> 64").isEmpty()
+
+
+def test_published_texts_have_the_listed_digests(spark, docs_of):
+    folder = "/usr/share/common-licenses"
+    names = [n for n in ("Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "MPL-2.0") if os.path.exists(f"{folder}/{n}")]
+    rows = [(i, open(f"{folder}/{n}", encoding="utf-8").read().replace("\n", "\r\n")) for i, n in enumerate(names)]
+    out = licenses.scan(docs_of([*rows, (99, "none")]), licenses.known_digests(spark)).collect()
+    full = lambda n: n if "." in n else f"{n}.0"
+    assert {r.doc_id: r.license for r in out} == {**{i: full(n) for i, n in enumerate(names)}, 99: None}
+
+
 def test_licences(spark, docs_of):
     mit = dict((n, t) for n, t in licenses.KNOWN)["MIT"]
     rows = [

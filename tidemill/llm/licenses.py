@@ -36,6 +36,26 @@ _ISC_BODY = (
     "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
     "USE OR PERFORMANCE OF THIS SOFTWARE."
 )
+_BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:\n\n"
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+    "and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.\n\n"
+)
+_BSD_TAIL = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");'),
@@ -52,6 +72,26 @@ KNOWN = (
     ("MIT", _MIT_BODY),
     ("ISC", "ISC License\n\n" + _ISC_BODY),
     ("ISC", _ISC_BODY),
+    ("BSD-2-Clause", "BSD 2-Clause License\n\n" + _BSD_HEAD + _BSD_TAIL),
+    ("BSD-2-Clause", _BSD_HEAD + _BSD_TAIL),
+    ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD_HEAD + _BSD_NAMES + _BSD_TAIL),
+    ("BSD-3-Clause", _BSD_HEAD + _BSD_NAMES + _BSD_TAIL),
+)
+# Digests of the canonical form of whole licence texts, as published.
+KNOWN_DIGESTS = (
+    ("Apache-2.0", "0ccff6cfd29d2ce67947af3c88e6b43406f0bec695d43c11ba41aa57b6ad4df7"),
+    ("Artistic-1.0-Perl", "e963bc30f4d3c45f45030c34409ee37315564625649c1394e32bb5ddd99e01b2"),
+    ("CC0-1.0", "e259b3e0bf831ddcd5351d255b832a3eccf42a266790e35dd570e35b737e30f2"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "557aed17f246818803a7e59ebc965e6771b9df3a92fb2f3598e38d288d65fe4c"),
+    ("MPL-2.0", "2ad70b294c733e2c6f2cb0324503b9b81e060d33bc2608d3966776252c994426"),
+    ("GFDL-1.2", "5379e6f33e826ba185b23fd11a414555c2161fda481478babd1e73a3ae098a71"),
+    ("GFDL-1.3", "93d6108daecdddc5f284cf8f2512fb0d72f6e9ee12381feb9704ba194b00c3e6"),
 )
 #: Spellings that count as the same, as (pattern of whole words, spelling); fixed values, applied in this order.
 SPELLINGS = (
@@ -70,7 +110,11 @@ SPELLINGS = (
     ("percent", "per cent"),
     ("v", "version"),
 )
-_COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: A sign with a year, both signs together, or the reservation alone; a wrapped line of the body may begin with these words.
+_COPYRIGHT_LINE = (
+    r"(?m)^[^a-z0-9\n]*(?:(?:copyright|\(c\)|©)[^\n]*(?:19|20)[0-9][0-9][^\n]*"
+    r"|copyright[^a-z0-9\n]*(?:\(c\)|©)[^\n]*|(?:\(c\)|©)[^a-z0-9\n]*copyright[^\n]*|all rights reserved[^a-z0-9\n]*)$"
+)
 
 
 def _plain(text: Column) -> Column:
@@ -98,10 +142,16 @@ def canonical(lines: Column) -> Column:
     return _spelled(F.array_join(F.array_remove(lines, ""), " "))
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+def digest(form: Column) -> Column:
+    return F.sha2(form.cast("binary"), 256)
+
+
+def known_digests(spark: SparkSession, known=KNOWN, digests=KNOWN_DIGESTS) -> DataFrame:
     """digest and license; as many rows as there are known texts."""
-    table = spark.createDataFrame(list(known), "license string, body string")
-    return table.groupBy(F.sha2(canonical(canonical_lines("body")).cast("binary"), 256).alias("digest")).agg(F.min("license").alias("license"))
+    texts = spark.createDataFrame(list(known), "license string, body string")
+    texts = texts.select("license", digest(canonical(canonical_lines("body"))).alias("digest"))
+    listed = spark.createDataFrame(list(digests), "license string, digest string")
+    return texts.unionByName(listed).groupBy("digest").agg(F.min("license").alias("license"))
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -145,12 +195,15 @@ def _canonical_sql(column: str) -> str:
 
 
 ORACLE = f"""
-WITH known AS (SELECT {_canonical_sql("body")} AS form, min(license) AS license FROM (VALUES
-{", ".join("('%s', '%s')" % (name, body.replace("'", "''")) for name, body in KNOWN)}) k(license, body) GROUP BY 1),
+WITH known AS (SELECT digest, min(license) AS license FROM (
+  SELECT sha256({_canonical_sql("body")}) AS digest, license FROM (VALUES
+{", ".join("('%s', '%s')" % (name, body.replace("'", "''")) for name, body in KNOWN)}) k(license, body)
+  UNION ALL SELECT digest, license FROM (VALUES {", ".join(f"('{name}', '{digest}')" for name, digest in KNOWN_DIGESTS)}) h(license, digest))
+  GROUP BY 1),
 d AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
 u AS (SELECT row, unnest(list_distinct(string_split_regex(coalesce(text, ''), '\\r\\n?|\\n'))) AS unit FROM d),
 l AS (SELECT row, string_agg(DISTINCT license, ',' ORDER BY license) AS ids
-  FROM u JOIN known ON {_canonical_sql("unit")} = form GROUP BY row)
+  FROM u JOIN known ON sha256({_canonical_sql("unit")}) = digest GROUP BY row)
 SELECT doc_id, license, coalesce(ids, '') AS line_licenses
-FROM d LEFT JOIN known ON {_canonical_sql("text")} = form LEFT JOIN l USING (row)
+FROM d LEFT JOIN known ON sha256({_canonical_sql("text")}) = digest LEFT JOIN l USING (row)
 """

@@ -48,6 +48,35 @@ def test_all_segmentations_are_summed():
     assert abs((used[:, 0] * sizes).sum() - 3 * len("▁aba")) < 1e-9 and not used[:, 1].any()
 
 
+def test_long_words_are_summed_whole():
+    """Sums far below what a float holds, against logarithms kept at every place; unknown characters among them."""
+    rand = random.Random(3)
+    pieces = ["▁", "a", "b", "ab", "▁a", "ba", "aba", "abab" * 4]
+    lattice = language.Lattice(pieces)
+    chances = np.random.default_rng(1).random((lattice.size, 2)) * 1e-3
+    chances[0] = 1e-9
+    place = {p: i + 1 for i, p in enumerate(pieces)}
+
+    def sums(word, k):
+        logs = [0.0]
+        for end in range(1, len(word) + 1):
+            parts = []
+            for start in range(max(0, end - 16), end):
+                piece = place.get(word[start:end], 0 if start == end - 1 else None)
+                if piece is not None:
+                    parts.append(logs[start] + np.log(chances[piece, k]))
+            logs.append(np.logaddexp.reduce(parts))
+        return logs[-1]
+
+    words = ["".join(rand.choice("abx") for _ in range(n)) for n in (1, 15, 16, 17, 31, 32, 33, 40, 40, 500, 3000)] + ["x" * 200, "ab" * 400]
+    want = np.array([[sums("▁" + w, k) for k in (0, 1)] for w in words])
+    assert want.min() < -10_000
+    assert np.abs(language.word_scores(lattice, chances, words) / want - 1).max() < 1e-9
+    used = language.expected_counts(lattice, chances, words, np.zeros(len(words), int), np.ones(len(words)))
+    sizes = np.array([1] + [len(p) for p in pieces])
+    assert abs((used[:, 0] * sizes).sum() / sum(len(w) + 1 for w in words) - 1) < 1e-9
+
+
 def test_language_on_held_out_rows_and_odd_ones(spark, docs_of):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = language.predict(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
@@ -187,6 +216,18 @@ def test_top_k_equals_brute_force(spark):
     assert topk.exact_top_k(vectors.limit(0), F.lit(True)).count() == 0
 
 
+def test_every_row_is_a_candidate(spark):
+    """Repeated ids, large entries, repeated queries, and scores that don't fit a long."""
+    rows = [(0, [1.0, 1.0]), (1, [1.0, 0.0]), (1, [0.0, 3.0]), (1, [0.0, 3.0]), (2, [2.0**45, 0.0]), (3, [0.5, 0.5]), (50, [2.0**50, 2.0**50]), (100, [1.0, 0.0]), (100, [1.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    out = topk.exact_top_k(vectors, F.col("vec_id") % 50 == 0)
+    got = {q: sorted((r["rank"], r.vec_id, r.score) for r in out.collect() if r.query_id == q) for q in (0, 50, 100)}
+    # The score of row 50 would take 68 bits.
+    assert [(v, s) for _, v, s in got[0][:4]] == [(2, 256 * 2**53), (1, 256 * 768), (1, 256 * 768), (1, 256 * 256)]
+    assert len(got[100]) == 10 and [v for _, v, _ in got[100]].count(100) == 2
+    assert 2 not in [v for _, v, _ in got[50]]
+
+
 def test_automaton_equals_regular_expressions():
     globs = ["*.net/**", "*.a*/en/**", "**x", "a*b**c", "*", "**", "*casino*/**", "q" * 70 + "*z"]
     rand = random.Random(6)
@@ -214,6 +255,9 @@ def test_url_verdicts(spark):
     assert out[8][2:] == ("example.com/de/", "block") and out[9][2:] == (None, "block")
     assert out[10][2:] == ("net/", "block") and out[11][2:] == (None, "allow") and len(out[12][1]) == 5001
     assert out[13] == ("a.com", "", None, "allow") and out[14] == ("é.net", "/ü\nx", "net/", "block")
+    bare = [(1, "http://my-casino.com"), (2, "http://my-casino.com?x=1"), (3, "http://my-casino.com#/a"), (4, "http://a.com/casino"), (5, "http://a.com?casino")]
+    bare = spark.createDataFrame(bare, "page_id bigint, url string")
+    assert {r.page_id: r.verdict for r in urls.judge_urls(bare).collect()} == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow"}
     assert urls.judge_urls(pages).count() == len(rows) and urls.judge_urls(pages.limit(0)).count() == 0
 
 

@@ -7,8 +7,8 @@ sums give the expected count of each piece. Both passes run as Spark jobs; the d
 and language.
 
 Words are runs of letters (all characters over 0x7F count here), in lower case, with the vocabulary's mark of a word's
-beginning in front. A character that the vocabulary lacks is the unknown piece. Words over WORD_MAX characters are
-scored in stretches of that length, so that sums stay in range; no text is cut off.
+beginning in front. A character that the vocabulary lacks is the unknown piece. Words are never cut, however long (a
+script without spaces has sentences for words): sums are rescaled along the word, so that they stay in range.
 
 Defined results: a text that is null or has no letter is `und` with score 0. The score is the posterior of the predicted
 language under equal priors. Ties go to the language that sorts first. Rows without lang, or whose id is null, are not
@@ -35,9 +35,9 @@ SAMPLE_ROWS = 1500
 ROUNDS = 4
 #: Weight of the pooled counts in each language's, and the share every piece keeps.
 POOLED, FLOOR = 0.05, 1e-9
-WORD_MAX = 32
+#: Pieces longer than this are not used; places between two rescalings; cells of words handled at once.
+PIECE_MAX, RESCALE, CELLS = 32, 16, 1 << 17
 LETTERS = np.array([0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b > 0x7F for b in range(256)])
-_TINY = 1e-280
 _BASE = U64(0x9E3779B97F4A7C15)
 _MARK = "▁"
 _TABLE_BITS = 18
@@ -60,7 +60,7 @@ class Lattice:
     pieces: list[str]
 
     def __post_init__(self):
-        known = [p for p in self.pieces if 0 < len(p) <= WORD_MAX]
+        known = [p for p in self.pieces if 0 < len(p) <= PIECE_MAX]
         self.size = len(known) + 1
         self.longest = max(map(len, known), default=1)
         hashes = np.zeros(len(known), U64)
@@ -113,37 +113,53 @@ class Lattice:
         return out
 
 
-def _chunks(words: list[str], rows: int = 4096):
-    """Words in stretches, shortest first: (places of the words, codes, lengths)."""
-    owner, parts = [], []
-    for i, word in enumerate(words):
-        word = _MARK + word
-        for at in range(0, len(word), WORD_MAX):
-            owner.append(i)
-            parts.append(word[at : at + WORD_MAX])
+def _chunks(words: list[str]):
+    """Words with their mark, shortest first: (places of the words, codes, lengths)."""
+    parts = [_MARK + word for word in words]
     lengths = np.array([len(p) for p in parts], np.int64)
-    order = np.argsort(lengths, kind="stable")
-    for begin in range(0, len(order), rows):
-        chosen = order[begin : begin + rows]
+    order, begin = np.argsort(lengths, kind="stable"), 0
+    while begin < len(order):
+        # As many words as fill the cells, all as wide as the longest of them; at least one.
+        room = np.arange(1, len(order) - begin + 1) * lengths[order[begin:]] <= CELLS
+        chosen = order[begin : begin + max(1, int(room.argmin()) if not room.all() else len(room))]
+        begin += len(chosen)
         width = int(lengths[chosen].max())
         codes = np.zeros((len(chosen), width), np.uint32)
         flat = np.frombuffer("".join(parts[i] for i in chosen).encode("utf-32-le"), np.uint32)
         codes[np.arange(width)[None, :] < lengths[chosen][:, None]] = flat
-        yield np.array(owner)[chosen], codes, lengths[chosen]
+        yield chosen, codes, lengths[chosen]
+
+
+def _rescale(sums: np.ndarray, logs: np.ndarray, window: slice, now: np.ndarray) -> None:
+    """Bring the sums of a window of places near one; `logs` has the logarithm each place is scaled by, `now` the latest."""
+    top = sums[window].max(axis=0)
+    top[top <= 0] = 1.0
+    sums[window] /= top
+    now += np.log(top)
+    logs[window] = now
+
+
+def _forward(lattice: Lattice, arcs: list, shape: tuple, chance) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all segmentations up to each place, and the logarithms they are scaled by."""
+    sums, logs, now = np.zeros(shape), np.zeros(shape), np.zeros(shape[1:])
+    sums[0] = 1.0
+    for end in range(1, shape[0]):
+        for start, rows, piece in arcs[end]:
+            sums[end, rows] += sums[start, rows] * chance(rows, piece)
+        logs[end] = now
+        if end % RESCALE == 0:
+            _rescale(sums, logs, slice(max(0, end - lattice.longest), end + 1), now)
+    return sums, logs
 
 
 def word_scores(lattice: Lattice, chances: np.ndarray, words: list[str]) -> np.ndarray:
     """(word, language): log of the sum over all segmentations. chances: (piece, language)."""
     out = np.zeros((len(words), chances.shape[1]))
     for owner, codes, lengths in _chunks(words):
-        forward = np.zeros((codes.shape[1] + 1, len(owner), chances.shape[1]))
-        forward[0] = 1.0
-        for end, arcs in enumerate(lattice.arcs(codes, lengths)):
-            for start, rows, piece in arcs:
-                forward[end, rows] += forward[start, rows] * chances[piece]
-            if end:
-                np.maximum(forward[end], _TINY, out=forward[end])
-        np.add.at(out, owner, np.log(forward[lengths, np.arange(len(owner))]))
+        shape = (codes.shape[1] + 1, len(owner), chances.shape[1])
+        sums, logs = _forward(lattice, lattice.arcs(codes, lengths), shape, lambda rows, piece: chances[piece])
+        ends = lengths, np.arange(len(owner))
+        out[owner] = np.log(sums[ends]) + logs[ends]
     return out
 
 
@@ -154,21 +170,24 @@ def expected_counts(lattice: Lattice, chances: np.ndarray, words: list[str], lan
         tongue, weight = language[owner], count[owner].astype(np.float64)
         wide, many = codes.shape[1], len(owner)
         arcs = lattice.arcs(codes, lengths)
-        forward, backward = np.zeros((wide + 1, many)), np.zeros((wide + 1, many))
-        forward[0] = 1.0
-        for end in range(1, wide + 1):
-            for start, rows, piece in arcs[end]:
-                forward[end, rows] += forward[start, rows] * chances[piece, tongue[rows]]
-            np.maximum(forward[end], _TINY, out=forward[end])
+        chance = lambda rows, piece: chances[piece, tongue[rows]]  # noqa: B023, E731
+        forward, ahead = _forward(lattice, arcs, (wide + 1, many), chance)
+        backward, behind, now = np.zeros((wide + 1, many)), np.zeros((wide + 1, many)), np.zeros(many)
         backward[lengths, np.arange(many)] = 1.0
+        ends = lengths, np.arange(many)
+        total = np.log(forward[ends]) + ahead[ends]
+        # A place gets its sums from later ones, so a window that is rescaled reaches as far on as a piece can.
         for end in range(wide, 0, -1):
             for start, rows, piece in arcs[end]:
-                backward[start, rows] += backward[end, rows] * chances[piece, tongue[rows]]
-        total = forward[lengths, np.arange(many)]
+                backward[start, rows] += backward[end, rows] * chance(rows, piece)
+            if (wide - end) % RESCALE == RESCALE - 1:
+                _rescale(backward, behind, slice(max(0, end - lattice.longest), end + 1), now)
+            else:
+                behind[max(0, end - lattice.longest) : end + 1] = now
         for end in range(1, wide + 1):
             for start, rows, piece in arcs[end]:
-                share = forward[start, rows] * chances[piece, tongue[rows]] * backward[end, rows] / total[rows]
-                np.add.at(out, (piece, tongue[rows]), share * weight[rows])
+                scale = np.exp(ahead[start, rows] + behind[end, rows] - total[rows])
+                np.add.at(out, (piece, tongue[rows]), forward[start, rows] * chance(rows, piece) * backward[end, rows] * scale * weight[rows])
     return out
 
 

@@ -76,7 +76,8 @@ def take(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Byte numbers of chunks, padded beyond the end of each one's text."""
     at = starts[:, None] + np.arange(CHUNK)[None, :]
     inside = at < ends[:, None]
-    return np.where(inside, raw[np.minimum(at, max(0, len(raw) - 1))] if len(raw) else 0, _PAD).astype(np.int16)
+    # The number of what is beyond a text doesn't fit a byte.
+    return np.where(inside, raw[np.minimum(at, max(0, len(raw) - 1))].astype(np.int16) if len(raw) else 0, _PAD).astype(np.int16)
 
 
 def _training_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

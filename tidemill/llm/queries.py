@@ -25,7 +25,7 @@ from tidemill.llm.registry import query
 from tidemill.llm.tables import read
 
 
-@query("op9_substring_dedup")
+@query("op9_substring_dedup", substring.ORACLE)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words outside repeated 35-word windows, per document."""
     return substring.digest(substring.remove_repeats(read(spark, sf_dir, "documents")))

@@ -426,3 +426,18 @@ def brute_force(texts: dict, window: int = WINDOW) -> dict:
         kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
         out[k] = (len(w), len(gone), hashlib.sha256(kept).hexdigest())
     return out
+
+
+#: The same in SQL: windows as strings of their words, which hold no white space.
+ORACLE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  x AS (SELECT r, i, array_to_string(w[i : i + {WINDOW - 1}], ' ') AS g
+    FROM (SELECT r, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d WHERE len(w) >= {WINDOW})),
+  h AS (SELECT r, i FROM x WHERE g IN (SELECT g FROM x GROUP BY g HAVING count(*) > 1)),
+  gone AS (SELECT DISTINCT r, unnest(range(i, i + {WINDOW})) AS p FROM h),
+  words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+  kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS k FROM words ANTI JOIN gone USING (r, p) GROUP BY r),
+  n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)
+"""

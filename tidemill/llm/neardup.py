@@ -16,7 +16,8 @@ bags of n and m shingles link if they differ in no more than f * (n + m). They d
 pivot do; members in several components differ more than that from the pivot, taken together, so a pair that links has
 differences in common, at least half of what is over. A prefix of each member's differences is enough to meet, rarest
 first: edits of one copy alone are shared with nobody and fill the prefix, so a large group of copies that differ from
-a common text but aren't linked makes few pairs, though each is near the others. Every pair left is verified.
+a common text but aren't linked makes few pairs, though each is near the others. Members that meet become a pair if
+parity sketches of their differences allow it. Every pair left is verified.
 
 Defined results: texts of fewer than five words are one shingle. A null text or one without words is a class by itself.
 Words are letters and digits, in lower case. The class of a document is the smallest doc_id among its component.
@@ -35,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.components import components
+from tidemill.llm.parity import FIXED_WORDS, fixed_hamming, fixed_sketches
 from tidemill.llm.tables import stage
 from tidemill.llm.text import ALPHANUMERIC, U64, Words, complete, grams, mix, pieces
 
@@ -152,7 +154,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, shingle: in
 
 def _differences(shingle: int):
     """Where the bags of two texts differ: a token for each copy of a shingle that one has and the other lacks."""
-    schema = pa.schema([("p", pa.binary()), ("c", pa.binary()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+    words = [(f"w{i}", pa.int64()) for i in range(FIXED_WORDS)]
+    schema = pa.schema([("p", pa.binary()), ("c", pa.binary()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64())), *words])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text_a", "text_b"):
@@ -171,7 +174,9 @@ def _differences(shingle: int):
             first = np.r_[0, np.cumsum(np.bincount(row, extra, minlength=rows).astype(np.int64))].astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(first), pa.array(token.astype(np.int64)))
             size = np.bincount(row_c, count_c, minlength=rows).astype(np.int64)
-            yield pa.record_batch([piece.column("a"), piece.column("b"), pa.array(size), lists], schema=schema)
+            sketch = fixed_sketches(np.repeat(np.arange(rows), np.diff(first)), token, rows)
+            columns = [piece.column("a"), piece.column("b"), pa.array(size), lists, *(pa.array(w) for w in sketch.T)]
+            yield pa.record_batch(columns, schema=schema)
 
     return run
 
@@ -186,7 +191,9 @@ def _pairs_by_differences(placed: DataFrame, pivots: DataFrame, texts: DataFrame
     named = placed.select("key", "c", "root").join(pivots, "key").select("p", "c", "root").distinct()
     side = lambda x, name: texts.select(F.col("c").alias(x), F.col("text").alias(name))
     both = named.select(F.col("p").alias("a"), F.col("c").alias("b")).join(side("a", "text_a"), "a").join(side("b", "text_b"), "b")
-    differ = both.select("a", "b", "text_a", "text_b").mapInArrow(_differences(shingle), "p binary, c binary, n bigint, tokens array<bigint>")
+    words = [f"w{i}" for i in range(FIXED_WORDS)]
+    ddl = "p binary, c binary, n bigint, tokens array<bigint>, " + ", ".join(f"{w} bigint" for w in words)
+    differ = both.select("a", "b", "text_a", "text_b").mapInArrow(_differences(shingle), ddl)
     differ = differ.dropDuplicates(["p", "c"]).join(named, ["p", "c"]).withColumn("d", F.size("tokens").cast("long"))
     differ = stage(differ.withColumn("over", F.col("d") - f * F.col("n")), "neardup-differences")
     # What is over the bound in the nearest member of the pivot's component, and of the others.
@@ -205,14 +212,17 @@ def _pairs_by_differences(placed: DataFrame, pivots: DataFrame, texts: DataFrame
     common = lambda x, y: F.ceil((x + y) / 2 - 1e-9)
     found = found.withColumn("place", place).withColumn("partner", partner)
     found = found.filter(F.col("place") + common(F.col("over"), F.col("partner")) <= F.col("d"))
-    found = stage(found.select("p", "token", "c", "root", "n", "d", "over", "place"), "neardup-prefixes")
+    found = found.select("p", "token", "c", "root", "n", "d", "over", "place").join(differ.select("p", "c", *words), ["p", "c"])
+    found = stage(found, "neardup-prefixes")
     left, right = found.alias("l"), found.alias("r")
     same = [F.col(f"l.{x}") == F.col(f"r.{x}") for x in ("p", "token")]
     apart = (F.col("l.c") < F.col("r.c")) & (F.col("l.root") != F.col("r.root"))
     need = common(F.col("l.over"), F.col("r.over"))
     near = (F.col("l.place") + need <= F.col("l.d")) & (F.col("r.place") + need <= F.col("r.d"))
     sizes = F.least("l.n", "r.n") >= similarity * F.greatest("l.n", "r.n")
-    met = left.join(right, [*same, apart & near & sizes])
+    # Sketches of the differences differ in no more bits than the bags do in shingles.
+    alike = fixed_hamming("l", "r") <= F.floor(f * (F.col("l.n") + F.col("r.n")) + 1e-9)
+    met = left.join(right, [*same, apart & near & sizes & alike])
     return met.select(F.col("l.c").alias("c"), F.col("r.c").alias("d")).distinct()
 
 

@@ -12,7 +12,7 @@ from tidemill.operators.enrich import enrich
 from tidemill.sinks.files import LineSink, read_lines_sink
 from tidemill.sources.lines import decode_csv
 from tidemill.sources.tail import _lines
-from tidemill.streaming.runner import without_flush
+from tidemill.streaming.runner import CLOSING, without_flush
 
 
 def test_hung_calls_free_their_places(spark):
@@ -76,8 +76,9 @@ def test_csv_records_with_quotes_and_decimals(spark):
 
 
 def test_only_the_closing_row_is_dropped(spark):
-    df = spark.sql("SELECT timestamp'2201-01-01' AS ts UNION ALL SELECT NULL UNION ALL SELECT timestamp'2024-01-01'")
-    assert without_flush(df, "ts").count() == 3
+    times = "SELECT timestamp'2200-01-01 00:00:00.000001' AS ts UNION ALL SELECT NULL UNION ALL SELECT timestamp'2024-01-01'"
+    df = spark.sql(f"SELECT ts, c AS {CLOSING} FROM ({times}) CROSS JOIN VALUES (true), (false) AS v(c)")
+    assert without_flush(df).count() == 3 and without_flush(df).columns == ["ts"]
 
 
 def test_lines_are_read_once(tmp_path):

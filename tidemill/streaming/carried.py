@@ -2,12 +2,15 @@
 
 Each micro-batch is planned by Catalyst like any batch, so hot keys are spread by
 the blocked scan.  What one batch leaves for the next is written under its batch
-number; a replayed batch reads only lower numbers and overwrites its own.
+number; a replayed batch reads only lower numbers and overwrites its own.  A
+batch is read several times, so it is kept while it is worked on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.joins import changing_dimension, keep_keys
@@ -22,6 +25,22 @@ def _write(rows: DataFrame, folder: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
 
+def _before(batch: DataFrame, seq: str) -> Column:
+    """A place in front of all rows of the batch and next to them, so that blocks span the batch only."""
+    return batch.agg((F.min(seq) - 1).alias("first")).scalar()
+
+
+def _kept(step: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            step(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
+
+
 def _key_ddl(df: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"`{k}` {dict(df.dtypes)[k]}" for k in keys)
 
@@ -41,12 +60,12 @@ def stream_running_sum(
         # The carried total is one more row of its key, in front of all others.
         opening = before.select(*keys, F.col("total").alias(value)).withColumn("__opening", F.lit(True))
         rows = batch.withColumn("__opening", F.lit(False)).unionByName(opening, allowMissingColumns=True)
-        rows = rows.withColumn("__seq", F.coalesce(F.col(seq), F.lit(-1).cast("long")))
+        rows = rows.withColumn("__seq", F.coalesce(F.col(seq), _before(batch, seq)))
         out = running_reduce(rows, keys, "__seq", value, "sum", name)
         _write(out.filter(~F.col("__opening")).drop("__opening", "__seq"), f"{folder}/out", batch_id)
         totals.merge(rows.groupBy(*keys).agg(F.sum(value).alias("total")), batch_id)
 
-    run_batches(df, step, folder)
+    run_batches(df, _kept(step), folder)
     return read_batches(spark, f"{folder}/out", shape)
 
 
@@ -66,7 +85,7 @@ def stream_split_late(
         top = F.max(F.unix_micros(F.col(ts).cast("timestamp")))
         seen.merge(batch.agg(top.alias("top")).select(F.lit(0).alias("k"), "top"), batch_id)
 
-    run_batches(df, step, folder)
+    run_batches(df, _kept(step), folder)
     return read_batches(spark, f"{folder}/out", shape)
 
 
@@ -88,7 +107,7 @@ def stream_changing_dimension(
     shape = f"{fact_ddl}, `{name}` {kinds[name]}"
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        carried = state.read(batch_id).withColumn(seq, F.lit(-1).cast(kinds[seq]))
+        carried = state.read(batch_id).withColumn(seq, _before(batch, seq).cast(kinds[seq]))
         changes = batch.filter(F.col(op).isNotNull()).select(key, seq, name, op)
         facts = batch.filter(F.col(op).isNull()).drop(name, op)
         out = changing_dimension(facts, changes.unionByName(carried.select(key, seq, name, op)), key, seq, name, op)
@@ -96,5 +115,5 @@ def stream_changing_dimension(
         latest = changes.groupBy(key).agg(F.max_by(F.struct(name, op), F.col(seq)).alias("r"))
         state.merge(latest.select(key, "r.*"), batch_id)
 
-    run_batches(tagged, step, folder)
+    run_batches(tagged, _kept(step), folder)
     return read_batches(spark, f"{folder}/out", shape)

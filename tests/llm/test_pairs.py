@@ -158,7 +158,7 @@ def test_copies_that_are_apart_make_few_pairs(docs_of, monkeypatch):
             words[rand.randrange(len(words))] = f"e{rand.randrange(10**6)}"
         rows.append((i, " ".join(words)))
     seen, real = [], neardup._pairs_by_differences
-    monkeypatch.setattr(neardup, "_pairs_by_differences", lambda *a: seen.append(real(*a).count()) or real(*a))
+    monkeypatch.setattr(neardup, "_pairs_by_differences", lambda *a: seen.append(real(*a).count()) or real(*a))  # pairs of all buckets
     out = neardup.near_duplicates(docs_of(rows)).collect()
     assert {r.doc_id: r.class_id for r in out} == classes_by_brute_force(rows)
     assert seen and seen[0] < 400 * 399 / 2 / 20

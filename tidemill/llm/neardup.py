@@ -16,8 +16,9 @@ bags of n and m shingles link if they differ in no more than f * (n + m). They d
 pivot do; members in several components differ more than that from the pivot, taken together, so a pair that links has
 differences in common, at least half of what is over. A prefix of each member's differences is enough to meet, rarest
 first: edits of one copy alone are shared with nobody and fill the prefix, so a large group of copies that differ from
-a common text but aren't linked makes few pairs, though each is near the others. Members that meet become a pair if
-parity sketches of their differences allow it. Every pair left is verified.
+a common text but aren't linked makes few pairs, though each is near the others. Members that share a kept difference first meet one
+of them; those still apart after that become a pair if parity sketches of their differences allow it. Every pair left is
+verified.
 
 Defined results: texts of fewer than five words are one shingle. A null text or one without words is a class by itself.
 Words are letters and digits, in lower case. The class of a document is the smallest doc_id among its component.
@@ -181,8 +182,8 @@ def _differences(shingle: int):
     return run
 
 
-def _pairs_by_differences(placed: DataFrame, pivots: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """Pairs (c, d) of members of different components that may link, and are in a bucket of one pivot.
+def _kept_differences(placed: DataFrame, pivots: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """A row for each member of a bucket and each difference from its pivot that is in its prefix.
 
     `placed` has key, c, root of the buckets that hold several components; `pivots` has key, p: a member that was
     compared with all members of other components than its own.
@@ -213,11 +214,16 @@ def _pairs_by_differences(placed: DataFrame, pivots: DataFrame, texts: DataFrame
     found = found.withColumn("place", place).withColumn("partner", partner)
     found = found.filter(F.col("place") + common(F.col("over"), F.col("partner")) <= F.col("d"))
     found = found.select("p", "token", "c", "root", "n", "d", "over", "place").join(differ.select("p", "c", *words), ["p", "c"])
-    found = stage(found, "neardup-prefixes")
+    return stage(found, "neardup-prefixes")
+
+
+def _pairs_by_differences(found: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (c, d) of members of different components that may link: they have a kept difference in common."""
+    f = (1 - similarity) / (1 + similarity)
     left, right = found.alias("l"), found.alias("r")
     same = [F.col(f"l.{x}") == F.col(f"r.{x}") for x in ("p", "token")]
     apart = (F.col("l.c") < F.col("r.c")) & (F.col("l.root") != F.col("r.root"))
-    need = common(F.col("l.over"), F.col("r.over"))
+    need = F.ceil((F.col("l.over") + F.col("r.over")) / 2 - 1e-9)
     near = (F.col("l.place") + need <= F.col("l.d")) & (F.col("r.place") + need <= F.col("r.d"))
     sizes = F.least("l.n", "r.n") >= similarity * F.greatest("l.n", "r.n")
     # Sketches of the differences differ in no more bits than the bags do in shingles.
@@ -288,9 +294,16 @@ def near_duplicates(
         more = _apart(members, tested, "neardup")
     if more is not None:
         sizes = members.select("c", "size").distinct()
-        pairs = _pairs_by_differences(more, pivots.select("key", F.col("p.c").alias("p")), texts, similarity, shingle)
-        pairs = pairs.join(sizes, "c").join(sizes.select(F.col("c").alias("d"), F.col("size").alias("other")), "d")
-        tested = _with_pairs(tested, pairs, texts, similarity, shingle)
+        sized = lambda pairs: pairs.join(sizes, "c").join(sizes.select(F.col("c").alias("d"), F.col("size").alias("other")), "d")
+        found = _kept_differences(more, pivots.select("key", F.col("p.c").alias("p")), texts, similarity, shingle)
+        # Edits that copies share link them: those that have one in common meet one of them first.
+        stars = found.groupBy("p", "token").agg(F.min("c").alias("d"))
+        met = found.select("p", "token", "c").join(stars, ["p", "token"]).filter("c <> d").select("c", "d").distinct()
+        tested = _with_pairs(tested, sized(met), texts, similarity, shingle)
+        roots = stage(components(tested.filter("linked").select("a", "b")), "neardup-roots").withColumnRenamed("node", "c")
+        found = found.drop("root").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+        found = stage(found, "neardup-prefixes")
+        tested = _with_pairs(tested, sized(_pairs_by_differences(found, similarity)), texts, similarity, shingle)
     roots = stage(components(tested.filter("linked").select("a", "b")), "neardup-roots")
     rooted = classes.select("c", "first_id", "n").join(roots.withColumnRenamed("node", "c"), "c", "left")
     rooted = stage(rooted.withColumn("root", F.coalesce("root", "c")), "neardup-rooted")

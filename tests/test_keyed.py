@@ -230,3 +230,114 @@ def test_replay_is_in_slices_of_the_order(spark):
     assert all(low <= s[0] for low, s in zip(slice_bounds(table, "seq", 4), seen))
     assert slice_bounds(table.limit(0), "seq") == []
     assert replay(table.limit(0), "seq").isStreaming
+
+
+def entries(df, path):
+    """State entries at the end of a stream, by state operator."""
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "true")
+    query = df.writeStream.format("noop").option("checkpointLocation", path).trigger(availableNow=True).start()
+    query.awaitTermination()
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
+    return [p for p in query.recentProgress if p["numInputRows"]][-1]["stateOperators"][0]["numRowsTotal"]
+
+
+def many(n=3000):
+    return [("h", f"s{i % 1500}" if i % 1500 else None, i % 7, i, START + timedelta(seconds=i)) for i in range(n)]
+
+
+def test_sub_keys_share_entries(spark, stream):
+    """A map state takes a bounded number of calls a micro-batch, however many sub-keys come."""
+    df = k.keyed_state(stream(many()), ["k"], "seq", ["s", "v"], k.MapSums("s", "v"), "part bigint, total bigint")
+    got = {x.seq: (x.part, x.total) for x in run(df, "pages").collect()}
+    total, parts = sums(many()), sums([(d[1], *d[1:]) for d in many()])
+    assert got == {s: (parts[s], total[s]) for s in total}
+    assert entries(df, run_dir(spark, "pages")) <= k.Pages.PAGES + 1
+
+
+def test_expiring_sub_keys_share_entries(spark, tmp_path, two_partitions):
+    base = int((START - datetime(1970, 1, 1)).total_seconds() * 1000)
+    log = [(*d, base + 1000 * d[3]) for d in many()]
+    source = feed(spark, log, f"{DDL}, at bigint", tmp_path, 4).withWatermark("ts", "0 seconds")
+    step = k.ExpiringSums("s", "v", "at", 2_000_000)
+    df = k.keyed_state(source, ["k"], "seq", ["s", "v", "at"], step, "live_sum bigint")
+    got = {x.seq: x.live_sum for x in run(df, "expiring_pages").collect()}
+    assert got == sums([(d[1], *d[1:]) for d in many()])
+    # Beside the pages: the next expiry and its timer under both orders of keys.
+    assert entries(df, run_dir(spark, "expiring_pages")) <= k.Pages.PAGES + 3
+
+
+@pytest.mark.parametrize("many_keys", [False, True])
+def test_packages_as_rows_and_as_frames(stream, many_keys):
+    df = k.keyed_state(stream(), ["k"], "seq", ["v", "ts"], k.RunningSum("v"), "running bigint", pack_rows=7, many_keys=many_keys)
+    assert {x.seq: x.running for x in run(df, "rows").collect()} == sums(data())
+
+
+def test_results_are_unpacked_in_pieces():
+    """One Arrow batch of many large packages isn't put together as a whole."""
+    import pyarrow as pa
+
+    inner = pa.schema([("seq", pa.int64())])
+    body = pa.record_batch([pa.array(range(k.PACK_ROWS))], schema=inner).serialize().to_pybytes()
+    batch = pa.record_batch([pa.array(["h"] * 5), pa.array([body] * 5)], names=["k", "pack_rows"])
+    out = list(k.unpack_batches([batch], ["k"], inner))
+    assert [b.num_rows for b in out] == [k.PACK_ROWS] * 5 and out[0].schema.names == ["k", "seq"]
+    assert sum(b.num_rows for b in k.unpack_batches([batch.slice(0, 0)], ["k"], inner)) == 0
+
+
+def test_held_rows_are_sent_one_package_after_the_other():
+    import pyarrow as pa
+
+    step, taken = k.HeldRows(), []
+    step.inner = pa.schema([("seq", pa.int64())])
+    body = pa.record_batch([pa.array([1, 2])], schema=step.inner).serialize().to_pybytes()
+
+    class Buffer:
+        exists, clear = staticmethod(lambda: True), staticmethod(lambda: taken.append("cleared"))
+        put = staticmethod(lambda rest: taken.append([x[1] for x in rest]))
+
+        def get(self):
+            for at in (5, 9, 5):
+                taken.append(at)
+                yield body, at, 0
+
+    step.buffer = Buffer()
+    sent = step.due(6)
+    assert next(sent).num_rows == 2 and taken == [5]
+    assert len(list(sent)) == 1 and taken == [5, 9, 5, "cleared", [9]]
+
+
+def test_a_growing_list_is_kept_in_pieces(spark, stream):
+    """A call a micro-batch, not one an item; null is no item."""
+    log = [("h", None if i % 5 == 0 else str(i), 0, i, START) for i in range(40)]
+    df = k.keyed_state(stream(log), ["k"], "seq", ["s"], k.GrowingList("s"), "items array<string>", many_keys=True)
+    held, want = [], {}
+    for _, s, _, seq, _ in log:
+        held += [s] if s else []
+        want[seq] = list(held)
+    assert {x.seq: x["items"] for x in run(df, "list").collect()} == want
+
+
+def test_a_slice_is_in_as_many_files_as_tasks_read_the_table(spark):
+    """Files of one slice hold stretches of the sequence, also of a table in one file or few."""
+    table = spark.range(0, 9000, 1, 6).withColumnRenamed("id", "seq")
+    stream = replay(table, "seq")
+    folder = run_dir(spark, "files")
+    seen = []
+
+    def look(batch, batch_id):
+        parts = batch.groupBy(F.input_file_name().alias("f")).agg(F.min("seq").alias("a"), F.max("seq").alias("b"), F.count("seq").alias("n"))
+        seen.append(sorted((x.a, x.b, x.n) for x in parts.collect()))
+
+    stream.writeStream.foreachBatch(look).option("checkpointLocation", folder).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 3 and all(len(files) >= 6 for files in seen)
+    every = sum(seen, [])
+    assert all(b - a + 1 == n for a, b, n in every) and [a for a, _, _ in every[1:]] == [b + 1 for _, b, _ in every[:-1]]
+
+
+def test_gaps_in_the_sequence_make_fewer_files(spark):
+    table = spark.createDataFrame([(i,) for i in [0, 1, 2, 50, 51, 99]], "seq bigint").repartition(8)
+    folder, seen = run_dir(spark, "gaps"), []
+    replay(table, "seq", 2).writeStream.foreachBatch(lambda b, i: seen.append(sorted(x.seq for x in b.collect()))).option(
+        "checkpointLocation", folder
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert seen == [[0, 1, 2], [50, 51, 99]]

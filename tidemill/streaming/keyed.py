@@ -13,13 +13,13 @@ Between micro-batches the order is that of the batches.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor
@@ -76,23 +76,29 @@ def packed(df: DataFrame, keys: list[str], seq: str, columns: list[str], pack_ro
     return rows.mapInArrow(pack, f"{lead}pack_first bigint, pack_last bigint, pack_rows binary")
 
 
+def unpack_batches(batches: Iterable[pa.RecordBatch], keys: list[str], inner: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows of packed results in pieces of about PACK_ROWS, so that one batch of many large packages isn't held as rows."""
+    for batch in batches:
+        parts, sizes, first, size = [], [], 0, 0
+        for at, body in enumerate(batch.column("pack_rows")):
+            parts.append(pa.ipc.read_record_batch(body.as_buffer(), inner))
+            sizes.append(parts[-1].num_rows)
+            size += sizes[-1]
+            if size < PACK_ROWS and at + 1 < batch.num_rows:
+                continue
+            if size:
+                again = pa.array(np.repeat(np.arange(first, at + 1), sizes))
+                body = pa.Table.from_batches(parts).combine_chunks()
+                values = [batch.column(k).take(again) for k in keys] + [c.combine_chunks() for c in body.columns]
+                yield pa.record_batch(values, names=[*keys, *inner.names])
+            parts, sizes, first, size = [], [], at + 1, 0
+
+
 def unpacked(df: DataFrame, keys: list[str], ddl: str) -> DataFrame:
     """The rows of packed results, with their keys."""
     inner = to_arrow_schema(StructType.fromDDL(ddl))
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [pa.ipc.read_record_batch(pa.py_buffer(b), inner) for b in batch.column("pack_rows").to_pylist()]
-            sizes = [p.num_rows for p in parts]
-            if not sum(sizes):
-                continue
-            at = pa.array(np.repeat(np.arange(len(parts)), sizes))
-            body = pa.Table.from_batches(parts).combine_chunks()
-            values = [batch.column(k).take(at) for k in keys] + [c.combine_chunks() for c in body.columns]
-            yield pa.record_batch(values, names=[*keys, *inner.names])
-
     lead = f"{_fields(df, keys)}, " if keys else ""
-    return df.select(*keys, "pack_rows").mapInArrow(unpack, f"{lead}{ddl}")
+    return df.select(*keys, "pack_rows").mapInArrow(lambda batches: unpack_batches(batches, keys, inner), f"{lead}{ddl}")
 
 
 def _one(name: str, kind) -> StructType:
@@ -104,7 +110,7 @@ class KeyedStep(StatefulProcessor):
     """State of one key. Subclasses say what `step` does with rows in order and what `due` does when timers have come."""
 
     def __init__(self):
-        self.keys, self.seq, self.inner, self.outer = [], "", None, None
+        self.keys, self.seq, self.inner, self.outer, self.many_keys = [], "", None, None, False
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -124,27 +130,42 @@ class KeyedStep(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def begin(self) -> None:
+        """Before the rows of a key in a micro-batch."""
+
+    def end(self) -> None:
+        """After them: write what `step` has changed but not written."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame | Row]:
         now = self._now(timerValues)
+        self.begin()
         for out in self.due(now):
             yield self._sent(key, out)
-        packs = pd.concat(list(rows), ignore_index=True).sort_values("pack_first", kind="stable")
-        for table in self._runs(packs):
+        for table in self._runs(sorted(self._packs(rows), key=lambda p: p[0])):
             out = self.step(table, now)
             if out is not None and out.num_rows:
                 yield self._sent(key, out)
+        self.end()
+
+    def _packs(self, rows: Iterator[pd.DataFrame | Row]) -> Iterator[tuple]:
+        for some in rows:
+            if isinstance(some, Row):
+                yield some.pack_first, some.pack_last, some.pack_rows
+            else:
+                yield from zip(*(some[c].tolist() for c in ("pack_first", "pack_last", "pack_rows")))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.begin()
         for out in self.due(expiredTimerInfo.getExpiryTimeInMs()):
             yield self._sent(key, out)
 
     def _now(self, timerValues) -> int:
         return 0
 
-    def _runs(self, packs: pd.DataFrame) -> Iterator[pa.Table]:
+    def _runs(self, packs: list[tuple]) -> Iterator[pa.Table]:
         """Stretches of rows in order; packages that overlap in `seq` are in one stretch."""
         held, last, size = [], None, 0
-        for first, end, body in packs[["pack_first", "pack_last", "pack_rows"]].itertuples(index=False, name=None):
+        for first, end, body in packs:
             if held and first > last and size >= PACK_ROWS:
                 yield self._ordered(held)
                 held, last, size = [], None, 0
@@ -159,9 +180,10 @@ class KeyedStep(StatefulProcessor):
         order = table.column(self.seq).to_numpy()
         return table if (np.diff(order) > 0).all() else table.take(pa.array(np.argsort(order, kind="stable")))
 
-    def _sent(self, key, out: pa.Table) -> pd.DataFrame:
+    def _sent(self, key, out: pa.Table) -> pd.DataFrame | Row:
         body = out.select(self.outer.names).cast(self.outer).combine_chunks().to_batches()[0].serialize().to_pybytes()
-        return pd.DataFrame({**{k: [v] for k, v in zip(self.keys, key)}, "pack_rows": [body]})
+        named = {**dict(zip(self.keys, key)), "pack_rows": body}
+        return Row(**named) if self.many_keys else pd.DataFrame({k: [v] for k, v in named.items()})
 
 
 class WatermarkStep(KeyedStep):
@@ -183,11 +205,13 @@ def keyed_state(
     adds: str,
     keep: Callable[[str], bool] | None = None,
     pack_rows: int = PACK_ROWS,
+    many_keys: bool = False,
 ) -> DataFrame:
     """Run `step` over the rows of each key of a stream; results have the keys, the kept columns and `adds` (a DDL).
 
     `step` gets a table of `seq` and `columns` and returns one with the kept ones of them and the columns of `adds`.
-    Without keys the whole stream is one key.
+    Without keys the whole stream is one key. With `many_keys` packages come and go as Spark rows, not as data frames:
+    that takes a third of the time a key, but a key's results of a micro-batch are held together.
     """
     # Rows of a processor have their columns' names as attributes, so keys get plain ones on the way.
     names = {k: f"pack_key_{i}" for i, k in enumerate(keys)}
@@ -199,7 +223,9 @@ def keyed_state(
     step.inner = to_arrow_schema(df.select(seq, *columns).schema)
     step.outer = to_arrow_schema(StructType.fromDDL(ddl))
     mode = "EventTime" if isinstance(step, WatermarkStep) else "ProcessingTime" if isinstance(step, ClockStep) else "None"
-    out = packed(df, keys, seq, columns, pack_rows).groupBy(*keys).transformWithStateInPandas(
+    step.many_keys = many_keys
+    groups = packed(df, keys, seq, columns, pack_rows).groupBy(*keys)
+    out = (groups.transformWithState if many_keys else groups.transformWithStateInPandas)(
         statefulProcessor=step,
         outputStructType=StructType.fromDDL(f"{_fields(df, keys)}, pack_rows binary"),
         outputMode="Append",
@@ -230,7 +256,8 @@ class RunningSum(KeyedStep):
         self.total = self.handle.getValueState("total", _one("total", LongType()))
 
     def step(self, rows, now):
-        sums = np.cumsum(_numbers(rows.column(self.value))) + (self.total.get()[0] if self.total.exists() else 0)
+        held = self.total.get()
+        sums = np.cumsum(_numbers(rows.column(self.value))) + (held[0] if held else 0)
         self.total.update((int(sums[-1]),))
         return _with(rows, **{self.name: sums})
 
@@ -256,23 +283,128 @@ class MapSums(KeyedStep):
         self.sub_key, self.value, self.part, self.total = sub_key, value, part, total
 
     def open(self) -> None:
-        self.sums = self.handle.getMapState("sums", _one("k", StringType()), _one("v", LongType()))
+        self.sums = Pages(self.handle, "sums", (0,))
         self.all = self.handle.getValueState("all", _one("v", LongType()))
 
+    def begin(self):
+        self.sums.begin()
+
+    def end(self):
+        self.sums.write()
+
     def step(self, rows, now):
         values, codes, names = _numbers(rows.column(self.value)), *_coded(rows.column(self.sub_key))
-        held = np.array([self.sums.getValue((n,))[0] if self.sums.containsKey((n,)) else 0 for n in names], np.int64)
-        parts = _cumsum_by(codes, values) + held[codes]
-        totals = np.cumsum(values) + (self.all.get()[0] if self.all.exists() else 0)
-        for n, v in zip(names, held + np.bincount(codes, values, minlength=len(names)).astype(np.int64)):
-            self.sums.updateValue((n,), (int(v),))
+        at, total = self.sums.places(names), self.all.get()
+        parts = _cumsum_by(codes, values) + self.sums.values[0][at][codes]
+        np.add.at(self.sums.values[0], at[codes], values)
+        totals = np.cumsum(values) + (total[0] if total else 0)
         self.all.update((int(totals[-1]),))
         return _with(rows, **{self.part: parts, self.total: totals})
 
 
-def _coded(column: pa.ChunkedArray) -> tuple[np.ndarray, list[str]]:
-    coded = pc.dictionary_encode(column.combine_chunks())
-    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+def _coded(column: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+    coded = pc.dictionary_encode(column.combine_chunks(), null_encoding="encode")
+    return coded.indices.to_numpy(), coded.dictionary
+
+
+class Pages:
+    """A map state of whole numbers a sub-key. Sub-keys are dealt to pages by their hash, and a page is one state entry.
+
+    A micro-batch reads the pages of the sub-keys it meets and writes them once, in place of three calls a sub-key and
+    stretch of rows. `values` has a row of numbers for each of `fresh`, which is what a new sub-key starts with.
+    """
+
+    PAGES = 512
+
+    def __init__(self, handle, name: str, fresh: tuple):
+        fields = [StructField("page", LongType())], [StructField("body", BinaryType())]
+        self.state, self.fresh = handle.getMapState(name, *(StructType(f) for f in fields)), np.array(fresh, np.int64)
+        self.schema = pa.schema([("name", pa.string()), *((f"v{i}", pa.int64()) for i in range(len(fresh)))])
+        self.begin()
+
+    def begin(self) -> None:
+        self.read: set[int] = set()
+        self.names, self.pages = pa.array([], pa.string()), np.empty(0, np.int64)
+        self.values = np.empty((len(self.fresh), 0), np.int64)
+
+    def _page(self, names: pa.Array) -> np.ndarray:
+        return (pd.util.hash_array(names.to_numpy(zero_copy_only=False), categorize=False) % self.PAGES).astype(np.int64)
+
+    def _add(self, names: list[pa.Array], values: list[np.ndarray]) -> None:
+        self.pages = np.r_[self.pages, *(self._page(n) for n in names)]
+        self.names = pa.concat_arrays([self.names, *names])
+        self.values = np.concatenate([self.values, *values], axis=1)
+
+    def _numbers(self, body: bytes) -> tuple[pa.Array, np.ndarray]:
+        rows = pa.ipc.read_record_batch(pa.py_buffer(bytes(body)), self.schema)
+        return rows.column(0), np.stack([c.to_numpy() for c in rows.columns[1:]])
+
+    def _body(self, names: pa.Array, values: np.ndarray) -> bytes:
+        return pa.record_batch([names, *(pa.array(v) for v in values)], schema=self.schema).serialize().to_pybytes()
+
+    def places(self, names: pa.Array) -> np.ndarray:
+        """Where in `values` each of these different names stands."""
+        unread = [int(p) for p in np.unique(self._page(names)) if p not in self.read]
+        self.read.update(unread)
+        known = [self._numbers(got[0]) for got in (self.state.getValue((p,)) for p in unread) if got]
+        if known:
+            self._add(*map(list, zip(*known)))
+        at = pc.fill_null(pc.index_in(names, self.names), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = self.values.shape[1] + np.arange(len(new))
+            self._add([names.take(pa.array(new))], [np.repeat(self.fresh[:, None], len(new), axis=1)])
+        return at
+
+    def write(self) -> None:
+        order = np.argsort(self.pages, kind="stable")
+        names, values, pages = self.names.take(pa.array(order)), self.values[:, order], self.pages[order]
+        cuts = np.flatnonzero(np.r_[True, np.diff(pages) != 0]) if len(pages) else []
+        for a, b in zip(cuts, [*cuts[1:], len(pages)]):
+            self.state.updateValue((int(pages[a]),), (self._body(names.slice(a, b - a), values[:, a:b]),))
+        self.begin()
+
+    def keep(self, which: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """Remove the sub-keys that `which`, a mask over their numbers, leaves out; the numbers of the rest."""
+        kept = [np.empty((len(self.fresh), 0), np.int64)]
+        for (page,), (body,) in list(self.state.iterator()):
+            names, values = self._numbers(body)
+            mask = which(values)
+            if not mask.any():
+                self.state.removeKey((page,))
+            elif not mask.all():
+                self.state.updateValue((page,), (self._body(names.filter(pa.array(mask)), values[:, mask]),))
+            kept.append(values[:, mask])
+        return np.concatenate(kept, axis=1)
+
+
+class OneEntry:
+    """The same for a key without sub-keys: a value state."""
+
+    def __init__(self, handle, name: str, fresh: tuple):
+        fields = StructType([StructField(f"v{i}", LongType()) for i in range(len(fresh))])
+        self.state, self.fresh = handle.getValueState(name, fields), np.array(fresh, np.int64)
+        self.begin()
+
+    def begin(self) -> None:
+        self.values = None
+
+    def places(self, names: pa.Array) -> np.ndarray:
+        if self.values is None:
+            self.values = np.array(self.state.get() or self.fresh, np.int64)[:, None]
+        return np.zeros(1, np.int64)
+
+    def write(self) -> None:
+        if self.values is not None:
+            self.state.update(tuple(int(v) for v in self.values[:, 0]))
+        self.begin()
+
+    def keep(self, which: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        held = self.state.get()
+        values = np.empty((len(self.fresh), 0), np.int64) if held is None else np.array(held, np.int64)[:, None]
+        if held is not None and not which(values).all():
+            self.state.clear()
+        return values[:, which(values)]
 
 
 def _cumsum_by(codes: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -294,15 +426,20 @@ class GrowingList(KeyedStep):
         self.item, self.name = item, name
 
     def open(self) -> None:
-        self.items = self.handle.getListState("items", _one("item", StringType()))
+        self.items = self.handle.getListState("items", _one("some", BinaryType()))
 
     def step(self, rows, now):
-        new = rows.column(self.item).to_pylist()
-        held = [v[0] for v in self.items.get()] if self.items.exists() else []
-        self.items.appendList([(v,) for v in new])
-        every = [v for v in [*held, *new] if v is not None]
-        ends = len([v for v in held if v is not None]) + np.cumsum([v is not None for v in new])
-        return _with(rows, **{self.name: pa.array([every[:n] for n in ends], pa.list_(pa.string()))})
+        kind = pa.schema([("item", pa.string())])
+        new = rows.column(self.item).combine_chunks()
+        known = pc.is_valid(new).to_numpy(zero_copy_only=False)
+        held = [pa.ipc.read_record_batch(pa.py_buffer(bytes(v[0])), kind).column(0) for v in self.items.get()] if self.items.exists() else []
+        every = pa.concat_arrays([*held, new.drop_null()])
+        if known.any():
+            self.items.appendValue((pa.record_batch([every[-known.sum():]], schema=kind).serialize().to_pybytes(),))
+        ends = len(every) - known.sum() + np.cumsum(known)
+        first = np.r_[0, np.cumsum(ends)]
+        lists = every.take(pa.array(np.arange(first[-1]) - np.repeat(first[:-1], ends)))
+        return _with(rows, **{self.name: pa.ListArray.from_arrays(pa.array(first, pa.int32()), lists)})
 
 
 class CountWindows(KeyedStep):
@@ -317,7 +454,7 @@ class CountWindows(KeyedStep):
         self.open_window = self.handle.getValueState("open", fields)
 
     def step(self, rows, now):
-        fired, count, total = self.open_window.get() if self.open_window.exists() else (0, 0, 0)
+        fired, count, total = self.open_window.get() or (0, 0, 0)
         sums = np.r_[0, np.cumsum(_numbers(rows.column(self.value)))] + total
         ends = np.arange(self.size - count, rows.num_rows + 1, self.size)
         last = int(ends[-1]) if len(ends) else 0
@@ -342,15 +479,16 @@ class LatestValue(KeyedStep):
 
     def step(self, rows, now):
         rule = pc.fill_null(rows.column(self.is_rule), False).combine_chunks().to_numpy(zero_copy_only=False)
-        held = self.now.get()[0] if self.now.exists() else None
+        held = (self.now.get() or (None,))[0]
         values = rows.column(self.value).combine_chunks()
         known = pa.concat_arrays([pa.array([held], values.type), values])
         seen = known.take(pa.array(np.maximum.accumulate(np.where(rule, np.arange(1, len(rule) + 1), 0))))
         if rule.any():
             last = seen[-1].as_py()
             if last is None:
-                self.now.clear()
-            else:
+                if held is not None:
+                    self.now.clear()
+            elif last != held:
                 self.now.update((last,))
         facts = pa.array(np.flatnonzero(~rule))
         return _with(rows.take(facts), **{self.name: seen.take(facts)})
@@ -379,20 +517,23 @@ class HeldRows(KeyedStep):
         return None
 
     def due(self, now):
-        held = list(self.buffer.get()) if self.buffer.exists() else []
-        rest = [x for x in held if x[1] > now]
-        if len(rest) == len(held):
+        if not self.buffer.exists():
             return
-        self.buffer.clear()
-        if rest:
+        rest, sent = [], False
+        for body, at, seen in self.buffer.get():
+            if at > now:
+                rest.append((body, at, seen))
+                continue
+            sent = True
+            rows = pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(bytes(body)), self.inner)])
+            extra = {"flushed_at": np.full(rows.num_rows, at)}
+            if self.arrived:
+                extra[self.arrived] = np.full(rows.num_rows, seen)
+            yield _with(rows, **extra)
+        if sent:
+            self.buffer.clear()
+        if sent and rest:
             self.buffer.put(rest)
-        for body, at, seen in held:
-            if at <= now:
-                rows = pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(bytes(body)), self.inner)])
-                extra = {"flushed_at": np.full(rows.num_rows, at)}
-                if self.arrived:
-                    extra[self.arrived] = np.full(rows.num_rows, seen)
-                yield _with(rows, **extra)
 
 
 class HeldRowsByWatermark(HeldRows, WatermarkStep):
@@ -410,59 +551,66 @@ class ExpiringSums(WatermarkStep):
     stands at the earliest expiry of the key's entries, and removes those whose time has come by the watermark.
     """
 
+    NEVER = np.iinfo(np.int64).min // 2
+
     def __init__(self, sub_key: str | None, value: str, at_ms: str, ttl_ms: int, name: str = "live_sum"):
         super().__init__()
         self.sub_key, self.value, self.at_ms, self.ttl_ms, self.name = sub_key, value, at_ms, ttl_ms, name
 
     def open(self) -> None:
-        fields = StructType([StructField("total", LongType()), StructField("at", LongType())])
-        self.sums = self.handle.getMapState("sums", _one("k", StringType()), fields)
+        self.sums = (Pages if self.sub_key else OneEntry)(self.handle, "sums", (0, self.NEVER))
         self.next = self.handle.getValueState("next", _one("at", LongType()))
 
+    def begin(self):
+        self.sums.begin()
+        self.stands = self.next.get()
+
+    def end(self):
+        self.sums.write()
+
     def step(self, rows, now):
         values, at = _numbers(rows.column(self.value)), rows.column(self.at_ms).to_numpy()
-        codes, names = _coded(rows.column(self.sub_key)) if self.sub_key else (np.zeros(len(at), np.int64), [""])
-        held = [tuple(self.sums.getValue((n,))) if self.sums.containsKey((n,)) else (0, None) for n in names]
+        codes, names = _coded(rows.column(self.sub_key)) if self.sub_key else (np.zeros(len(at), np.int64), None)
+        places = self.sums.places(names)
+        totals, last = self.sums.values[:, places]
         order = np.argsort(codes, kind="stable")
         code, value, time = codes[order], values[order], at[order]
         opens = np.r_[True, np.diff(code) != 0]
-        never = np.iinfo(np.int64).min // 2
-        last = np.array([never if t is None else t for _, t in held], np.int64)
-        before = np.where(opens, last[code], np.r_[never, time[:-1]])
-        anew = (time - before >= self.ttl_ms) | (before == never)
+        before = np.where(opens, last[code], np.r_[self.NEVER, time[:-1]])
+        anew = (before == self.NEVER) | (time - before >= self.ttl_ms)
         # Sums since the last start; a run that goes on from the state takes its total along.
-        carried = np.where(opens & ~anew, np.array([s for s, _ in held], np.int64)[code], 0)
+        carried = np.where(opens & ~anew, totals[code], 0)
         sums = np.cumsum(value + carried)
         start = np.maximum.accumulate(np.where(opens | anew, np.arange(len(sums)), 0))
         live = sums - np.r_[0, sums][start]
         ends = np.r_[np.flatnonzero(opens)[1:], len(code)] - 1
-        for i in ends:
-            self.sums.updateValue((names[code[i]],), (int(live[i]), int(time[i])))
+        self.sums.values[:, places[code[ends]]] = live[ends], time[ends]
         self._stand_at(int(time[ends].min()) + self.ttl_ms)
         out = np.empty_like(live)
         out[order] = live
         return _with(rows, **{self.name: out})
 
     def _stand_at(self, at: int) -> None:
-        if self.next.exists():
-            if self.next.get()[0] <= at:
+        if self.stands:
+            if self.stands[0] <= at:
                 return
-            self.handle.deleteTimer(self.next.get()[0])
+            self.handle.deleteTimer(self.stands[0])
+        self._set(at)
+
+    def _set(self, at: int) -> None:
         self.handle.registerTimer(at)
-        self.next.update((at,))
+        self.stands = (at,)
+        self.next.update(self.stands)
 
     def due(self, now):
-        if not self.next.exists() or self.next.get()[0] > now:
+        if not self.stands or self.stands[0] > now:
             return iter(())
-        at = self.next.get()[0]
-        self.next.clear()
-        entries = [(k, t) for k, (_, t) in self.sums.iterator()]
-        gone = [k for k, t in entries if t + self.ttl_ms <= now]
-        for k in gone:
-            self.sums.removeKey(k)
-        if len(gone) < len(entries):
-            self._stand_at(min(t for k, t in entries if t + self.ttl_ms > now) + self.ttl_ms)
+        at, self.stands = self.stands[0], None
+        rest = self.sums.keep(lambda values: values[1] + self.ttl_ms > now)
+        if rest.shape[1]:
+            self._set(int(rest[1].min()) + self.ttl_ms)
         else:
+            self.next.clear()
             self.handle.deleteTimer(at)
         return iter(())
 

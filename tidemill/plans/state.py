@@ -66,7 +66,7 @@ LISTS = """SELECT user_id, event_id, {n}string_agg(event_type, ',') OVER (
 
 def _lists(t, name: str):
     step = k.GrowingList("event_type")
-    out = k.keyed_state(_events(t), ["user_id"], "event_id", ["event_type"], step, "items array<string>")
+    out = k.keyed_state(_events(t), ["user_id"], "event_id", ["event_type"], step, "items array<string>", many_keys=True)
     return run_append(out, name)
 
 

@@ -207,5 +207,5 @@ def state_ttl_list_stream(spark, t):
     flush = Flush()
     step = k.ExpiringList("event_type", "at_ms", SIX_HOURS)
     keep = lambda c: c == "seq"
-    out = k.keyed_state(_timed(t, flush), ["user_id"], "seq", ["event_type", "at_ms"], step, "items array<string>", keep)
+    out = k.keyed_state(_timed(t, flush), ["user_id"], "seq", ["event_type", "at_ms"], step, "items array<string>", keep, many_keys=True)
     return run_append(out, "ttl_list", flush=flush).select("user_id", "seq", F.concat_ws(",", "items").alias("items"))

@@ -184,7 +184,7 @@ def state_ttl_value_stream(spark, t):
     """A value state per user that timers forget six hours after its last write."""
     flush = Flush()
     step = k.ExpiringSums(None, "cnt", "at_ms", SIX_HOURS)
-    out = k.keyed_state(_timed(t, flush), ["user_id"], "seq", ["at_ms", "cnt"], step, "live_sum bigint")
+    out = k.keyed_state(_timed(t, flush), ["user_id"], "seq", ["at_ms", "cnt"], step, "live_sum bigint", many_keys=True)
     return run_append(out, "ttl_value", flush=flush)
 
 

@@ -254,5 +254,6 @@ def join_broadcast_cdc_stream(spark, t):
         F.when(F.col("op") != "delete", F.col("name")).alias("name_now"),
     )
     step = LatestValue("change", "name_now", "name")
-    out = keyed_state(tagged, ["user_id"], "event_id", ["change", "name_now"], step, "name string", keep=lambda c: c == "event_id")
+    keep = lambda c: c == "event_id"
+    out = keyed_state(tagged, ["user_id"], "event_id", ["change", "name_now"], step, "name string", keep, many_keys=True)
     return run_append(out, "dimension")

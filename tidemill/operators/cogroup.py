@@ -30,6 +30,14 @@ class CoGroupStep:
     def finish(self) -> pa.Table | None:
         return None
 
+    def many(self, rows: pa.Table, starts: np.ndarray) -> tuple[pa.Table, np.ndarray] | None:
+        """What keys give that lie whole in `rows`, at once: results, and of each the number of its key.
+
+        `rows` has the columns of both sides, the ranks and the side, by key, rank and side; keys begin at `starts`.
+        None: keys are fed one by one.
+        """
+        return None
+
 
 def co_group_apply(
     left: DataFrame,
@@ -78,7 +86,15 @@ def co_group_apply(
         if not table.num_rows:
             return
         cuts = _cuts(table, keys)
+        whole = slice(cuts[1], cuts[-2]) if len(cuts) > 3 else slice(0, 0)
+        inside = table.slice(whole.start, whole.stop - whole.start)
+        # The first key may have begun, and the last one may go on, in another batch.
+        found = step().many(inside, cuts[1:-2] - whole.start) if inside.num_rows else None
+        if found is not None:
+            yield from _sent(inside.select(keys).take(pa.array(cuts[1:-2] - whole.start)), *found)
         for a, b in zip(cuts[:-1], cuts[1:]):
+            if found is not None and whole.start <= a < whole.stop:
+                continue
             part = table.slice(a, b - a)
             key = part.select(keys).slice(0, 1)
             if now[0] is None or not key.equals(now[0]):
@@ -89,10 +105,10 @@ def co_group_apply(
             sides = (part.filter(pa.array(mask)).select([*n, RANK]) for n, mask in zip(names, (~from_right, from_right)))
             yield from _sent(key, now[1].feed(*sides))
 
-    def _sent(key: pa.Table, out: pa.Table | None) -> Iterator[pa.RecordBatch]:
+    def _sent(key: pa.Table, out: pa.Table | None, of: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
         if out is not None and out.num_rows:
             body = out.select(inner.names).cast(inner).combine_chunks()
-            again = pa.array(np.zeros(out.num_rows, np.int64))
+            again = pa.array(np.zeros(out.num_rows, np.int64) if of is None else of)
             values = [key.column(k).combine_chunks().take(again) for k in keys] + [c.combine_chunks() for c in body.columns]
             yield pa.record_batch(values, names=[*keys, *inner.names])
 
@@ -126,3 +142,19 @@ class PairByRank(CoGroupStep):
         self.balance = int(sums[-1])
         ids = {name: t.column(name).combine_chunks().take(i) for name, t, i in zip(self.ids, (left, right), at)}
         return pa.table({"pair": np.arange(first, first + n), **ids, "balance": sums})
+
+    def many(self, rows, starts):
+        """A pair is one row or the two of a rank; sums are taken over all keys, less what came before each."""
+        key = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, rows.num_rows]))
+        rank, from_right = rows.column(RANK).to_numpy(), rows.column(SIDE).to_numpy().astype(bool)
+        first = np.flatnonzero(np.r_[True, (np.diff(key) != 0) | (np.diff(rank) != 0)])
+        last = np.r_[first[1:], rows.num_rows] - 1
+        change = [pc.fill_null(rows.column(a).combine_chunks(), 0).to_numpy() for a in self.amounts]
+        sums = np.cumsum(np.where(from_right, -change[1], change[0]))[last]
+        opens = np.flatnonzero(np.r_[True, np.diff(key[first]) != 0])
+        sums = sums - np.repeat(np.r_[0, sums][opens], np.diff(np.r_[opens, len(sums)]))
+        ids = {
+            name: rows.column(name).combine_chunks().take(pa.array(at, mask=from_right[at] != side))
+            for name, at, side in zip(self.ids, (first, last), (False, True))
+        }
+        return pa.table({"pair": rank[first], **ids, "balance": sums}), key[first]

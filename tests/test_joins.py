@@ -158,3 +158,23 @@ def test_sql_functions(spark):
     assert rows(spark.sql("SELECT word FROM split_line('hello tom', ' ')")) == [("hello",), ("tom",)]
     assert spark.sql("SELECT ip_number('0.0.1.2') AS n").first().n == 258
     assert spark.sql("SELECT my_sum(id) AS s FROM range(5)").first().s == 10
+
+
+def test_enrich_calls_share_threads(spark):
+    """As many threads as calls may be in flight ask for a whole batch, not one thread a call."""
+    import threading
+
+    df = spark.range(0, 400, 1, 1).withColumnRenamed("id", "n")
+    out = enrich(df, ["n"], lambda n: (f"{n}", threading.current_thread().name), "v string, t string", in_flight=5).collect()
+    assert [(x.n, x.v) for x in out] == [(n, str(n)) for n in range(400)]
+    assert len({x.t for x in out}) <= 5
+
+
+def test_enrich_goes_on_where_all_calls_hang(spark):
+    """Hung calls give null and free their places; calls behind them are still made."""
+    import time
+
+    df = spark.range(0, 12, 1, 1).withColumnRenamed("id", "n")
+    slow = lambda n: time.sleep(30) if n in (0, 1, 2, 11) else (n * 10,)
+    out = enrich(df, ["n"], slow, "m bigint", in_flight=2, timeout_seconds=0.3).collect()
+    assert [x.m for x in out] == [None if n in (0, 1, 2, 11) else n * 10 for n in range(12)]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import queue
 import threading
 import time
 from typing import Callable, Iterator
@@ -23,8 +22,8 @@ def enrich(
 ) -> DataFrame:
     """Add the columns `outputs` (DDL) from `lookup(*inputs)`, called from each partition.
 
-    Equal inputs of one Arrow batch are asked for once; rows keep their order
-    within the partition.  An error, no answer or a call longer than the timeout,
+    Equal inputs of one Arrow batch are asked for once, by as many threads as calls
+    may be in flight; rows keep their order within the partition.  An error, no answer or a call longer than the timeout,
     counted from its own start, gives null and frees its place for the next call.  With `open_client` one client per task is made and passed to
     `lookup` first.  Use a join instead where the service is a table.
     """
@@ -36,30 +35,48 @@ def enrich(
     def ask(call: Callable, keys: pd.DataFrame) -> list[tuple]:
         rows = list(keys.itertuples(index=False, name=None))
         answers: list[tuple] = [nothing] * len(rows)
-        came: queue.Queue = queue.Queue()
+        todo = iter(range(len(rows)))
+        started: dict[int, float] = {}  # calls in flight, in the order of their starts
+        change = threading.Condition()
 
-        def one(at: int) -> None:
-            try:
-                came.put((at, call(*rows[at]) or nothing))
-            except Exception:
-                came.put((at, nothing))
+        def work() -> None:
+            """Call after call until none is left or the last one was given up."""
+            while True:
+                with change:
+                    at = next(todo, None)
+                    if at is None:
+                        change.notify()
+                        return
+                    begun = started[at] = time.monotonic()
+                try:
+                    answer = call(*rows[at]) or nothing
+                except Exception:
+                    answer = nothing
+                with change:
+                    if started.get(at) is None or time.monotonic() >= begun + timeout_seconds:
+                        change.notify()
+                        return
+                    del started[at]
+                    answers[at] = answer
 
-        started: dict[int, float] = {}  # in the order of their starts
-        at = 0
-        while at < len(rows) or started:
-            while at < len(rows) and len(started) < in_flight:
-                # A hung call keeps only its own thread, which does not outlive the worker.
-                threading.Thread(target=one, args=(at,), daemon=True).start()
-                started[at] = time.monotonic()
-                at += 1
-            oldest = next(iter(started.values()))
-            try:
-                done, answer = came.get(timeout=max(0.0, oldest + timeout_seconds - time.monotonic()))
-                if started.pop(done, None) is not None:
-                    answers[done] = answer
-            except queue.Empty:
-                now = time.monotonic()
-                started = {k: begun for k, begun in started.items() if begun + timeout_seconds > now}
+        def place() -> None:
+            # A hung call keeps only its own thread, which does not outlive the worker.
+            threading.Thread(target=work, daemon=True).start()
+
+        for _ in range(min(in_flight, len(rows))):
+            place()
+        with change:
+            while len(rows) and (started or todo.__length_hint__()):
+                oldest = next(iter(started.values()), None)
+                left = timeout_seconds if oldest is None else oldest + timeout_seconds - time.monotonic()
+                if left > 0:
+                    change.wait(left)
+                    continue
+                late = [at for at, begun in started.items() if begun + timeout_seconds <= time.monotonic()]
+                for at in late:
+                    del started[at]
+                    if todo.__length_hint__():
+                        place()
         return answers
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -254,3 +254,21 @@ def test_exactly_once_files_after_a_failure(spark, tmp_path):
         runner.run_append(guard(stream, F.col("line").startswith("error"), "error record"), "once", folder)
     out = runner.run_append(stream.filter(~F.col("line").startswith("error")), "once", folder)
     assert rows(out) == [("a",), ("b",), ("c",)]
+
+
+def test_upsert_source_has_as_many_files_as_tasks_read(spark, folder, tmp_path):
+    """No file of the folder that the stream reads grows with the documents; it still takes three micro-batches."""
+    import glob
+
+    from tidemill.plans import aggregates  # noqa: F401
+    from tidemill.plans.registry import QUERIES
+    from tidemill.session import shared_dir
+
+    spark.read.parquet(f"{folder}/documents.parquet").repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    base = f"{shared_dir(spark).removeprefix('file://')}/tidemill"
+    before = set(glob.glob(f"{base}/upsert*"))
+    got = QUERIES["snk_upsert"](spark, str(tmp_path))
+    source, run = sorted(set(glob.glob(f"{base}/upsert*")) - before, key=lambda p: "source" not in p)
+    assert len(glob.glob(f"{source}/part-*")) >= 8
+    assert len([c for c in glob.glob(f"{run}/checkpoint/commits/*") if c.rsplit("/", 1)[1].isdigit()]) == 3
+    assert got.exceptAll(QUERIES["word_count"](spark, folder)).count() == 0

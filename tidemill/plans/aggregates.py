@@ -43,10 +43,14 @@ def word_count_stream(spark, t):
 
 @query("snk_upsert", WORD_COUNT)
 def snk_upsert(spark, t):
-    """Word counts of a folder read file by file; every batch overwrites the words it touched."""
+    """Word counts of a folder read a third of its files at a time; every batch overwrites the words it touched.
+
+    The folder has at least as many files as tasks read the documents, so that no file grows with the table.
+    """
     source = run_dir(spark, "upsert_source")
-    write_text(i.lines(t).repartition(3), source)
-    stream = words(read_lines(spark, "text_stream", path=source, files_per_batch=1), "line")
+    files = -(-t.documents.rdd.getNumPartitions() // 3)
+    write_text(i.lines(t).repartition(3 * files), source)
+    stream = words(read_lines(spark, "text_stream", path=source, files_per_batch=files), "line")
     return run_upsert(count_words(stream), "upsert", ["word"])
 
 

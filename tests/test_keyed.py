@@ -341,3 +341,12 @@ def test_gaps_in_the_sequence_make_fewer_files(spark):
         "checkpointLocation", folder
     ).trigger(availableNow=True).start().awaitTermination()
     assert seen == [[0, 1, 2], [50, 51, 99]]
+
+
+def test_timers_fire_where_the_last_batches_do_not_move_the_watermark(spark, tmp_path, two_partitions):
+    """Micro-batches of equal event times: the rows of the later ones come out as well."""
+    flush = Flush(timedelta(hours=1))
+    log = [("a", "x", 1, i, START + timedelta(seconds=i % 10)) for i in range(30)]
+    table = flush.attach(feed(spark, log, DDL, tmp_path, 3), "ts").withWatermark("ts", "0 seconds")
+    out = k.keyed_state(without_flush(table), ["k"], "seq", ["v"], k.HeldRowsByWatermark(), "flushed_at bigint")
+    assert sorted(x.seq for x in run(out, "equal_times", flush=flush).collect()) == list(range(30))

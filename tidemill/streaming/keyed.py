@@ -211,7 +211,7 @@ def keyed_state(
 
     `step` gets a table of `seq` and `columns` and returns one with the kept ones of them and the columns of `adds`.
     Without keys the whole stream is one key. With `many_keys` packages come and go as Spark rows, not as data frames:
-    that takes a third of the time a key, but a key's results of a micro-batch are held together.
+    that costs less a key, but a key's results of a micro-batch are held together.
     """
     # Rows of a processor have their columns' names as attributes, so keys get plain ones on the way.
     names = {k: f"pack_key_{i}" for i, k in enumerate(keys)}

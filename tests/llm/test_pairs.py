@@ -164,6 +164,17 @@ def test_copies_that_are_apart_make_few_pairs(docs_of, monkeypatch):
     assert seen and seen[0] < 400 * 399 / 2 / 20
 
 
+def test_copies_that_share_edits_meet_the_one_nearest_to_the_pivot(spark):
+    """The nearest has the largest key; what its sketch of differences rules out is no pair."""
+    member = lambda c, over, words: (b"p", 1, c, 100, 5, over, *words)
+    near, far, other = [1] + [0] * 7, [3] + [0] * 7, [-1] * 8
+    rows = [member(b"a", 4.0, far), member(b"b", 3.0, far), member(b"c", 2.0, other), member(b"d", 1.0, near)]
+    words = ", ".join(f"w{i} bigint" for i in range(8))
+    found = spark.createDataFrame(rows, f"p binary, token bigint, c binary, n bigint, d bigint, over double, {words}")
+    pairs = {(bytes(r.c), bytes(r.d)) for r in neardup._pairs_with_nearest(found, 0.8).collect()}
+    assert pairs == {(b"a", b"d"), (b"b", b"d")}
+
+
 def test_one_row_of_each_class_stays(docs_of):
     kept = neardup.keep_one(docs_of([*ODD, (8, "one"), (9, "one two")]))
     assert kept.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]

@@ -1,7 +1,10 @@
 """Stages of the pipeline against plain versions, each on its own input, with odd rows in it."""
 
 import collections
+import glob
 import random
+import tempfile
+import time
 
 import pytest
 from test_pairs import classes_by_brute_force, leaks_by_brute_force
@@ -9,6 +12,7 @@ from test_pairs import classes_by_brute_force, leaks_by_brute_force
 import corpus_pipeline
 from tidemill.llm import language, stages, substring
 from tidemill.llm.tables import held_out, read
+from tidemill.llm.tables import stage as stage_table
 
 SF = "/root/testdata/sf0.001"
 ODD = [(801, None), (802, ""), (803, " \n"), (804, "one"), (804, "one"), (805, "x " * 2000), (806, "y" * 30_000), (None, "no id")]
@@ -84,3 +88,13 @@ def test_mixing_stage_keeps_all_rows_and_their_columns(spark, docs):
 @pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES])
 def test_no_rows(spark, docs, stage):
     assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_shuffle_files_of_a_staged_table_do_not_stay(spark):
+    files = lambda: set(glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*.data"))
+    before = files()
+    out = stage_table(spark.range(10_000).repartition(3, "id"), "shuffled")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and out.count() == 10_000

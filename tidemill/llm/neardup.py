@@ -16,9 +16,9 @@ bags of n and m shingles link if they differ in no more than f * (n + m). They d
 pivot do; members in several components differ more than that from the pivot, taken together, so a pair that links has
 differences in common, at least half of what is over. A prefix of each member's differences is enough to meet, rarest
 first: edits of one copy alone are shared with nobody and fill the prefix, so a large group of copies that differ from
-a common text but aren't linked makes few pairs, though each is near the others. Members that share a kept difference first meet one
-of them; those still apart after that become a pair if parity sketches of their differences allow it. Every pair left is
-verified.
+a common text but aren't linked makes few pairs, though each is near the others. Members that share a kept difference first meet the
+one of them nearest to the pivot; those still apart after that become a pair. Parity sketches of the differences must
+allow both kinds of pair, and every one is verified.
 
 Defined results: texts of fewer than five words are one shingle. A null text or one without words is a class by itself.
 Words are letters and digits, in lower case. The class of a document is the smallest doc_id among its component.
@@ -217,18 +217,33 @@ def _kept_differences(placed: DataFrame, pivots: DataFrame, texts: DataFrame, si
     return stage(found, "neardup-prefixes")
 
 
+def _may_link(similarity: float) -> Column:
+    """Sizes of sides l and r allow a link, and sketches of their differences from one pivot don't rule it out."""
+    f = (1 - similarity) / (1 + similarity)
+    sizes = F.least("l.n", "r.n") >= similarity * F.greatest("l.n", "r.n")
+    # Sketches of the differences differ in no more bits than the bags do in shingles.
+    return sizes & (fixed_hamming("l", "r") <= F.floor(f * (F.col("l.n") + F.col("r.n")) + 1e-9))
+
+
+def _pairs_with_nearest(found: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (c, d) of a member and, of those it has a kept difference in common with, the one nearest to the pivot.
+
+    What is near the pivot is near most others, so few components are left for the pairs of all members.
+    """
+    words = [f"w{i}" for i in range(FIXED_WORDS)]
+    nearest = found.groupBy("p", "token").agg(F.min(F.struct("over", "c", "n", *words)).alias("r"))
+    met = found.alias("l").join(nearest, ["p", "token"]).filter((F.col("l.c") != F.col("r.c")) & _may_link(similarity))
+    return met.select(F.col("l.c").alias("c"), F.col("r.c").alias("d")).distinct()
+
+
 def _pairs_by_differences(found: DataFrame, similarity: float) -> DataFrame:
     """Pairs (c, d) of members of different components that may link: they have a kept difference in common."""
-    f = (1 - similarity) / (1 + similarity)
     left, right = found.alias("l"), found.alias("r")
     same = [F.col(f"l.{x}") == F.col(f"r.{x}") for x in ("p", "token")]
     apart = (F.col("l.c") < F.col("r.c")) & (F.col("l.root") != F.col("r.root"))
     need = F.ceil((F.col("l.over") + F.col("r.over")) / 2 - 1e-9)
     near = (F.col("l.place") + need <= F.col("l.d")) & (F.col("r.place") + need <= F.col("r.d"))
-    sizes = F.least("l.n", "r.n") >= similarity * F.greatest("l.n", "r.n")
-    # Sketches of the differences differ in no more bits than the bags do in shingles.
-    alike = fixed_hamming("l", "r") <= F.floor(f * (F.col("l.n") + F.col("r.n")) + 1e-9)
-    met = left.join(right, [*same, apart & near & sizes & alike])
+    met = left.join(right, [*same, apart & near & _may_link(similarity)])
     return met.select(F.col("l.c").alias("c"), F.col("r.c").alias("d")).distinct()
 
 
@@ -297,9 +312,7 @@ def near_duplicates(
         sized = lambda pairs: pairs.join(sizes, "c").join(sizes.select(F.col("c").alias("d"), F.col("size").alias("other")), "d")
         found = _kept_differences(more, pivots.select("key", F.col("p.c").alias("p")), texts, similarity, shingle)
         # Edits that copies share link them: those that have one in common meet one of them first.
-        stars = found.groupBy("p", "token").agg(F.min("c").alias("d"))
-        met = found.select("p", "token", "c").join(stars, ["p", "token"]).filter("c <> d").select("c", "d").distinct()
-        tested = _with_pairs(tested, sized(met), texts, similarity, shingle)
+        tested = _with_pairs(tested, sized(_pairs_with_nearest(found, similarity)), texts, similarity, shingle)
         roots = stage(components(tested.filter("linked").select("a", "b")), "neardup-roots").withColumnRenamed("node", "c")
         found = found.drop("root").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
         found = stage(found, "neardup-prefixes")

@@ -350,3 +350,14 @@ def test_timers_fire_where_the_last_batches_do_not_move_the_watermark(spark, tmp
     table = flush.attach(feed(spark, log, DDL, tmp_path, 3), "ts").withWatermark("ts", "0 seconds")
     out = k.keyed_state(without_flush(table), ["k"], "seq", ["v"], k.HeldRowsByWatermark(), "flushed_at bigint")
     assert sorted(x.seq for x in run(out, "equal_times", flush=flush).collect()) == list(range(30))
+
+
+def test_a_larger_table_has_more_micro_batches_not_larger_ones(spark, two_partitions):
+    """However unevenly the sequence is spread, rows come in order and no micro-batch has many more rows than wanted."""
+    at = [*range(100), *range(10**6, 10**6 + 20)]
+    seen = []
+    query = replay(spark.createDataFrame([(x,) for x in at], "seq bigint").repartition(2), "seq", most_rows=30).writeStream
+    query = query.foreachBatch(lambda b, i: seen.append(sorted(x.seq for x in b.collect())))
+    query.option("checkpointLocation", f"{run_dir(spark, 'bounded')}/c").trigger(availableNow=True).start().awaitTermination()
+    seen = [x for x in seen if x]
+    assert [y for x in seen for y in x] == at and len(seen) == 4 and max(map(len, seen)) <= 31

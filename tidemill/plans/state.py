@@ -10,7 +10,7 @@ from tidemill.operators.running import net_changes
 from tidemill.plans import inputs as i
 from tidemill.plans.registry import query
 from tidemill.streaming import keyed as k
-from tidemill.streaming.replay import replay, slice_sql
+from tidemill.streaming.replay import BATCH_ROWS, replay, slice_sql
 from tidemill.streaming.runner import Flush, run_append, run_until_timers, without_flush
 
 SO_FAR = "OVER (PARTITION BY word ORDER BY seq ROWS UNBOUNDED PRECEDING)"
@@ -18,7 +18,7 @@ RUNNING = f"SELECT word, seq, cnt, (sum(cnt) {SO_FAR})::BIGINT AS running FROM {
 
 
 def _events(t):
-    return replay(t.events, "event_id")
+    return replay(t.events, "event_id", most_rows=BATCH_ROWS)
 
 
 def _pairs(t):
@@ -140,8 +140,8 @@ BEFORE = f"""SELECT word, cnt, seq, mark - mark % {MINUTE} + {MINUTE} AS flushed
 @query("timer_et_flush", BEFORE)
 def timer_et_flush(spark, t):
     """Rows held until an event-time timer at the next minute of the watermark, with the time at which it stood."""
-    flush = Flush()
-    timed = flush.attach(_events(t).withColumn("ts", F.col("ts").cast("timestamp")), "ts").withWatermark("ts", "0 seconds")
+    flush, slices = Flush(), replay(t.events, "event_id")  # the results tell the slices, so their number is fixed
+    timed = flush.attach(slices.withColumn("ts", F.col("ts").cast("timestamp")), "ts").withWatermark("ts", "0 seconds")
     rows = i._pairs(without_flush(timed))
     out = k.keyed_state(rows, ["word"], "seq", ["cnt"], k.HeldRowsByWatermark(MINUTE), "flushed_at bigint")
     return run_append(out, "timer_et", flush=flush)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemill.session import run_dir
 
 SLICES = 3
+#: Rows of a micro-batch where the number of slices is free: what a task holds of its keys does not grow with the table.
+BATCH_ROWS = 1_000_000
 
 
 def _edges(table: DataFrame, seq: str, slices: int) -> list[int]:
@@ -17,6 +19,16 @@ def _edges(table: DataFrame, seq: str, slices: int) -> list[int]:
     return [low + (high - low + 1) * k // slices for k in range(slices + 1)]
 
 
+def _bounded_edges(table: DataFrame, seq: str, most_rows: int) -> list[int]:
+    """The same for as many slices of equal numbers of rows, SLICES at least, as keep each at about `most_rows`."""
+    rows, low, high = table.agg(F.count(seq), F.min(seq), F.max(seq)).first()
+    slices = -(-rows // most_rows)
+    if slices <= SLICES:
+        return _edges(table, seq, SLICES)
+    inner = table.agg(F.percentile_approx(seq, [k / slices for k in range(1, slices)], 100 * slices)).first()[0]
+    return sorted({low, *(x + 1 for x in inner), high + 1})
+
+
 def slice_bounds(table: DataFrame, seq: str, slices: int = SLICES) -> list[int]:
     """First `seq` of each slice: equal spans from the smallest value to the largest."""
     return _edges(table, seq, slices)[:-1]
@@ -53,9 +65,11 @@ def slice_files(table: DataFrame, seq: str, edges: list[int]) -> int:
     return files
 
 
-def replay(table: DataFrame, seq: str, slices: int = SLICES) -> DataFrame:
+def replay(table: DataFrame, seq: str, slices: int = SLICES, most_rows: int | None = None) -> DataFrame:
     """`table` as a stream whose micro-batches are slices of the sequence, earlier ones first.
 
+    With `most_rows` there are more slices where a table is so large that one would have more rows than that.
+
     A file stream takes files in the order of their writing, so the slices are written one after the other, each to the
     same number of files, which is what one micro-batch takes. A file holds a stretch of the sequence. A table that
     already lies in files of its arrival order needs none of this: `Tables.stream` with `files_per_batch` reads it as
@@ -63,7 +77,7 @@ def replay(table: DataFrame, seq: str, slices: int = SLICES) -> DataFrame:
     """
     spark = table.sparkSession
     folder = run_dir(spark, "replay")
-    edges = _edges(table, seq, slices)
+    edges = _edges(table, seq, slices) if most_rows is None else _bounded_edges(table, seq, most_rows)
     files = slice_files(table, seq, edges)
     table.limit(0).coalesce(1).write.parquet(f"{folder}/empty")
     for low, high in zip(edges, edges[1:]):

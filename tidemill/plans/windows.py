@@ -10,7 +10,7 @@ from tidemill.plans import inputs as i
 from tidemill.plans.registry import ORACLES, query
 from tidemill.streaming.carried import stream_split_late
 from tidemill.streaming.keyed import CountWindows, RunningSum, keyed_state
-from tidemill.streaming.replay import replay
+from tidemill.streaming.replay import BATCH_ROWS, replay
 from tidemill.streaming.runner import Flush, run_append
 
 
@@ -228,7 +228,7 @@ def win_count_all(spark, t):
 
 
 def _count_stream(t, keys, name):
-    rows = i._pairs(replay(t.events, "event_id"))
+    rows = i._pairs(replay(t.events, "event_id", most_rows=BATCH_ROWS))
     out = keyed_state(rows, keys, "seq", ["cnt"], CountWindows("cnt", 5), "win_no bigint, total bigint", keep=lambda c: False)
     return run_append(out, name)
 

@@ -1,6 +1,7 @@
 """Operators on repeated content: near-duplicates, repeated passages, benchmark leaks, licences."""
 
 import collections
+import glob
 import hashlib
 import os
 import random
@@ -10,9 +11,11 @@ import textwrap
 import numpy as np
 import pyarrow as pa
 
+from tidemill.llm import components as component_steps
 from tidemill.llm import decontaminate, licenses, neardup, substring
 from tidemill.llm.components import components
 from tidemill.llm.text import U64, Words, complete, grams, sliding_min
+from tidemill.session import shared_dir
 
 ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "?!"), (5, "one"), (5, "one"), (None, "one two"), (6, "x " * 3000), (7, "y" * 50_000)]
 
@@ -190,6 +193,30 @@ def test_components(spark):
     assert len(set(found.values())) == 3 and 30 not in found
 
 
+def test_components_of_more_edges(spark, monkeypatch):
+    frame = lambda edges: spark.createDataFrame(edges, "a bigint, b bigint")
+    known = components(frame([(1, 2), (2, 3), (20, 21), (22, 23), (40, 41)]))
+    seen, real = [], component_steps._found
+    monkeypatch.setattr(component_steps, "_found", lambda edges, folder: seen.append(edges.filter("a <> b").count()) or real(edges, folder))
+    found = {r.node: r.root for r in components(frame([(3, 1), (3, 21), (50, 51), (51, 41), (60, 61), (70, 70)]), known).collect()}
+    assert seen == [4]  # what is linked already is no work again
+    groups = collections.defaultdict(set)
+    for node, root in found.items():
+        groups[root].add(node)
+    assert sorted(map(sorted, groups.values())) == [[1, 2, 3, 20, 21], [22, 23], [40, 41, 50, 51], [60, 61]]
+    none = components(frame([]), known)
+    assert {tuple(r) for r in none.collect()} == {tuple(r) for r in known.collect()}
+
+
+def test_tables_of_the_steps_do_not_stay(spark, docs_of):
+    folders = lambda: set(glob.glob(f"{shared_dir(spark)}/tidemill/*"))
+    before = folders()
+    rows = [(i, f"one two three four five six seven eight nine {i // 3}") for i in range(30)]
+    out = neardup.near_duplicates(docs_of(rows))
+    left = {f.rsplit("/", 1)[1].rsplit("-", 1)[0] for f in folders() - before}
+    assert left <= {"neardup-signatures", "neardup-rooted", "component-roots"} and out.count() == 30
+
+
 def leaks_by_brute_force(rows, items, window=10):
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     windows = collections.defaultdict(set)

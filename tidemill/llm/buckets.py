@@ -40,7 +40,7 @@ def bucket_links(
     tested = stage(verified(_pairs(first.filter(alike(F.col("size"), F.col("other"))))), f"{name}-links")
     for turn in range(1, pivot_rounds + 1):
         links = tested.filter("linked")
-        roots = stage(components(links.select("a", "b")), f"{name}-roots")
+        roots = components(links.select("a", "b"))
         placed = members.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
         apart = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
         placed = stage(placed.join(apart, "key").select("key", "c", "size", "root"), f"{name}-apart")
@@ -62,4 +62,4 @@ def bucket_links(
         pairs = _pairs(rows.filter(alike(F.col("size"), F.col("other"))))
         more = verified(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
         tested = stage(tested.unionByName(more), f"{name}-links")
-    return stage(components(tested.filter("linked").select("a", "b")), f"{name}-roots"), tested
+    return components(tested.filter("linked").select("a", "b")), tested

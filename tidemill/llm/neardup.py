@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.components import components
 from tidemill.llm.parity import FIXED_WORDS, fixed_hamming, fixed_sketches
-from tidemill.llm.tables import stage
+from tidemill.llm.tables import scratch, stage
 from tidemill.llm.text import ALPHANUMERIC, U64, Words, complete, grams, mix, pieces
 
 SHINGLE = 5
@@ -182,7 +182,9 @@ def _differences(shingle: int):
     return run
 
 
-def _kept_differences(placed: DataFrame, pivots: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
+def _kept_differences(
+    placed: DataFrame, pivots: DataFrame, texts: DataFrame, similarity: float, shingle: int, folder: str
+) -> DataFrame:
     """A row for each member of a bucket and each difference from its pivot that is in its prefix.
 
     `placed` has key, c, root of the buckets that hold several components; `pivots` has key, p: a member that was
@@ -196,25 +198,26 @@ def _kept_differences(placed: DataFrame, pivots: DataFrame, texts: DataFrame, si
     ddl = "p binary, c binary, n bigint, tokens array<bigint>, " + ", ".join(f"{w} bigint" for w in words)
     differ = both.select("a", "b", "text_a", "text_b").mapInArrow(_differences(shingle), ddl)
     differ = differ.dropDuplicates(["p", "c"]).join(named, ["p", "c"]).withColumn("d", F.size("tokens").cast("long"))
-    differ = stage(differ.withColumn("over", F.col("d") - f * F.col("n")), "neardup-differences")
+    differ = stage(differ.withColumn("over", F.col("d") - f * F.col("n")), "neardup-differences", folder)
     # What is over the bound in the nearest member of the pivot's component, and of the others.
     own = differ.filter(F.col("c") == F.col("p")).select("p", F.col("root").alias("own_root"))
     nearest = differ.join(own, "p").groupBy("p", "own_root").agg(
         F.min(F.when(F.col("root") == F.col("own_root"), F.col("over"))).alias("inside"),
         F.min(F.when(F.col("root") != F.col("own_root"), F.col("over"))).alias("outside"),
     )
-    tokens = differ.select("p", "c", "root", "n", "d", "over", F.explode("tokens").alias("token"))
+    partner = F.when(F.col("root") == F.col("own_root"), F.col("outside")).otherwise(F.least("inside", "outside"))
+    common = F.ceil((F.col("over") + partner) / 2 - 1e-9)
+    # Told once a member, not once a difference: rows of differences are many, so they carry and move as little as may be.
+    told = differ.join(stage(nearest, "neardup-nearest", folder), "p").withColumn("common", common)
+    tokens = told.select("p", "c", "root", "common", F.explode("tokens").alias("token"))
     # A token is of use if two components have it.
     shared = tokens.groupBy("p", "token").agg(F.count("*").alias("members"), F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-    found = tokens.join(shared.select("p", "token", "members"), ["p", "token"]).join(nearest, "p")
+    found = tokens.join(shared.select("p", "token", "members"), ["p", "token"])
     of_member = Window.partitionBy("p", "c")
-    place = F.col("d") - F.count("*").over(of_member) + F.row_number().over(of_member.orderBy("members", "token")) - 1
-    partner = F.when(F.col("root") == F.col("own_root"), F.col("outside")).otherwise(F.least("inside", "outside"))
-    common = lambda x, y: F.ceil((x + y) / 2 - 1e-9)
-    found = found.withColumn("place", place).withColumn("partner", partner)
-    found = found.filter(F.col("place") + common(F.col("over"), F.col("partner")) <= F.col("d"))
-    found = found.select("p", "token", "c", "root", "n", "d", "over", "place").join(differ.select("p", "c", *words), ["p", "c"])
-    return stage(found, "neardup-prefixes")
+    found = found.withColumn("rest", F.count("*").over(of_member) - F.row_number().over(of_member.orderBy("members", "token")) + 1)
+    found = found.filter(F.col("common") <= F.col("rest")).select("p", "token", "c", "root", "rest")
+    found = found.join(differ.select("p", "c", "n", "d", "over", *words), ["p", "c"])
+    return stage(found.withColumn("place", F.col("d") - F.col("rest")).drop("rest"), "neardup-prefixes", folder)
 
 
 def _may_link(similarity: float) -> Column:
@@ -247,79 +250,92 @@ def _pairs_by_differences(found: DataFrame, similarity: float) -> DataFrame:
     return met.select(F.col("l.c").alias("c"), F.col("r.c").alias("d")).distinct()
 
 
-def _apart(members: DataFrame, tested: DataFrame, name: str) -> DataFrame | None:
+def _apart(members: DataFrame, roots: DataFrame, folder: str) -> DataFrame | None:
     """key, c, size, root of the members of buckets that hold several components; none if there are none."""
-    roots = stage(components(tested.filter("linked").select("a", "b")), f"{name}-roots")
     placed = members.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     apart = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
-    placed = stage(placed.join(apart, "key").select("key", "c", "size", "root"), f"{name}-apart")
+    placed = stage(placed.join(apart, "key").select("key", "c", "size", "root"), "neardup-apart", folder)
     return None if placed.isEmpty() else placed
 
 
-def _with_pairs(tested: DataFrame, pairs: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """The tested pairs, and those of `pairs` (c, size, d, other) that are not yet tested and whose sizes allow a link."""
+def _more_links(tested: DataFrame, pairs: DataFrame, texts: DataFrame, similarity: float, shingle: int, folder: str) -> DataFrame:
+    """Those of `pairs` (c, size, d, other) that are not yet tested and whose sizes allow a link, tested."""
     pairs = pairs.filter(F.least("size", "other") >= similarity * F.greatest("size", "other"))
     pairs = pairs.select(F.greatest("c", "d").alias("a"), F.least("c", "d").alias("b")).distinct()
     pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    return stage(tested.unionByName(_verified(pairs, texts, similarity, shingle)), "neardup-links")
+    return stage(_verified(pairs, texts, similarity, shingle), "neardup-links", folder)
 
 
-def near_duplicates(
-    docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, bands: int = BANDS, places: int = PLACES
-) -> DataFrame:
-    """A row for each document row: doc_id, c (key of the text), class_id, class_size, keep (first of its class)."""
-    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _class_key().alias("c"), "text")
-    signed = stage(
-        keyed.mapInArrow(_signed(bands, places, shingle), "doc_id bigint, c binary, size bigint, bands array<bigint>"),
-        "neardup-signatures",
-    )
+def _links(tested: DataFrame) -> DataFrame:
+    return tested.filter("linked").select("a", "b")
+
+
+def _rooted(keyed: DataFrame, signed: DataFrame, similarity: float, shingle: int, folder: str) -> DataFrame:
+    """c, first_id, n, root: the classes of equal texts with their components, from tables of the folder."""
     # Equal texts become one class; their signatures are equal.
     classes = stage(
         signed.filter(F.col("size") > 0)
         .groupBy("c")
         .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("bands").alias("bands")),
         "neardup-classes",
+        folder,
     )
     banded = classes.select("c", "size", F.explode("bands").alias("key"))
     buckets = stage(
         banded.groupBy("key").agg(F.min("c").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select("key", "pivot"),
         "neardup-buckets",
+        folder,
     )
-    members = stage(banded.join(buckets, "key"), "neardup-members")
+    members = stage(banded.join(buckets, "key"), "neardup-members", folder)
     wanted = members.select("c").distinct().join(classes.select("c", "first_id"), "c")
     texts = stage(
         keyed.join(wanted, "c").filter(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("c", "text"),
         "neardup-texts",
+        folder,
     )
     tested = stage(
         _verified(members.filter("c <> pivot").select(F.col("c").alias("a"), F.col("pivot").alias("b")).distinct(), texts, similarity, shingle),
         "neardup-links",
+        folder,
     )
-    more = _apart(members, tested, "neardup")
-    if more is not None:
+    roots = components(_links(tested))
+    apart = _apart(members, roots, folder)
+    if apart is not None:
         # The member of most links speaks for its component.
-        links = tested.filter("linked")
-        degree = links.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count("*").alias("links"))
-        ranked = more.join(degree, "c", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+        degree = _links(tested).select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count("*").alias("links"))
+        ranked = apart.join(degree, "c", "left").withColumn("links", F.coalesce("links", F.lit(0)))
         pivots = ranked.groupBy("key").agg(F.max(F.struct("links", "c", "root", "size")).alias("p"))
-        pivots = stage(pivots, "neardup-pivots")
-        pairs = more.join(pivots, "key").filter(F.col("root") != F.col("p.root"))
+        pivots = stage(pivots, "neardup-pivots", folder)
+        pairs = apart.join(pivots, "key").filter(F.col("root") != F.col("p.root"))
         pairs = pairs.select("c", "size", F.col("p.c").alias("d"), F.col("p.size").alias("other"))
-        tested = _with_pairs(tested, pairs, texts, similarity, shingle)
-        more = _apart(members, tested, "neardup")
-    if more is not None:
+        more = _more_links(tested, pairs, texts, similarity, shingle, folder)
+        tested, roots = tested.unionByName(more), components(_links(more), roots)
+        apart = _apart(members, roots, folder)
+    if apart is not None:
         sizes = members.select("c", "size").distinct()
         sized = lambda pairs: pairs.join(sizes, "c").join(sizes.select(F.col("c").alias("d"), F.col("size").alias("other")), "d")
-        found = _kept_differences(more, pivots.select("key", F.col("p.c").alias("p")), texts, similarity, shingle)
+        found = _kept_differences(apart, pivots.select("key", F.col("p.c").alias("p")), texts, similarity, shingle, folder)
         # Edits that copies share link them: those that have one in common meet one of them first.
-        tested = _with_pairs(tested, sized(_pairs_with_nearest(found, similarity)), texts, similarity, shingle)
-        roots = stage(components(tested.filter("linked").select("a", "b")), "neardup-roots").withColumnRenamed("node", "c")
-        found = found.drop("root").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
-        found = stage(found, "neardup-prefixes")
-        tested = _with_pairs(tested, sized(_pairs_by_differences(found, similarity)), texts, similarity, shingle)
-    roots = stage(components(tested.filter("linked").select("a", "b")), "neardup-roots")
-    rooted = classes.select("c", "first_id", "n").join(roots.withColumnRenamed("node", "c"), "c", "left")
-    rooted = stage(rooted.withColumn("root", F.coalesce("root", "c")), "neardup-rooted")
+        more = _more_links(tested, sized(_pairs_with_nearest(found, similarity)), texts, similarity, shingle, folder)
+        tested, roots = tested.unionByName(more), components(_links(more), roots)
+        found = found.drop("root").join(roots.withColumnRenamed("node", "c"), "c", "left")
+        found = stage(found.withColumn("root", F.coalesce("root", "c")), "neardup-prefixes", folder)
+        more = _more_links(tested, sized(_pairs_by_differences(found, similarity)), texts, similarity, shingle, folder)
+        roots = components(_links(more), roots)
+    return classes.select("c", "first_id", "n").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+
+
+def near_duplicates(
+    docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, bands: int = BANDS, places: int = PLACES
+) -> DataFrame:
+    """A row for each document row: doc_id, c (key of the text), class_id, class_size, keep (first of its class)."""
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _class_key().alias("c"), "text")
+    signed = stage(
+        keyed.mapInArrow(_signed(bands, places, shingle), "doc_id bigint, c binary, size bigint, bands array<bigint>"),
+        "neardup-signatures",
+    )
+    with scratch(docs.sparkSession, "neardup") as folder:
+        rooted = stage(_rooted(keyed, signed, similarity, shingle, folder), "neardup-rooted")
     groups = rooted.groupBy("root").agg(
         F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "c")).alias("head"), F.sum("n").alias("class_size")
     )

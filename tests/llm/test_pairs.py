@@ -6,6 +6,7 @@ import hashlib
 import os
 import random
 import re
+import tempfile
 import textwrap
 
 import numpy as np
@@ -15,6 +16,7 @@ from tidemill.llm import components as component_steps
 from tidemill.llm import decontaminate, licenses, neardup, substring
 from tidemill.llm.components import components
 from tidemill.llm.text import U64, Words, complete, grams, sliding_min
+from tidemill.llm.toxicity import trigram_model
 from tidemill.session import shared_dir
 
 ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "?!"), (5, "one"), (5, "one"), (None, "one two"), (6, "x " * 3000), (7, "y" * 50_000)]
@@ -62,6 +64,20 @@ def test_windows_across_the_edges_of_a_common_line_are_spread(docs_of):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in out} == substring.brute_force(dict(rows))
 
 
+def test_each_pass_over_the_texts_runs_once(docs_of, tmp_path):
+    docs, folder = docs_of([(i, f"{'a b c ' * 30} {i}") for i in range(30)], 3), str(tmp_path)
+
+    def noted(batches):
+        with tempfile.NamedTemporaryFile(dir=folder, delete=False):
+            yield from batches
+
+    seen = docs.mapInArrow(noted, docs.schema)
+    substring.candidates(seen, cell_bits=16)  # reads for the sketch and for the counts of anchors
+    assert len(os.listdir(folder)) == 2 * 3
+    trigram_model(seen)
+    assert len(os.listdir(folder)) == 3 * 3
+
+
 def test_repeated_passages_of_odd_rows(docs_of):
     out = substring.remove_repeats(docs_of(ODD), cell_bits=16).collect()
     assert collections.Counter((r.doc_id, r.n_words, r.n_removed) for r in out) == collections.Counter(

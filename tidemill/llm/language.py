@@ -253,8 +253,8 @@ def fit(labelled: DataFrame, vocabulary_path: str | None = None, sample_rows: in
 
         sums = counted.mapInArrow(expect, "piece bigint, tongue bigint, n double").groupBy("piece", "tongue").agg(F.sum("n").alias("n"))
         totals = np.zeros_like(chances)
-        for row in sums.toLocalIterator():
-            totals[row.piece, row.tongue] = row.n
+        found = sums.toArrow()
+        totals[found["piece"].to_numpy(), found["tongue"].to_numpy()] = found["n"].to_numpy()
         pooled = totals.sum(axis=1, keepdims=True)
         own = totals / np.maximum(totals.sum(axis=0), 1e-12)
         chances = (1 - POOLED) * own + POOLED * pooled / max(pooled.sum(), 1e-12) + FLOOR

@@ -132,8 +132,8 @@ def fit_domains(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0
     sums = texts.filter(half).select("label", "text").mapInArrow(_count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     seen = np.zeros((count << BUCKET_BITS,))
-    for row in sums.toLocalIterator():
-        seen[row.cell] = row.n
+    found = sums.toArrow()
+    seen[found["cell"].to_numpy()] = found["n"].to_numpy()
     seen = seen.reshape(count, -1).T
     pooled = (seen.sum(axis=1, keepdims=True) + 0.1) / (seen.sum() + 0.1 * len(seen))
     chance = (seen + 20 * pooled) / (seen.sum(axis=0) + 20)

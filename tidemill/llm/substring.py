@@ -18,6 +18,7 @@ doc_id and text are not read, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.tables import stage, text_key
+from tidemill.llm.tables import text_key
 from tidemill.llm.text import NOT_SPACE, U64, Words, complete, grams, mix, pieces, sliding_min
 
 WINDOW = 35
@@ -116,7 +117,7 @@ def _partial_sketches(window: int, cell_bits: int):
 
 
 def _merge_sketches(cell_bits: int):
-    """Rows sorted by block: add the partial counts of a block, keep a bit for each cell over one."""
+    """Rows sorted by block: add the partial counts of a block, keep a bit for each cell over one; mostly none, so packed."""
     width = 1 << min(BLOCK_BITS, cell_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +125,7 @@ def _merge_sketches(cell_bits: int):
 
         def ready():
             return pa.record_batch(
-                [pa.array([now], pa.int64()), pa.array([np.packbits(total > 1).tobytes()], pa.binary())],
+                [pa.array([now], pa.int64()), pa.array([zlib.compress(np.packbits(total > 1), 1)], pa.binary())],
                 names=["block", "bits"],
             )
 
@@ -157,8 +158,9 @@ def sketch(docs: DataFrame, window: int = WINDOW, cell_bits: int = CELL_BITS) ->
     )
     width = (1 << min(BLOCK_BITS, cell_bits)) // 8
     bits = bytearray((ROWS << cell_bits) // 8)
-    for row in merged.toLocalIterator():
-        bits[row.block * width : (row.block + 1) * width] = row.bits
+    # Collected: an iterator would come after the shuffle files have gone with their query, and make them again.
+    for row in merged.collect():
+        bits[row.block * width : (row.block + 1) * width] = zlib.decompress(row.bits)
     return bytes(bits)
 
 
@@ -334,7 +336,7 @@ def candidates(docs: DataFrame, window: int = WINDOW, cell_bits: int = CELL_BITS
     shared = context.broadcast(sketch(texts, window, cell_bits))
     counts = texts.mapInArrow(_count_rows(window, cell_bits, shared), "anchor bigint, n bigint")
     many = counts.groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") >= hot_rows).select("anchor")
-    hot = np.sort(np.array([r.anchor for r in many.toLocalIterator()], np.int64).astype(U64))
+    hot = np.sort(many.toArrow().column("anchor").to_numpy().astype(U64))
     return texts.mapInArrow(
         _candidates(window, cell_bits, shared, context.broadcast(hot)),
         "anchor bigint, k1 bigint, k2 bigint, start bigint, stop bigint, windows binary",
@@ -389,10 +391,10 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), window:
     """`keep` columns of each row with n_words, n_removed, and kept_text (words joined by one space)."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    runs = stage(repeated_runs(docs, window, cell_bits, hot_rows), "substring-runs")
     # A text's runs are as many as its words at most, however many copies of it there are.
     runs = (
-        runs.groupBy("k1", "k2")
+        repeated_runs(docs, window, cell_bits, hot_rows)
+        .groupBy("k1", "k2")
         .agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("runs"))
         .select("k1", "k2", F.col("runs.start").alias("_starts"), F.col("runs.stop").alias("_stops"))
     )

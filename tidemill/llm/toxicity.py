@@ -85,8 +85,8 @@ def trigram_model(docs: DataFrame) -> np.ndarray:
     """Log probabilities (second last, last, next) counted over all documents; the driver gets 64,000 numbers at most."""
     sums = docs.select("text").mapInArrow(_count_trigrams, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     count = np.zeros(_SYMBOLS**3)
-    for row in sums.toLocalIterator():
-        count[row.cell] = row.n
+    found = sums.toArrow()
+    count[found["cell"].to_numpy()] = found["n"].to_numpy()
     three = count.reshape(_SYMBOLS, _SYMBOLS, _SYMBOLS)
     two, one = three.sum(axis=0), three.sum(axis=(0, 1))
     single = (one + 0.5) / (one.sum() + 0.5 * _SYMBOLS)

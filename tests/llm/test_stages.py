@@ -13,6 +13,7 @@ import corpus_pipeline
 from tidemill.llm import language, stages, substring
 from tidemill.llm.tables import held_out, read
 from tidemill.llm.tables import stage as stage_table
+from tidemill.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 ODD = [(801, None), (802, ""), (803, " \n"), (804, "one"), (804, "one"), (805, "x " * 2000), (806, "y" * 30_000), (None, "no id")]
@@ -47,6 +48,14 @@ def test_language_stage_drops_what_has_no_language(spark, docs):
     assert not {801, 802, 803} & {r.doc_id for r in out.collect()} and (806, "y" * 30_000) in known(out)
 
 
+def test_the_words_of_a_small_sample_are_few_files(spark, docs):
+    folders = lambda: set(glob.glob(f"{shared_dir(spark).removeprefix('file://')}/tidemill/language-words-*"))
+    before = folders()
+    language.fit(docs.withColumn("lang", docs.source).filter(~held_out()), rounds=1)
+    (written,) = folders() - before
+    assert len(glob.glob(f"{written}/part-*")) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_near_dedup_stage_keeps_one_of_each_class(spark, docs):
     rows = known(docs)
     classes = classes_by_brute_force([(n, t) for n, t in rows if n is not None])

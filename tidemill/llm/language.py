@@ -237,7 +237,9 @@ def fit(labelled: DataFrame, vocabulary_path: str | None = None, sample_rows: in
     share = F.create_map(*(F.lit(x) for n in languages for x in (n, min(1.0, sample_rows / sizes[n]))))
     chosen = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
     counted = chosen.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n bigint")
-    counted = stage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).repartition(64, "word"), "language-words")
+    # The sample is bounded, so a few files for each core are enough for any corpus.
+    files = min(64, 2 * spark.sparkContext.defaultParallelism)
+    counted = stage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).repartition(files, "word"), "language-words")
     shared_lattice = spark.sparkContext.broadcast(lattice)
     place = {n: i for i, n in enumerate(languages)}
     for _ in range(rounds):

@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import random
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from helpers import feed, rows
 from pyspark.sql import functions as F
@@ -361,3 +363,94 @@ def test_a_larger_table_has_more_micro_batches_not_larger_ones(spark, two_partit
     query.option("checkpointLocation", f"{run_dir(spark, 'bounded')}/c").trigger(availableNow=True).start().awaitTermination()
     seen = [x for x in seen if x]
     assert [y for x in seen for y in x] == at and len(seen) == 4 and max(map(len, seen)) <= 31
+
+
+def many_timed(n=6000, keys=4000, seed=11):
+    """Rows of many keys, one of them null, whose times go on but for some that are behind."""
+    rnd, at, out = random.Random(seed), 0, []
+    for i in range(n):
+        at += rnd.choice([0, 10, 200])
+        key = rnd.choice([None, "k1", f"k{rnd.randrange(keys)}"])
+        seconds = at - rnd.choice([0, 0, 5000])
+        out.append((key, rnd.choice(["x", "y", None]), rnd.randrange(9), i, START + timedelta(seconds=seconds), seconds * 1000))
+    return out
+
+
+@pytest.mark.parametrize("kind", ["list"])
+def test_many_keys_share_entries(spark, tmp_path, two_partitions, kind):
+    """State entries, and so the calls of a micro-batch, don't grow with the number of keys."""
+    base = int((START - datetime(1970, 1, 1)).total_seconds() * 1000)
+    log = [(*d[:5], base + d[5]) for d in many_timed()]
+    ttl, files = 4_000_000, 4
+    source = feed(spark, log, f"{DDL}, at bigint", tmp_path, files).withWatermark("ts", "0 seconds")
+    step = k.ExpiringSums(None, "v", "at", ttl, "out") if kind == "sums" else k.ExpiringList("s", "at", ttl, "out")
+    adds = "out bigint" if kind == "sums" else "out array<string>"
+    df = k.keyed_state(source, ["k"], "seq", ["s", "v", "at"], step, adds, many_keys=True)
+    got = {x.seq: x.out for x in run(df, "shares").collect()}
+    held, want, mark = {}, {}, 0
+    cuts = [len(log) * i // files for i in range(files)]
+    for key, s, v, seq, _, at in log:
+        if seq in cuts[1:]:  # the watermark of a micro-batch has come from those before it
+            mark = max(x[5] for x in log[:seq])
+            held = {y: [x for x in z if x[1] + ttl > mark] for y, z in held.items()}
+        if kind == "sums":
+            total, last = (held.get(key) or [(0, None)])[0]
+            total = v if last is None or at - last >= ttl else total + v
+            held[key], want[seq] = [(total, at)], total
+        else:
+            held[key] = [x for x in held.get(key, []) if x[1] + ttl > at] + [(s, at)]
+            want[seq] = [x[0] for x in held[key] if x[0] is not None]
+    assert got == want and len(set(map(str, want.values()))) > 50
+    # A page, what is known of it, and its timer under both orders of keys.
+    assert entries(df, run_dir(spark, "shares")) <= 4 * k.SHARES < len({d[0] for d in log})
+
+
+class Handle:
+    """State and timers of one share, in memory."""
+
+    def __init__(self):
+        self.pages, self.about, self.timers = {}, None, set()
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+    def getMapState(self, *_):
+        take = lambda key: self.pages.pop(key, None)
+        return SimpleNamespace(getValue=self.pages.get, updateValue=self.pages.__setitem__, removeKey=take)
+
+    def getValueState(self, *_):
+        put = lambda value: setattr(self, "about", value)
+        return SimpleNamespace(get=lambda: self.about, update=put, clear=lambda: put(None))
+
+
+def shared(step, columns):
+    """A step of shared state as `keyed_state` sets it up, without a stream."""
+    step.members, step.handle = ["pack_key_0"], Handle()
+    step.inner = pa.schema([("seq", pa.int64()), (k.HASH, pa.int64()), ("pack_key_0", pa.string()), *columns])
+    step.open()
+    return step
+
+
+def batch(step, log, now=0):
+    step.begin()
+    list(step.due(now))
+    names = step.inner.names
+    columns = [[x[0] for x in log], [hash(x[1]) for x in log], *([x[i] for x in log] for i in range(1, len(names) - 1))]
+    table = pa.table({n: pa.array(c, step.inner.field(n).type) for n, c in zip(names, columns)})
+    out = [x for piece in step.pieces(table, now) for x in piece.to_pylist()]
+    step.end()
+    return {x["seq"]: x[step.name] for x in out}
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 20])
+def test_lists_of_many_keys_in_pieces(monkeypatch, most):
+    monkeypatch.setattr(k, "LIST_ITEMS", most)
+    step = shared(k.ExpiringList("s", "at", 3000), [("at", pa.int64()), ("s", pa.string())])
+    rnd, held, seq = random.Random(most), {}, 0
+    for _ in range(4):
+        log = [(seq + i, rnd.choice([None, "a", "b", "c"]), rnd.choice([None, *range(0, 20_000, 100)]), rnd.choice([None, "x", "y"])) for i in range(300)]
+        seq, want = seq + 300, {}
+        for n, key, at, s in log:
+            if at is not None:
+                held[key] = [x for x in held.get(key, []) if x[1] + 3000 > at] + [(s, at)]
+                want[n] = [x[0] for x in held[key] if x[0] is not None]
+        assert batch(step, log) == want
+        assert step.handle.about[1] == sum(map(len, held.values()))

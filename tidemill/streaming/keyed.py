@@ -7,6 +7,10 @@ the task of the key. It holds the key's state, takes the packages in order, work
 results, which any task unpacks. So a micro-batch's rows of the hottest key pass one task as a few hundred byte arrays,
 and state is one entry a key whatever the number of rows.
 
+Where keys are many and their rows few, the calls of a key cost more than its rows. Steps of shared state take the keys
+of a share, dealt by their hash, together: rows of all of them are worked on at once, and a page of state has many keys.
+Each key still has its own value, its own last write and its own expiry.
+
 `seq` is the arrival order, unique within a key. Packages of tasks that read overlapping ranges of it are merged.
 Between micro-batches the order is that of the batches.
 """
@@ -27,6 +31,13 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 #: Rows that a task puts together before it sends a package for each of their keys.
 PACK_ROWS = 1 << 16
+#: Shares that keys are dealt to by a step of shared state. It is part of the state's layout, as the hash is.
+SHARES = 256
+#: Rows of state a page has on the average before a share doubles its pages.
+PAGE_ROWS = 1024
+#: Items of lists that a package of results has at most, beside those of one row.
+LIST_ITEMS = 1 << 20
+HASH, SHARE = "pack_hash", "pack_share"
 
 
 def _fields(df: DataFrame, names: list[str]) -> str:
@@ -123,10 +134,20 @@ class KeyedStep(StatefulProcessor):
         """Results of rows of the key in arrival order; `now` is the watermark or the time of the micro-batch."""
         raise NotImplementedError
 
+    def pieces(self, rows: pa.Table, now: int) -> Iterator[pa.Table]:
+        """The same in pieces, where results may be much larger than their rows."""
+        out = self.step(rows, now)
+        if out is not None:
+            yield out
+
     def due(self, now: int) -> Iterator[pa.Table]:
         """Results of timers that have come, before any newer row is looked at."""
         return iter(())
 
+    def for_many_keys(self) -> KeyedStep:
+        """The step to run where keys are many: one of shared state, if there is one."""
+        return self
+
     def close(self) -> None:
         pass
 
@@ -142,9 +163,9 @@ class KeyedStep(StatefulProcessor):
         for out in self.due(now):
             yield self._sent(key, out)
         for table in self._runs(sorted(self._packs(rows), key=lambda p: p[0])):
-            out = self.step(table, now)
-            if out is not None and out.num_rows:
-                yield self._sent(key, out)
+            for out in self.pieces(table, now):
+                if out.num_rows:
+                    yield self._sent(key, out)
         self.end()
 
     def _packs(self, rows: Iterator[pd.DataFrame | Row]) -> Iterator[tuple]:
@@ -210,14 +231,21 @@ def keyed_state(
     """Run `step` over the rows of each key of a stream; results have the keys, the kept columns and `adds` (a DDL).
 
     `step` gets a table of `seq` and `columns` and returns one with the kept ones of them and the columns of `adds`.
-    Without keys the whole stream is one key. With `many_keys` packages come and go as Spark rows, not as data frames:
-    that costs less a key, but a key's results of a micro-batch are held together.
+    Without keys the whole stream is one key. With `many_keys` a step whose state can be shared runs on shares of the
+    keys. For others packages come and go as Spark rows, not as data frames: that costs less a key, but a key's results
+    of a micro-batch are held together.
     """
+    step = step.for_many_keys() if many_keys else step
     # Rows of a processor have their columns' names as attributes, so keys get plain ones on the way.
     names = {k: f"pack_key_{i}" for i, k in enumerate(keys)}
     df = df.withColumns({n: F.col(k) for k, n in names.items()} if keys else {"pack_key_all": F.lit(0)})
     keys = list(names.values()) or ["pack_key_all"]
     kept = [c for c in [seq, *columns] if keep is None or keep(c)]
+    if isinstance(step, SharedStep):
+        # Keys travel with their rows, and shares take their place.
+        step.members, many_keys = keys, False
+        df = df.withColumn(HASH, F.xxhash64(*keys)).withColumn(SHARE, F.pmod(HASH, F.lit(SHARES)))
+        kept, columns, keys = [*keys, *kept], [HASH, *keys, *columns], [SHARE]
     ddl = ", ".join(x for x in (_fields(df, kept), adds) if x)
     step.keys, step.seq = keys, seq
     step.inner = to_arrow_schema(df.select(seq, *columns).schema)
@@ -231,7 +259,7 @@ def keyed_state(
         outputMode="Append",
         timeMode=mode,
     )
-    return unpacked(out, keys, ddl).withColumnsRenamed({n: k for k, n in names.items()}).drop("pack_key_all")
+    return unpacked(out, keys, ddl).withColumnsRenamed({n: k for k, n in names.items()}).drop("pack_key_all", SHARE)
 
 
 def _numbers(column: pa.ChunkedArray) -> np.ndarray:
@@ -615,34 +643,230 @@ class ExpiringSums(WatermarkStep):
         return iter(())
 
 
-class ExpiringList(WatermarkStep):
-    """A list state whose items each live `ttl_ms` of recorded time: the live list after every row, by arrival."""
+#: A time that is not known: it comes from no row, or is null.
+NEVER = ExpiringSums.NEVER
 
-    def __init__(self, item: str, at_ms: str, ttl_ms: int, name: str = "items"):
+
+def _times(column: pa.ChunkedArray) -> np.ndarray:
+    return pc.fill_null(column, NEVER).combine_chunks().to_numpy(zero_copy_only=False)
+
+
+class SharedEntries:
+    """What is held of the keys of a share: rows of state, each forgotten `ttl_ms` after its own time `at`.
+
+    Keys are dealt to pages by their hash, and a page is one state entry. A micro-batch reads the pages of the keys it
+    meets and writes them once. A page's rows stay few: where they come to be more, there are twice as many pages. One
+    timer stands at the earliest expiry of the share, or before it.
+    """
+
+    def __init__(self, handle, schema: pa.Schema, ttl_ms: int):
+        self.handle, self.schema, self.ttl_ms = handle, schema, ttl_ms
+        self.state = handle.getMapState("pages", _one("page", LongType()), _one("body", BinaryType()))
+        self.about = handle.getValueState("about", StructType([StructField(n, LongType()) for n in ("pages", "rows", "timer")]))
+
+    def begin(self) -> None:
+        known = self.about.get()
+        self.known = known and tuple(known)
+        self.pages, self.rows, self.timer = self.known or (1, 0, None)
+        self.read: dict[int, int] = {}
+        self.changed: set[int] = set()
+        self.held = self.schema.empty_table()
+
+    def _page(self, table: pa.Table) -> np.ndarray:
+        return table.column(HASH).to_numpy() // SHARES % self.pages
+
+    def _load(self, pages: Iterable[int]) -> None:
+        unread = [p for p in pages if p not in self.read]
+        found = [self.state.getValue((p,)) if self.rows else None for p in unread]
+        parts = [pa.ipc.read_record_batch(pa.py_buffer(bytes(got[0])), self.schema) if got else None for got in found]
+        self.read.update((p, 0 if part is None else part.num_rows) for p, part in zip(unread, parts))
+        parts = [part for part in parts if part is not None]
+        if parts:
+            self.held = pa.concat_tables([self.held, pa.Table.from_batches(parts)])
+
+    def of(self, rows: pa.Table) -> pa.Table:
+        """The entries of all pages that were met, with those of the keys of `rows`; `put` takes what becomes of them."""
+        pages = np.unique(self._page(rows)).tolist()
+        self._load(pages)
+        self.changed.update(pages)
+        return self.held
+
+    def put(self, entries: pa.Table) -> None:
+        self.held = entries
+
+    def _until(self) -> np.ndarray:
+        at = _times(self.held.column("at"))
+        return np.where(at == NEVER, np.iinfo(np.int64).max, at + self.ttl_ms)
+
+    def forget(self, now: int) -> None:
+        """Remove the entries whose time has come."""
+        if self.timer is None or self.timer > now:
+            return
+        self._load(range(self.pages))
+        gone = self._until() <= now
+        self.changed.update(np.unique(self._page(self.held)[gone]).tolist())
+        self.held = self.held.filter(pa.array(~gone))
+        self.handle.deleteTimer(self.timer)
+        self.timer = None
+
+    def write(self) -> None:
+        self.rows += self.held.num_rows - sum(self.read.values())
+        if self.rows > self.pages * PAGE_ROWS:
+            self._load(range(self.pages))
+            while self.rows > self.pages * PAGE_ROWS:
+                self.pages *= 2
+            self.changed.update(range(self.pages))
+        pages = self._page(self.held)
+        order = np.argsort(pages, kind="stable")
+        sorted_rows = self.held.take(pa.array(order)).combine_chunks()
+        cuts = np.searchsorted(pages[order], np.arange(self.pages + 1)).tolist()
+        for page in sorted(self.changed):
+            first, end = cuts[page], cuts[page + 1]
+            if first < end:
+                body = sorted_rows.slice(first, end - first).combine_chunks().to_batches()[0]
+                self.state.updateValue((page,), (body.serialize().to_pybytes(),))
+            elif self.read.get(page):
+                self.state.removeKey((page,))
+        self._stand_at(int(self._until().min(initial=np.iinfo(np.int64).max)))
+        about = (self.pages, self.rows, self.timer) if self.rows else None
+        if about is None and self.known:
+            self.about.clear()
+        elif about != self.known:
+            self.about.update(about)
+
+    def _stand_at(self, at: int) -> None:
+        if at == np.iinfo(np.int64).max or self.timer is not None and self.timer <= at:
+            return
+        if self.timer is not None:
+            self.handle.deleteTimer(self.timer)
+        self.handle.registerTimer(at)
+        self.timer = at
+
+
+class SharedStep(WatermarkStep):
+    """State of the keys of a share, `members` by name, in entries that expire in recorded time.
+
+    A key is told from others by `codes`; the rows of all keys of a share are worked on together.
+    """
+
+    def __init__(self, at_ms: str, ttl_ms: int, name: str):
         super().__init__()
-        self.item, self.at_ms, self.ttl_ms, self.name = item, at_ms, ttl_ms, name
+        self.at_ms, self.ttl_ms, self.name, self.members = at_ms, ttl_ms, name, []
+
+    def entry(self) -> list[pa.Field]:
+        """What an entry holds beside its key and time."""
+        raise NotImplementedError
 
     def open(self) -> None:
-        fields = StructType([StructField("item", StringType()), StructField("at", LongType())])
-        self.items = self.handle.getListState("items", fields)
+        key = [self.inner.field(n) for n in (HASH, *self.members)]
+        self.entries = SharedEntries(self.handle, pa.schema([*key, *self.entry(), pa.field("at", pa.int64())]), self.ttl_ms)
 
-    def step(self, rows, now):
-        held = [tuple(v) for v in self.items.get()] if self.items.exists() else []
-        new = list(zip(rows.column(self.item).to_pylist(), rows.column(self.at_ms).to_pylist()))
-        live, lists = held, []
-        for item, at in new:
-            live = [x for x in live if x[1] + self.ttl_ms > at]
-            live.append((item, at))
-            lists.append([x[0] for x in live if x[0] is not None])
-        self.items.put(live)
-        self.handle.registerTimer(max(at for _, at in live) + self.ttl_ms)
-        return _with(rows, **{self.name: pa.array(lists, pa.list_(pa.string()))})
+    def begin(self):
+        self.entries.begin()
+
+    def end(self):
+        self.entries.write()
 
     def due(self, now):
-        if self.items.exists():
-            live = [tuple(v) for v in self.items.get() if v[1] + self.ttl_ms > now]
-            if live:
-                self.items.put(live)
-            else:
-                self.items.clear()
+        self.entries.forget(now)
         return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """All entries of the share go whose time has come by the watermark, not only those of this timer."""
+        self.begin()
+        self.entries.forget(self._now(timerValues))
+        self.end()
+        return iter(())
+
+    def keys_of(self, held: pa.Table, rows: pa.Table) -> pa.Table:
+        names = [HASH, *self.members]
+        return pa.concat_tables([held.select(names), rows.select(names)])
+
+    def codes(self, keys: pa.Table) -> np.ndarray:
+        """A number for each different key. Null is a key."""
+        out = np.zeros(keys.num_rows, np.int64)
+        for name in self.members:
+            code = _coded(keys.column(name))[0].astype(np.int64)
+            out = np.unique(out * (code.max(initial=0) + 1) + code, return_inverse=True)[1]
+        return out
+
+
+def _runs_of(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of sorted codes are the first of theirs, and where each one's end."""
+    opens = np.diff(code, prepend=-1) != 0
+    return opens, np.r_[np.flatnonzero(opens)[1:], len(code)]
+
+
+def _first_from(time: np.ndarray, until: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each place the first one after it whose time is `until` or later, or `ends` if there is none before that.
+
+    Times need not be in order, so the largest of 1, 2, 4, ... places from each on tell how far one may skip.
+    """
+    largest, longest = [time], int((ends - np.arange(len(time))).max(initial=0))
+    while 1 << len(largest) < longest:
+        half, top = 1 << (len(largest) - 1), largest[-1].copy()
+        top[:-half] = np.maximum(top[:-half], largest[-1][half:])
+        largest.append(top)
+    at = np.arange(1, len(time) + 1)
+    for k in reversed(range(len(largest))):
+        skips = at + (1 << k) <= ends
+        skips[skips] = largest[k][at[skips]] < until[skips]
+        at[skips] += 1 << k
+    return at
+
+
+class ExpiringList(SharedStep):
+    """A list state whose items each live `ttl_ms` of recorded time: the live list after every row, by arrival.
+
+    A row that finds an item expired removes it for good, whatever times come later. A row without a time has no list
+    and is in none.
+    """
+
+    def __init__(self, item: str, at_ms: str, ttl_ms: int, name: str = "items"):
+        super().__init__(at_ms, ttl_ms, name)
+        self.item = item
+
+    def entry(self):
+        return [pa.field("item", pa.string())]
+
+    def pieces(self, rows, now):
+        rows = rows.filter(pc.is_valid(rows.column(self.at_ms)))
+        if not rows.num_rows:
+            return
+        held = self.entries.of(rows)
+        keys = self.keys_of(held, rows)
+        code = self.codes(keys)
+        order = np.argsort(code, kind="stable")
+        time = np.r_[_times(held.column("at")), _times(rows.column(self.at_ms))][order]
+        items = pa.chunked_array([*held.column("item").chunks, *rows.column(self.item).chunks], pa.string()).combine_chunks()
+        items = items.take(pa.array(order))
+        opens, ends = _runs_of(code[order])
+        sizes = np.diff(np.r_[0, ends])
+        end = np.repeat(ends, sizes)
+        gone = _first_from(time, time + self.ttl_ms, end)
+        lasting = np.flatnonzero(gone == end)
+        entries = keys.take(pa.array(order[lasting]))
+        self.entries.put(_with(entries, item=items.take(pa.array(lasting)), at=time[lasting]))
+        # Items are in the lists of new rows from their own on; rows of state come before the new ones of their key.
+        new = order >= held.num_rows
+        first_new = np.repeat(np.add.reduceat((~new).astype(np.int64), np.flatnonzero(opens)) + np.r_[0, ends[:-1]], sizes)
+        begin = np.maximum(np.arange(len(code)), first_new)
+        shown = pc.is_valid(items).to_numpy(zero_copy_only=False) & (begin < gone)
+        yield from self._lists(rows, order - held.num_rows, new, items, begin, gone, shown)
+
+    def _lists(self, rows, place, new, items, begin, gone, shown) -> Iterator[pa.Table]:
+        change = np.zeros(len(new) + 1, np.int64)
+        np.add.at(change, begin[shown], 1)
+        np.add.at(change, gone[shown], -1)
+        size = np.cumsum(change)[:-1]
+        cuts = np.flatnonzero(np.diff(np.cumsum(size) // LIST_ITEMS, prepend=0)).tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(new)]):
+            here = np.flatnonzero(shown & (begin < b) & (gone > a))
+            low, high = np.maximum(begin[here], a), np.minimum(gone[here], b)
+            count = high - low
+            at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - low, count)
+            taken = np.repeat(here, count)[np.argsort(at, kind="stable")]
+            mine = new[a:b]
+            starts = np.r_[0, np.cumsum(size[a:b][mine])]
+            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), items.take(pa.array(taken)))
+            yield _with(rows.take(pa.array(place[a:b][mine])), **{self.name: lists})

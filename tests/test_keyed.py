@@ -376,7 +376,7 @@ def many_timed(n=6000, keys=4000, seed=11):
     return out
 
 
-@pytest.mark.parametrize("kind", ["list"])
+@pytest.mark.parametrize("kind", ["sums", "list"])
 def test_many_keys_share_entries(spark, tmp_path, two_partitions, kind):
     """State entries, and so the calls of a micro-batch, don't grow with the number of keys."""
     base = int((START - datetime(1970, 1, 1)).total_seconds() * 1000)
@@ -440,6 +440,27 @@ def batch(step, log, now=0):
     return {x["seq"]: x[step.name] for x in out}
 
 
+def test_pages_of_a_share_double_and_go(monkeypatch):
+    monkeypatch.setattr(k, "PAGE_ROWS", 8)
+    step = shared(k.ExpiringSums(None, "v", "at", 100).for_many_keys(), [("at", pa.int64()), ("v", pa.int64())])
+    sums = {}
+    for low in (0, 20, 300):
+        got = batch(step, [(low + i, f"k{i}", low % 90, i) for i in range(low and 20 or 5)])
+        for i in range(low and 20 or 5):
+            sums[i] = sums.get(i, 0) + i
+        assert got == {low + i: sums[i] for i in range(low and 20 or 5)}
+    batch(step, [(400 + i, f"k{i}", 80, 1) for i in range(500)])
+    handle = step.handle
+    assert handle.about[0] >= 500 // 8 and handle.about[1] == 500 and len(handle.pages) > 32
+    assert len(handle.timers) == 1 and min(handle.timers) <= 180
+    assert batch(step, [(900, "k3", 179, 2)], now=120) == {900: 3 * 3 + 1 + 2}
+    assert batch(step, [(901, "k3", 190, 2)], now=200) == {901: 3 * 3 + 1 + 2 + 2}
+    assert handle.about[1] == 1 and len(handle.pages) == 1 and handle.timers == {290}
+    step._now = lambda timerValues: 400
+    assert list(step.handleExpiredTimer(None, None, None)) == []
+    assert handle.pages == {} and handle.about is None and handle.timers == set()
+
+
 @pytest.mark.parametrize("most", [1, 7, 1 << 20])
 def test_lists_of_many_keys_in_pieces(monkeypatch, most):
     monkeypatch.setattr(k, "LIST_ITEMS", most)
@@ -454,3 +475,11 @@ def test_lists_of_many_keys_in_pieces(monkeypatch, most):
                 want[n] = [x[0] for x in held[key] if x[0] is not None]
         assert batch(step, log) == want
         assert step.handle.about[1] == sum(map(len, held.values()))
+
+
+def test_a_sum_of_rows_without_a_time():
+    """As in SQL, where the difference of times is null."""
+    step = shared(k.ExpiringSums(None, "v", "at", 100).for_many_keys(), [("at", pa.int64()), ("v", pa.int64())])
+    assert batch(step, [(0, "a", 0, 1), (1, "a", None, 2), (2, "a", 500, 4), (3, "a", 600, 8)]) == {0: 1, 1: 3, 2: 7, 3: 8}
+    assert batch(step, [(4, "a", None, None)]) == {4: 8}
+    assert batch(step, [(5, "a", 900, 16)], now=800) == {5: 24}

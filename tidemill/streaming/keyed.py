@@ -585,6 +585,9 @@ class ExpiringSums(WatermarkStep):
         super().__init__()
         self.sub_key, self.value, self.at_ms, self.ttl_ms, self.name = sub_key, value, at_ms, ttl_ms, name
 
+    def for_many_keys(self):
+        return self if self.sub_key else SharedSums(self.value, self.at_ms, self.ttl_ms, self.name)
+
     def open(self) -> None:
         self.sums = (Pages if self.sub_key else OneEntry)(self.handle, "sums", (0, self.NEVER))
         self.next = self.handle.getValueState("next", _one("at", LongType()))
@@ -797,6 +800,40 @@ def _runs_of(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return opens, np.r_[np.flatnonzero(opens)[1:], len(code)]
 
 
+class SharedSums(SharedStep):
+    """`ExpiringSums` without sub-keys, for many keys: a sum and the time of its last write each.
+
+    Rows of state come in front of the new rows of their key, as if they were its first. A row without a time neither
+    restarts a sum nor lets the next one do so.
+    """
+
+    def __init__(self, value: str, at_ms: str, ttl_ms: int, name: str):
+        super().__init__(at_ms, ttl_ms, name)
+        self.value = value
+
+    def entry(self):
+        return [pa.field("total", pa.int64())]
+
+    def step(self, rows, now):
+        held = self.entries.of(rows)
+        keys = self.keys_of(held, rows)
+        code = self.codes(keys)
+        order = np.argsort(code, kind="stable")
+        value = np.r_[held.column("total").to_numpy(), _numbers(rows.column(self.value))][order]
+        time = np.r_[_times(held.column("at")), _times(rows.column(self.at_ms))][order]
+        opens, ends = _runs_of(code[order])
+        before = np.r_[NEVER, time[:-1]]
+        anew = opens | ((time != NEVER) & (before != NEVER) & (time - before >= self.ttl_ms))
+        sums = np.cumsum(value)
+        live = sums - np.r_[0, sums][np.maximum.accumulate(np.where(anew, np.arange(len(sums)), 0))]
+        last = time[ends - 1]
+        lasting = {"total": live[ends - 1], "at": pa.array(last, mask=last == NEVER)}
+        self.entries.put(_with(keys.take(pa.array(order[ends - 1])), **lasting))
+        out = np.empty_like(live)
+        out[order] = live
+        return _with(rows, **{self.name: out[held.num_rows :]})
+
+
 def _first_from(time: np.ndarray, until: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """For each place the first one after it whose time is `until` or later, or `ends` if there is none before that.
 

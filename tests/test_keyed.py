@@ -483,3 +483,52 @@ def test_a_sum_of_rows_without_a_time():
     assert batch(step, [(0, "a", 0, 1), (1, "a", None, 2), (2, "a", 500, 4), (3, "a", 600, 8)]) == {0: 1, 1: 3, 2: 7, 3: 8}
     assert batch(step, [(4, "a", None, None)]) == {4: 8}
     assert batch(step, [(5, "a", 900, 16)], now=800) == {5: 24}
+
+
+@pytest.mark.parametrize("kind", ["list"])
+def test_state_of_many_keys_that_lasts(spark, tmp_path, two_partitions, kind):
+    """One call a share, not one a key: also of a null key, null items and a sequence that comes unsorted."""
+    log = [(d[0], d[1], d[3]) for d in many_timed()]
+    source = feed(spark, log, "k string, s string, seq bigint", tmp_path, 4).repartition(3)
+    held, want = {}, {}
+    for key, s, seq in log:
+        held.setdefault(key, []).extend([s] if s else [])
+        want[seq] = (key, s, list(held[key]))
+    df = k.keyed_state(source, ["k"], "seq", ["s"], k.GrowingList("s", "out"), "out array<string>", many_keys=True)
+    got = {x.seq: (x.k, x.s, x.out) for x in run(df, "lasting").collect()}
+    assert got == want and df.columns == ["k", "seq", "s", "out"]
+    assert entries(df, run_dir(spark, "lasting_entries")) <= 3 * k.SHARES < len({x[0] for x in log})
+
+
+def test_growing_lists_of_a_share(monkeypatch):
+    """Pages double and are split one by one; a hot key stays in one page, in the order of arrival."""
+    monkeypatch.setattr(k, "PAGE_ROWS", 8)
+    step = shared(k.GrowingList("s").for_many_keys(), [("s", pa.string())])
+    rnd, held, seq = random.Random(5), {}, 0
+    for n in (1, 40, 300, 60):
+        log = [(seq + i, rnd.choice([None, "hot", f"k{rnd.randrange(90)}"]), rnd.choice([None, "", "x", "y"])) for i in range(n)]
+        seq, want = seq + n, {}
+        for at, key, s in log:
+            held.setdefault(key, []).extend([] if s is None else [s])
+            want[at] = list(held[key])
+        assert batch(step, log) == want
+        pages, count = step.handle.about
+        assert count == sum(map(len, held.values())) <= 8 * pages and len(step.handle.pages) <= pages
+    before = dict(step.handle.pages)
+    assert batch(step, [(seq, "hot", None)]) == {seq: held["hot"]}
+    assert step.handle.pages == before
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 20])
+def test_views_are_written_out_in_pieces(monkeypatch, most):
+    monkeypatch.setattr(k, "LIST_ITEMS", most)
+    items, kind = pa.array(["a", "b", "c", "d", "e"]), pa.list_view(pa.string())
+    views = pa.ListViewArray.from_arrays(pa.array([0, 0, 2, 0, 0], pa.int32()), pa.array([1, 0, 3, 5, 5], pa.int32()), items)
+    inner = pa.schema([("seq", pa.int64()), ("out", kind)])
+    body = pa.record_batch([pa.array(range(5)), views], schema=inner).serialize().to_pybytes()
+    sent = pa.record_batch([pa.array(["p", "q", None]), pa.array([body] * 3)], names=["k", "pack_rows"])
+    out = list(k.unpack_batches([sent], ["k"], inner))
+    got = [tuple(x.values()) for b in out for x in b.to_pylist()]
+    assert got == [(key, i, x) for key in ("p", "q", None) for i, x in enumerate(views.to_pylist())]
+    assert all(sum(map(len, b.column("out").to_pylist())) <= max(most, 5) for b in out)
+    assert all(b.schema.field("out").type == pa.list_(pa.string()) for b in out)

@@ -9,7 +9,7 @@ and state is one entry a key whatever the number of rows.
 
 Where keys are many and their rows few, the calls of a key cost more than its rows. Steps of shared state take the keys
 of a share, dealt by their hash, together: rows of all of them are worked on at once, and a page of state has many keys.
-Each key still has its own value, its own last write and its own expiry.
+Each key still has its own value or list, its own last write and its own expiry.
 
 `seq` is the arrival order, unique within a key. Packages of tasks that read overlapping ranges of it are merged.
 Between micro-batches the order is that of the batches.
@@ -87,27 +87,61 @@ def packed(df: DataFrame, keys: list[str], seq: str, columns: list[str], pack_ro
     return rows.mapInArrow(pack, f"{lead}pack_first bigint, pack_last bigint, pack_rows binary")
 
 
+def _written_out(part: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """Rows with plain lists in place of views, in pieces of about LIST_ITEMS items, and the items of each piece."""
+    views = [name for name, kind in zip(part.schema.names, part.schema.types) if pa.types.is_list_view(kind)]
+    if not views:
+        yield part, 0
+        return
+    sizes = {n: part.column(n).sizes.to_numpy() for n in views}
+    cuts = np.flatnonzero(np.diff(np.cumsum(sum(sizes.values())) // LIST_ITEMS, prepend=0)).tolist()
+    for a, b in zip([0, *cuts], [*cuts, part.num_rows]):
+        columns, items = part.slice(a, b - a).columns, 0
+        for name, size in sizes.items():
+            view = part.column(name)
+            starts = np.r_[0, np.cumsum(size[a:b])]
+            at = np.arange(starts[-1]) + np.repeat(view.offsets.to_numpy()[a:b] - starts[:-1], size[a:b])
+            plain = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), view.values.take(pa.array(at)))
+            columns[part.schema.get_field_index(name)] = plain
+            items += len(at)
+        yield pa.record_batch(columns, names=part.schema.names), items
+
+
 def unpack_batches(batches: Iterable[pa.RecordBatch], keys: list[str], inner: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Rows of packed results in pieces of about PACK_ROWS, so that one batch of many large packages isn't held as rows."""
+    """Rows of packed results in pieces of about PACK_ROWS, so that one batch of many large packages isn't held as rows.
+
+    Where lists were sent as views a piece has about LIST_ITEMS items at most.
+    """
     for batch in batches:
-        parts, sizes, first, size = [], [], 0, 0
+        held: list[tuple[int, pa.RecordBatch]] = []
+        size = items = 0
         for at, body in enumerate(batch.column("pack_rows")):
-            parts.append(pa.ipc.read_record_batch(body.as_buffer(), inner))
-            sizes.append(parts[-1].num_rows)
-            size += sizes[-1]
-            if size < PACK_ROWS and at + 1 < batch.num_rows:
-                continue
-            if size:
-                again = pa.array(np.repeat(np.arange(first, at + 1), sizes))
-                body = pa.Table.from_batches(parts).combine_chunks()
-                values = [batch.column(k).take(again) for k in keys] + [c.combine_chunks() for c in body.columns]
-                yield pa.record_batch(values, names=[*keys, *inner.names])
-            parts, sizes, first, size = [], [], at + 1, 0
+            for part, more in _written_out(pa.ipc.read_record_batch(body.as_buffer(), inner)):
+                if held and items + more > LIST_ITEMS:
+                    yield _with_keys(batch, keys, held)
+                    held, size, items = [], 0, 0
+                if part.num_rows:
+                    held.append((at, part))
+                size, items = size + part.num_rows, items + more
+                if size >= PACK_ROWS:
+                    yield _with_keys(batch, keys, held)
+                    held, size, items = [], 0, 0
+        if held:
+            yield _with_keys(batch, keys, held)
+
+
+def _with_keys(batch: pa.RecordBatch, keys: list[str], held: list[tuple[int, pa.RecordBatch]]) -> pa.RecordBatch:
+    """The rows of these packages, and the keys that each package of `batch` came with."""
+    at, parts = zip(*held)
+    again = pa.array(np.repeat(at, [p.num_rows for p in parts]))
+    body = pa.Table.from_batches(parts).combine_chunks()
+    values = [batch.column(k).take(again) for k in keys] + [c.combine_chunks() for c in body.columns]
+    return pa.record_batch(values, names=[*keys, *body.column_names])
 
 
-def unpacked(df: DataFrame, keys: list[str], ddl: str) -> DataFrame:
-    """The rows of packed results, with their keys."""
-    inner = to_arrow_schema(StructType.fromDDL(ddl))
+def unpacked(df: DataFrame, keys: list[str], ddl: str, inner: pa.Schema | None = None) -> DataFrame:
+    """The rows of packed results, with their keys; `inner` is the schema of packages that aren't as the rows are."""
+    inner = inner or to_arrow_schema(StructType.fromDDL(ddl))
     lead = f"{_fields(df, keys)}, " if keys else ""
     return df.select(*keys, "pack_rows").mapInArrow(lambda batches: unpack_batches(batches, keys, inner), f"{lead}{ddl}")
 
@@ -144,6 +178,10 @@ class KeyedStep(StatefulProcessor):
         """Results of timers that have come, before any newer row is looked at."""
         return iter(())
 
+    def package(self, rows: pa.Schema) -> pa.Schema:
+        """The schema of a package of such results; lists may be views, which `unpack_batches` writes out."""
+        return rows
+
     def for_many_keys(self) -> KeyedStep:
         """The step to run where keys are many: one of shared state, if there is one."""
         return self
@@ -232,8 +270,8 @@ def keyed_state(
 
     `step` gets a table of `seq` and `columns` and returns one with the kept ones of them and the columns of `adds`.
     Without keys the whole stream is one key. With `many_keys` a step whose state can be shared runs on shares of the
-    keys. For others packages come and go as Spark rows, not as data frames: that costs less a key, but a key's results
-    of a micro-batch are held together.
+    keys. For others, and for shares whose entries stay for good, packages come and go as Spark rows, not as data frames:
+    that costs less a key or share, but its results of a micro-batch are held together.
     """
     step = step.for_many_keys() if many_keys else step
     # Rows of a processor have their columns' names as attributes, so keys get plain ones on the way.
@@ -243,13 +281,13 @@ def keyed_state(
     kept = [c for c in [seq, *columns] if keep is None or keep(c)]
     if isinstance(step, SharedStep):
         # Keys travel with their rows, and shares take their place.
-        step.members, many_keys = keys, False
+        step.members, many_keys = keys, isinstance(step, LastingStep)
         df = df.withColumn(HASH, F.xxhash64(*keys)).withColumn(SHARE, F.pmod(HASH, F.lit(SHARES)))
         kept, columns, keys = [*keys, *kept], [HASH, *keys, *columns], [SHARE]
     ddl = ", ".join(x for x in (_fields(df, kept), adds) if x)
     step.keys, step.seq = keys, seq
     step.inner = to_arrow_schema(df.select(seq, *columns).schema)
-    step.outer = to_arrow_schema(StructType.fromDDL(ddl))
+    step.outer = step.package(to_arrow_schema(StructType.fromDDL(ddl)))
     mode = "EventTime" if isinstance(step, WatermarkStep) else "ProcessingTime" if isinstance(step, ClockStep) else "None"
     step.many_keys = many_keys
     groups = packed(df, keys, seq, columns, pack_rows).groupBy(*keys)
@@ -259,7 +297,7 @@ def keyed_state(
         outputMode="Append",
         timeMode=mode,
     )
-    return unpacked(out, keys, ddl).withColumnsRenamed({n: k for k, n in names.items()}).drop("pack_key_all", SHARE)
+    return unpacked(out, keys, ddl, step.outer).withColumnsRenamed({n: k for k, n in names.items()}).drop("pack_key_all", SHARE)
 
 
 def _numbers(column: pa.ChunkedArray) -> np.ndarray:
@@ -453,6 +491,9 @@ class GrowingList(KeyedStep):
         super().__init__()
         self.item, self.name = item, name
 
+    def for_many_keys(self):
+        return SharedLists(self.item, self.name)
+
     def open(self) -> None:
         self.items = self.handle.getListState("items", _one("some", BinaryType()))
 
@@ -746,23 +787,22 @@ class SharedEntries:
         self.timer = at
 
 
-class SharedStep(WatermarkStep):
-    """State of the keys of a share, `members` by name, in entries that expire in recorded time.
+class SharedStep(KeyedStep):
+    """State of the keys of a share, `members` by name, in entries of one schema.
 
     A key is told from others by `codes`; the rows of all keys of a share are worked on together.
     """
 
-    def __init__(self, at_ms: str, ttl_ms: int, name: str):
+    def __init__(self, name: str):
         super().__init__()
-        self.at_ms, self.ttl_ms, self.name, self.members = at_ms, ttl_ms, name, []
+        self.name, self.members = name, []
 
     def entry(self) -> list[pa.Field]:
-        """What an entry holds beside its key and time."""
+        """What an entry holds beside its key."""
         raise NotImplementedError
 
-    def open(self) -> None:
-        key = [self.inner.field(n) for n in (HASH, *self.members)]
-        self.entries = SharedEntries(self.handle, pa.schema([*key, *self.entry(), pa.field("at", pa.int64())]), self.ttl_ms)
+    def schema(self) -> pa.Schema:
+        return pa.schema([*(self.inner.field(n) for n in (HASH, *self.members)), *self.entry()])
 
     def begin(self):
         self.entries.begin()
@@ -770,6 +810,29 @@ class SharedStep(WatermarkStep):
     def end(self):
         self.entries.write()
 
+    def keys_of(self, held: pa.Table, rows: pa.Table) -> pa.Table:
+        names = [HASH, *self.members]
+        return pa.concat_tables([held.select(names), rows.select(names)])
+
+    def codes(self, keys: pa.Table) -> np.ndarray:
+        """A number for each different key. Null is a key."""
+        out = np.zeros(keys.num_rows, np.int64)
+        for name in self.members:
+            code = _coded(keys.column(name))[0].astype(np.int64)
+            out = np.unique(out * (code.max(initial=0) + 1) + code, return_inverse=True)[1]
+        return out
+
+
+class ExpiringStep(SharedStep, WatermarkStep):
+    """The same where each entry expires in recorded time."""
+
+    def __init__(self, at_ms: str, ttl_ms: int, name: str):
+        super().__init__(name)
+        self.at_ms, self.ttl_ms = at_ms, ttl_ms
+
+    def open(self) -> None:
+        self.entries = SharedEntries(self.handle, self.schema().append(pa.field("at", pa.int64())), self.ttl_ms)
+
     def due(self, now):
         self.entries.forget(now)
         return iter(())
@@ -781,17 +844,73 @@ class SharedStep(WatermarkStep):
         self.end()
         return iter(())
 
-    def keys_of(self, held: pa.Table, rows: pa.Table) -> pa.Table:
-        names = [HASH, *self.members]
-        return pa.concat_tables([held.select(names), rows.select(names)])
 
-    def codes(self, keys: pa.Table) -> np.ndarray:
-        """A number for each different key. Null is a key."""
-        out = np.zeros(keys.num_rows, np.int64)
-        for name in self.members:
-            code = _coded(keys.column(name))[0].astype(np.int64)
-            out = np.unique(out * (code.max(initial=0) + 1) + code, return_inverse=True)[1]
-        return out
+class LastingEntries:
+    """What is held for good of the keys of a share: rows of state, of which a step takes one page at a time.
+
+    Keys are dealt to pages by their hash, and a page is one state entry. Where rows come to be more than PAGE_ROWS a
+    page, there are twice as many pages, and each is split by itself. So a task holds a page, not the state of a share.
+    """
+
+    def __init__(self, handle, schema: pa.Schema):
+        self.schema = schema
+        self.state = handle.getMapState("pages", _one("page", LongType()), _one("body", BinaryType()))
+        self.about = handle.getValueState("about", StructType([StructField(n, LongType()) for n in ("pages", "rows")]))
+
+    def begin(self) -> None:
+        self.known = tuple(self.about.get() or (1, 0))
+        self.pages, self.rows = self.known
+
+    def page_of(self, table: pa.Table) -> np.ndarray:
+        return table.column(HASH).to_numpy() // SHARES % self.pages
+
+    def of(self, page: int) -> pa.Table:
+        got = self.state.getValue((page,)) if self.rows else None
+        parts = [pa.ipc.read_record_batch(pa.py_buffer(bytes(got[0])), self.schema)] if got else []
+        return pa.Table.from_batches(parts, self.schema)
+
+    def put(self, page: int, held: pa.Table, entries: pa.Table) -> None:
+        """Write `entries` in place of what the page has held."""
+        self.rows += entries.num_rows - held.num_rows
+        if entries.num_rows:
+            body = entries.select(self.schema.names).combine_chunks().to_batches()[0]
+            self.state.updateValue((page,), (body.serialize().to_pybytes(),))
+        elif held.num_rows:
+            self.state.removeKey((page,))
+
+    def _double(self) -> None:
+        half, self.pages = self.pages, 2 * self.pages
+        for page in range(half):
+            held = self.of(page)
+            moves = self.page_of(held) != page
+            if moves.any():
+                self.put(page + half, held.slice(0, 0), held.filter(pa.array(moves)))
+                self.put(page, held, held.filter(pa.array(~moves)))
+
+    def write(self) -> None:
+        while self.rows > self.pages * PAGE_ROWS:
+            self._double()
+        if (self.pages, self.rows) != self.known:
+            self.about.update((self.pages, self.rows))
+
+
+class LastingStep(SharedStep):
+    """The same where entries stay for good; subclasses say what `of_page` does with a page and the new rows of its keys."""
+
+    def open(self) -> None:
+        self.entries = LastingEntries(self.handle, self.schema())
+
+    def of_page(self, page: int, held: pa.Table, rows: pa.Table) -> Iterator[pa.Table]:
+        raise NotImplementedError
+
+    def pieces(self, rows, now):
+        pages = self.entries.page_of(rows)
+        order = np.argsort(pages, kind="stable")
+        rows, pages = rows.take(pa.array(order)), pages[order]
+        opens, ends = _runs_of(pages)
+        for a, b in zip(np.flatnonzero(opens).tolist(), ends.tolist()):
+            page = int(pages[a])
+            yield from self.of_page(page, self.entries.of(page), rows.slice(a, b - a))
 
 
 def _runs_of(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -800,7 +919,7 @@ def _runs_of(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return opens, np.r_[np.flatnonzero(opens)[1:], len(code)]
 
 
-class SharedSums(SharedStep):
+class SharedSums(ExpiringStep):
     """`ExpiringSums` without sub-keys, for many keys: a sum and the time of its last write each.
 
     Rows of state come in front of the new rows of their key, as if they were its first. A row without a time neither
@@ -852,7 +971,7 @@ def _first_from(time: np.ndarray, until: np.ndarray, ends: np.ndarray) -> np.nda
     return at
 
 
-class ExpiringList(SharedStep):
+class ExpiringList(ExpiringStep):
     """A list state whose items each live `ttl_ms` of recorded time: the live list after every row, by arrival.
 
     A row that finds an item expired removes it for good, whatever times come later. A row without a time has no list
@@ -907,3 +1026,39 @@ class ExpiringList(SharedStep):
             starts = np.r_[0, np.cumsum(size[a:b][mine])]
             lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), items.take(pa.array(taken)))
             yield _with(rows.take(pa.array(place[a:b][mine])), **{self.name: lists})
+
+
+class SharedLists(LastingStep):
+    """`GrowingList` for many keys: an item is a row of state, those of a key in the order of arrival.
+
+    A package has a page's items once, and each row's list as a view of them, so it grows with rows, not their square.
+    """
+
+    def __init__(self, item: str, name: str):
+        super().__init__(name)
+        self.item = item
+
+    def entry(self):
+        return [pa.field("item", pa.string())]
+
+    def package(self, rows):
+        at = rows.get_field_index(self.name)
+        return rows.set(at, pa.field(self.name, pa.list_view(pa.string())))
+
+    def of_page(self, page, held, rows):
+        keys = self.keys_of(held, rows)
+        code = self.codes(keys)
+        order = np.argsort(code, kind="stable")
+        items = pa.chunked_array([*held.column("item").chunks, *rows.column(self.item).chunks], pa.string()).combine_chunks()
+        known = pc.is_valid(items).to_numpy(zero_copy_only=False)[order]
+        lasting = pa.array(order[known])
+        items = items.take(lasting)
+        self.entries.put(page, held, _with(keys.take(lasting), item=items))
+        # A row's list goes from the first item of its key to the last one up to the row itself.
+        opens, ends = _runs_of(code[order])
+        until = np.cumsum(known)
+        first = np.repeat((until - known)[opens], np.diff(np.r_[0, ends]))
+        new = order >= held.num_rows
+        first, size = (pa.array(x[new], pa.int32()) for x in (first, until - first))
+        lists = pa.ListViewArray.from_arrays(first, size, items)
+        yield _with(rows.take(pa.array(order[new] - held.num_rows)), **{self.name: lists})

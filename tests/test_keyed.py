@@ -485,16 +485,24 @@ def test_a_sum_of_rows_without_a_time():
     assert batch(step, [(5, "a", 900, 16)], now=800) == {5: 24}
 
 
-@pytest.mark.parametrize("kind", ["list"])
+@pytest.mark.parametrize("kind", ["list", "latest"])
 def test_state_of_many_keys_that_lasts(spark, tmp_path, two_partitions, kind):
     """One call a share, not one a key: also of a null key, null items and a sequence that comes unsorted."""
-    log = [(d[0], d[1], d[3]) for d in many_timed()]
-    source = feed(spark, log, "k string, s string, seq bigint", tmp_path, 4).repartition(3)
+    rules = [True, True, False, None] if kind == "latest" else [False]
+    log = [(d[0], d[1], rules[d[2] % len(rules)], d[3]) for d in many_timed()]
+    source = feed(spark, log, "k string, s string, rule boolean, seq bigint", tmp_path, 4).repartition(3)
     held, want = {}, {}
-    for key, s, seq in log:
-        held.setdefault(key, []).extend([s] if s else [])
-        want[seq] = (key, s, list(held[key]))
-    df = k.keyed_state(source, ["k"], "seq", ["s"], k.GrowingList("s", "out"), "out array<string>", many_keys=True)
+    for key, s, rule, seq in log:
+        if kind == "list":
+            held.setdefault(key, []).extend([s] if s else [])
+            want[seq] = (key, s, list(held[key]))
+        elif rule:
+            held[key] = s
+        else:
+            want[seq] = (key, s, held.get(key))
+    step = k.GrowingList("s", "out") if kind == "list" else k.LatestValue("rule", "s", "out")
+    adds, keep = "out array<string>" if kind == "list" else "out string", lambda c: c != "rule"
+    df = k.keyed_state(source, ["k"], "seq", ["s", "rule"], step, adds, keep, many_keys=True)
     got = {x.seq: (x.k, x.s, x.out) for x in run(df, "lasting").collect()}
     assert got == want and df.columns == ["k", "seq", "s", "out"]
     assert entries(df, run_dir(spark, "lasting_entries")) <= 3 * k.SHARES < len({x[0] for x in log})
@@ -532,3 +540,25 @@ def test_views_are_written_out_in_pieces(monkeypatch, most):
     assert got == [(key, i, x) for key in ("p", "q", None) for i, x in enumerate(views.to_pylist())]
     assert all(sum(map(len, b.column("out").to_pylist())) <= max(most, 5) for b in out)
     assert all(b.schema.field("out").type == pa.list_(pa.string()) for b in out)
+
+
+def test_latest_values_of_a_share(monkeypatch):
+    """A rule without a value takes the earlier one back, and its entry with it; facts alone write nothing."""
+    monkeypatch.setattr(k, "PAGE_ROWS", 8)
+    step = shared(k.LatestValue("rule", "v", "out").for_many_keys(), [("rule", pa.bool_()), ("v", pa.int64())])
+    rnd, held, seq = random.Random(7), {}, 0
+    for n in (1, 200, 200, 900):
+        log = [(seq + i, rnd.choice([None, "hot", f"k{rnd.randrange(90)}"]), rnd.choice([None, True, False]), rnd.choice([None, 1, 2])) for i in range(n)]
+        seq, want = seq + n, {}
+        for at, key, rule, v in log:
+            if rule:
+                held[key] = v
+            else:
+                want[at] = held.get(key)
+        assert batch(step, log) == want
+        known = sum(v is not None for v in held.values())
+        assert (step.handle.about or (1, 0))[1] == known and len(step.handle.pages) <= (step.handle.about or (1, 0))[0]
+    before, about = dict(step.handle.pages), step.handle.about
+    assert batch(step, [(seq, "hot", False, 5), (seq + 1, "new", None, 5)]) == {seq: held["hot"], seq + 1: None}
+    assert step.handle.pages == before and step.handle.about == about
+    assert batch(step, [(seq + 2, key, True, None) for key in held]) == {} and step.handle.pages == {}
